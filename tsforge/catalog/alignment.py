@@ -16,7 +16,9 @@ entry = ENTRIES.entry
 
 @entry(f"WITH {SQL_BARS} SELECT symbol, ts_us, {r('open','open')}, {r('high','high')}, {r('low','low')}, {r('close','close')}, volume FROM bars")
 def resample_ohlcv(spark, sf):
-    return out(bars(spark, sf), "symbol", "ts", "open", "high", "low", "close", "volume")
+    t = ticks(spark, sf).select("symbol", "ts", "value", "user_id", "event_id")
+    d = align.resample_ohlcv(t, TICKS, HOUR, price="value", volume="user_id")
+    return out(d, "symbol", "ts", "open", "high", "low", "close", "volume")
 
 
 @entry(f"WITH {SQL_DAILY} SELECT symbol, ts_us, {r('open','open')}, {r('high','high')}, {r('low','low')}, {r('close','close')}, volume FROM daily")

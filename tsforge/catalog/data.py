@@ -9,7 +9,7 @@ from tsforge.functions.scalars import nan_to_null
 from tsforge.functions.timeunits import DAY, HOUR, micros
 from tsforge.operators.align import resample_ohlcv
 from tsforge.operators.layout import Axis
-from tsforge.session import apply_settings
+from tsforge.session import apply_settings, cut_lineage
 
 TICKS = Axis("symbol", "ts", bucket_us=DAY, ties=("event_id",))
 BARS = Axis("symbol", "ts", bucket_us=10 * DAY)
@@ -29,9 +29,13 @@ def ticks(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def bars(spark: SparkSession, sf: str) -> DataFrame:
-    """Hourly bars of the event stream: price = value, volume = user_id."""
+    """Hourly bars of the event stream: price = value, volume = user_id.
+
+    The bars are written once (the lake table of a real deployment), so the ticks are
+    aggregated once however many operators read the bars.
+    """
     t = ticks(spark, sf).select("symbol", "ts", "value", "user_id", "event_id")
-    return resample_ohlcv(t, TICKS, HOUR, price="value", volume="user_id")
+    return cut_lineage(resample_ohlcv(t, TICKS, HOUR, price="value", volume="user_id"))
 
 
 def daily(spark: SparkSession, sf: str) -> DataFrame:
@@ -43,7 +47,7 @@ def daily(spark: SparkSession, sf: str) -> DataFrame:
         F.lit(1.0).alias("n"),
         F.col("o_orderkey").alias("event_id"),
     )
-    return resample_ohlcv(o, TICKS.with_(bucket_us=400 * DAY), DAY, price="value", volume="n")
+    return cut_lineage(resample_ohlcv(o, TICKS.with_(bucket_us=400 * DAY), DAY, price="value", volume="n"))
 
 
 def out(df: DataFrame, *cols, **rounded: int) -> DataFrame:

@@ -15,6 +15,7 @@ from collections.abc import Callable
 from dataclasses import dataclass, replace
 
 import pandas as pd
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -141,23 +142,28 @@ def chunked(
     ``back``/``ahead`` count rows, ``back_us``/``ahead_us`` microseconds.
     """
     sums = sums or {}
-    rows = df.where(F.col(axis.ts).isNotNull()).withColumn("_bucket", axis.bucket())
+    rows = df.where(F.col(axis.ts).isNotNull()).withColumns({"_us": micros(axis.ts), "_bucket": axis.bucket()})
     counts = rows.groupBy(*axis.keys, "_bucket").agg(
         F.count(F.lit(1)).alias("_n"), *[F.sum(c).alias(f"_sum_{n}") for n, c in sums.items()]
     )
-    layout = measured(
-        chunk_layout(
-            counts,
-            axis.keys,
-            axis.chunk_rows,
-            back,
-            ahead,
-            -(-back_us // axis.bucket_us),
-            -(-ahead_us // axis.bucket_us),
-            tuple(sums),
-        )
+    counts = counts.persist(StorageLevel.MEMORY_AND_DISK)
+    longest = counts.groupBy(*axis.keys).agg(F.sum("_n").alias("n")).agg(F.max("n")).first()[0]
+    if (longest or 0) <= axis.chunk_rows:
+        # Every series fits one chunk: the key alone is a safe partitioning.
+        counts.unpersist()
+        whole = {"_chunk": F.lit(0), "_own": F.lit(True), "_base": F.lit(0), "_end": F.lit(0), "_total": F.lit(0)}
+        return rows.withColumns({**whole, **{f"_before_{n}": F.lit(0.0) for n in sums}})
+    layout = chunk_layout(
+        counts,
+        axis.keys,
+        axis.chunk_rows,
+        back,
+        ahead,
+        -(-back_us // axis.bucket_us),
+        -(-ahead_us // axis.bucket_us),
+        tuple(sums),
     )
-    return rows.join(layout, [*axis.keys, "_bucket"]).withColumn("_us", micros(axis.ts))
+    return rows.join(measured(layout), [*axis.keys, "_bucket"])
 
 
 def chunk_window(axis: Axis) -> WindowSpec:
