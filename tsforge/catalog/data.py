@@ -111,4 +111,4 @@ daily AS (
 
 def r(expr: str, name: str, digits: int = 6) -> str:
     """Rounded output column of an oracle (adding 0 turns -0.0 into 0.0)."""
-    return f"round({expr}, {digits}) + 0.0 AS {name}"
+    return f"round(CAST({expr} AS DOUBLE), {digits}) + 0.0 AS {name}"

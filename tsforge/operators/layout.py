@@ -128,7 +128,15 @@ def chunk_layout(
     return layout.drop("_start")
 
 
-def chunked(
+def chunked(df: DataFrame, axis: Axis, *args, **kwargs) -> DataFrame:
+    """``df`` with _chunk, _own, _base, _us (and running sums _before_*), halo rows included.
+
+    ``back``/``ahead`` count rows, ``back_us``/``ahead_us`` microseconds.
+    """
+    return split(df, axis, *args, **kwargs)[0]
+
+
+def split(
     df: DataFrame,
     axis: Axis,
     back: int = 0,
@@ -136,11 +144,8 @@ def chunked(
     back_us: int = 0,
     ahead_us: int = 0,
     sums: dict[str, Column] | None = None,
-) -> DataFrame:
-    """``df`` with _chunk, _own, _base, _us (and running sums _before_*), halo rows included.
-
-    ``back``/``ahead`` count rows, ``back_us``/``ahead_us`` microseconds.
-    """
+) -> tuple[DataFrame, bool]:
+    """The rows of :func:`chunked`, and whether any series was cut into several chunks."""
     sums = sums or {}
     rows = df.where(F.col(axis.ts).isNotNull()).withColumns({"_us": micros(axis.ts), "_bucket": axis.bucket()})
     counts = rows.groupBy(*axis.keys, "_bucket").agg(
@@ -152,7 +157,7 @@ def chunked(
         # Every series fits one chunk: the key alone is a safe partitioning.
         counts.unpersist()
         whole = {"_chunk": F.lit(0), "_own": F.lit(True), "_base": F.lit(0), "_end": F.lit(0), "_total": F.lit(0)}
-        return rows.withColumns({**whole, **{f"_before_{n}": F.lit(0.0) for n in sums}})
+        return rows.withColumns({**whole, **{f"_before_{n}": F.lit(0.0) for n in sums}}), False
     layout = chunk_layout(
         counts,
         axis.keys,
@@ -163,7 +168,7 @@ def chunked(
         -(-ahead_us // axis.bucket_us),
         tuple(sums),
     )
-    return rows.join(measured(layout), [*axis.keys, "_bucket"])
+    return rows.join(measured(layout), [*axis.keys, "_bucket"]), True
 
 
 def chunk_window(axis: Axis) -> WindowSpec:

@@ -20,6 +20,13 @@ from tsforge.session import cut_lineage, measured
 MIN_PAST = 32
 
 
+PANDAS_TYPES = {"string": "object", "int": "int32", "bigint": "int64", "double": "float64", "timestamp": "datetime64[ns]"}
+
+
+def no_rows(schema: T.StructType) -> pd.DataFrame:
+    return pd.DataFrame({f.name: pd.Series(dtype=PANDAS_TYPES[f.dataType.simpleString()]) for f in schema.fields})
+
+
 def robust_scale(df: DataFrame, by: list[str], cols: dict[str, str]) -> DataFrame:
     """(x - median) / MAD per group; a zero MAD counts as 1 and NULL becomes 0."""
     out = df
@@ -157,12 +164,12 @@ def isolation_gate(
     later = F.explode(F.sequence(F.col("_period") + 1, F.col("_period") + reach))
     past = sample.withColumn("_period", later).join(sizes, [*keys, "_period"])
     past = past.withColumn("_part", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)))
-    schema = T.StructType([*[f for f in df.schema.fields if f.name in (*keys, axis.ts)]]).add("score", "double").add("keep", "int")
+    schema = T.StructType([*[f for f in df.schema.fields if f.name in (*keys, axis.ts)]]).add("score", "double").add("keep", "integer")
 
     def fit_and_score(old: pd.DataFrame, new: pd.DataFrame) -> pd.DataFrame:
         old = old.sort_values("_us")
         if len(old) < MIN_PAST or new.empty:
-            return pd.DataFrame({f.name: [] for f in schema.fields})
+            return no_rows(schema)
         x = old[cols].astype(float)
         med = x.median()
         mad = (x - med).abs().median().replace(0, 1.0)
@@ -173,7 +180,7 @@ def isolation_gate(
         return new[[*keys, axis.ts]].assign(score=scores[len(a) :], keep=keep.astype("int32"))
 
     group = [*keys, "_period", "_part"]
-    return past.groupBy(*group).cogroup(scored.groupBy(*group)).applyInPandas(fit_and_score, schema)
+    return renamed(past).groupBy(*group).cogroup(scored.groupBy(*group)).applyInPandas(fit_and_score, schema)
 
 
 def mask_per_fold(gate_rows: DataFrame, folds: DataFrame, axis: Axis) -> DataFrame:
@@ -182,6 +189,11 @@ def mask_per_fold(gate_rows: DataFrame, folds: DataFrame, axis: Axis) -> DataFra
     return train.select(*axis.keys, axis.ts, "keep", "fold_id")
 
 
+def renamed(df: DataFrame) -> DataFrame:
+    """The same columns under new internal ids, so both sides of a co-group can share a source."""
+    return df.select(*[F.col(c).alias(c) for c in df.columns])
+
+
 def _top_k(queries: pd.DataFrame, points: pd.DataFrame, k: int, vec: str) -> pd.DataFrame:
     """The k nearest points of each query by (distance, id), leaving the query itself out."""
     x, ids = np.stack(points[vec].to_numpy()), points["_id"].to_numpy()
@@ -225,14 +237,14 @@ def nearest_neighbours(
 
     def search(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if left.empty or right.empty:
-            return pd.DataFrame({f.name: [] for f in schema.fields})
+            return no_rows(schema)
         found = _top_k(left, right, k, "_v")
         for c in by:
             found[c] = left[c].iloc[0]
         return found[[f.name for f in schema.fields]]
 
     probe = asked.withColumn("_qblock", F.col("_block"))
-    place = pts.withColumn("_qblock", F.col("_block"))
+    place = renamed(pts.withColumn("_qblock", F.col("_block")))
     pair = [*by, "_block", "_qblock"]
     first = cut_lineage(probe.groupBy(*pair).cogroup(place.groupBy(*pair)).applyInPandas(search, schema))
     reach = first.groupBy(*by, "_id").agg(F.count(F.lit(1)).alias("_k"), F.max("_dist").alias("_far"))
@@ -255,7 +267,7 @@ def nearest_neighbours(
         probe = far.withColumn("_qblock", F.col("_block")).withColumn("_block", F.explode(more))
         probe = probe.where(F.col("_block") != F.col("_qblock")).select(*by, "_id", "_v", "_block", "_qblock")
         place = pts.select(*by, "_id", "_v", "_block").join(probe.select(*pair).distinct(), [*by, "_block"])
-        rest = probe.groupBy(*pair).cogroup(place.groupBy(*pair)).applyInPandas(search, schema)
+        rest = probe.groupBy(*pair).cogroup(renamed(place).groupBy(*pair)).applyInPandas(search, schema)
         first = first.unionByName(rest)
     best = first.groupBy(*by, "_id").agg(F.slice(F.array_sort(F.collect_list(F.struct("_dist", "_nbr"))), 1, k).alias("_b"))
     found = best.select(*by, F.col("_id").alias(row_id), F.posexplode("_b").alias("rank", "_s"))
