@@ -134,6 +134,7 @@ def ffill_limit(
         )
         df = _grid_of(bars, axis, every).join(bars.drop("_first"), [*axis.keys, "_bar"], "left")
         df = df.withColumn(axis.ts, from_micros("_bar")).select(*axis.keys, axis.ts, *cols)
+        axis = axis.with_(ties=())
 
     def build(d: DataFrame, w) -> DataFrame:
         frame = w.rowsBetween(-limit, 0)

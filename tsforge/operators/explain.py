@@ -63,7 +63,7 @@ def perturbation_attr(df: DataFrame, vec: str, scorer: Scorer, baseline: list[fl
     """
     base = np.asarray(baseline, dtype=float)
     labels = names or [f"f{i}" for i in range(len(base))]
-    schema = T.StructType(list(df.schema.fields)).add("_delta", "array<double>")
+    schema = T.StructType(list(df.schema.fields)).add("_delta", T.ArrayType(T.DoubleType()))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:

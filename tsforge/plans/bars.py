@@ -47,7 +47,7 @@ def build_bars(sources: BarSources, axis: Axis, every: int = 5 * MINUTE, fill_li
     pieces = []
     if sources.open_interest is not None:
         last = resample_last(sources.open_interest, axis, every, ["oi_now"])
-        pieces.append(ffill_limit(last, axis, ["oi_now"], fill_limit, every, flag="_imputed_{}"))
+        pieces.append(ffill_limit(last, axis.with_(ties=()), ["oi_now"], fill_limit, every, flag="_imputed_{}"))
     if sources.funding:
         funding = first_source(list(sources.funding), axis.keys)
         pieces.append(ffill_limit(funding, axis, ["funding_now"], fill_limit, every, flag="_imputed_{}"))
@@ -72,7 +72,7 @@ def build_bars(sources: BarSources, axis: Axis, every: int = 5 * MINUTE, fill_li
 
 def compose_measures(bars: DataFrame, axis: Axis, suffix: str = "15m", pctile_span: int = 30 * DAY) -> DataFrame:
     """Add realised variance, cumulative volume delta, perp share, liquidations and 30-day percentiles."""
-    have = set(bars.columns)
+    have, axis = set(bars.columns), axis.with_(ties=())
     zero = F.lit(0.0)
 
     def col(name: str):

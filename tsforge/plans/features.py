@@ -50,14 +50,24 @@ MEASURES = [
 
 
 def build_features(
-    bars: DataFrame, axis: Axis, warmup: int = 8640, low: float = 0.01, high: float = 0.99, fill_limit: int = 3, keep: tuple[str, ...] = (), check_keys: bool = False
+    bars: DataFrame,
+    axis: Axis,
+    warmup: int = 8640,
+    low: float = 0.01,
+    high: float = 0.99,
+    fill_limit: int = 3,
+    keep: tuple[str, ...] = (),
+    window: int | None = None,
+    check_keys: bool = False,
 ) -> DataFrame:
     """16 features and 2 imputation flags per bar, from the current and earlier bars only.
 
     All row frames share one partitioning and one order, so the bars are shuffled and
     sorted once; the six winsorised z-scores are computed on the same chunks. The first
-    ``warmup`` bars of each key are dropped.
+    ``warmup`` bars of each key are dropped; ``window`` is the reach of the z-scores
+    (the warm-up length unless given).
     """
+    window = window or warmup
     have = set(bars.columns)
     base = bars.select(
         *axis.keys,
@@ -68,7 +78,7 @@ def build_features(
     )
     if check_keys:
         assert_unique(base, [*axis.keys, axis.ts])
-    pieces = chunked(base, axis, back=2 * warmup + 2 + max(48, fill_limit))
+    pieces = chunked(base, axis, back=2 * window + 2 + max(48, fill_limit))
     w = chunk_window(axis)
     filled = lambda c: F.last(c, ignorenulls=True).over(w.rowsBetween(-fill_limit, 0))
     sin, cos = hour_of_week(axis.ts)
@@ -99,7 +109,7 @@ def build_features(
     scores = {"_vol": "vol_z", "_oi_log": "oi_z", "_fund": "fund_now_z", "_cvd_diff": "cvd_diff_z", "_liq": "liq60_z", "rv_5m": "rv_5m_z"}
     wanted = [*axis.keys, axis.ts, *axis.ties, *keep, *FLAGS, *[f for f in FEATURES if f not in scores.values()], *scores]
     internal = ["_chunk", "_own", "_us", "_pos"]
-    d = winsor_zscores_in(d.select(*dict.fromkeys([*wanted, *internal])), axis, scores, warmup, low, high)
+    d = winsor_zscores_in(d.select(*dict.fromkeys([*wanted, *internal])), axis, scores, window, low, high)
     d = owned(d).where(F.col("_pos") >= warmup)
     d = d.select(*axis.keys, axis.ts, *FEATURES, *FLAGS, *[c for c in keep if c not in FEATURES])
     return clean_numeric(d, exclude=(*axis.keys, axis.ts, *keep))
@@ -110,7 +120,7 @@ def latest_features(bars: DataFrame, axis: Axis, window: int = 144, tail: int =
     from tsforge.operators.causal import tail_per_key
 
     recent = tail_per_key(bars, axis, tail)
-    feats = build_features(recent, axis, warmup=0 if tail <= window else 1, low=0.01, high=0.99)
+    feats = build_features(recent, axis, warmup=0, window=window)
 
     def build(d: DataFrame, w) -> DataFrame:
         return d.withColumns({f: F.coalesce(F.col(f), F.lag(f).over(w)) for f in FEATURES})

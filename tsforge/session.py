@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -61,3 +62,9 @@ def measured(df: DataFrame) -> DataFrame:
     kept = df.persist(StorageLevel.MEMORY_AND_DISK)
     kept.count()
     return kept
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new folder for an intermediate table, below the shared checkpoint folder."""
+    _ensure_checkpoint_dir(spark)
+    return f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"

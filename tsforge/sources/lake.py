@@ -32,9 +32,9 @@ def scan(spark: SparkSession, path: str | list[str], cols: list[str] | None = No
 def scan_days(spark: SparkSession, path: str, start: str, end: str, cols: list[str] | None = None) -> DataFrame:
     """Rows of [start, end) of a y/m/d lake: the partition filter is derived from the time range."""
     df = spark.read.parquet(path)
-    day = F.concat_ws("-", "y", "m", "d")
+    day = F.make_date(*[F.col(c).cast("int") for c in "ymd"])
     last = F.lit(end).cast("timestamp") - F.expr("INTERVAL 1 MICROSECOND")
-    df = df.where((day >= F.lit(start[:10])) & (day <= F.date_format(last, "yyyy-MM-dd")))
+    df = df.where((day >= F.to_date(F.lit(start))) & (day <= F.to_date(last)))
     df = df.where((F.col("ts") >= F.lit(start).cast("timestamp")) & (F.col("ts") < F.lit(end).cast("timestamp")))
     return df.select(*cols) if cols else df
 
@@ -98,8 +98,9 @@ def build_manifest(spark: SparkSession, path: str) -> DataFrame:
     data = spark.read.parquet(path)
     width = len(data.columns) - 3
     counts = data.groupBy(F.col("_metadata.file_path").alias("path")).agg(F.count(F.lit(1)).alias("rows"))
-    d = hashes.join(counts, F.replace("path", F.lit("file:///"), F.lit("file:/")) == F.replace(counts["path"], F.lit("file:///"), F.lit("file:/")))
-    d = d.select(hashes["path"], "sha256", "rows", F.lit(width).alias("cols"))
+    # The two sources spell the same file address with one and with three slashes.
+    plain = lambda df: df.withColumn("path", F.regexp_replace("path", "^file:/+", "file:/"))
+    d = plain(hashes).join(plain(counts), "path").select("path", "sha256", "rows", F.lit(width).alias("cols"))
     parts = {p: F.regexp_extract("path", rf"/{p}=(\d+)/", 1) for p in "ymd"}
     return d.select(*[c.alias(p) for p, c in parts.items()], F.element_at(F.split("path", "/"), -1).alias("name"), "sha256", "rows", "cols")
 
@@ -168,10 +169,15 @@ def read_probs(spark: SparkSession, path: str) -> DataFrame:
 
 def read_events(spark: SparkSession, path: str, schema: T.StructType | None = None) -> tuple[DataFrame, DataFrame]:
     """JSON-lines events and, separately, the lines that did not parse."""
-    schema = schema or event_schema()
-    full = T.StructType([*schema.fields, T.StructField("_corrupt", T.StringType())])
-    raw = spark.read.schema(full).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt").json(path)
-    return raw.where("_corrupt IS NULL").drop("_corrupt"), raw.where("_corrupt IS NOT NULL").select("_corrupt")
+    parsed = parse_events(spark.read.text(path), schema)
+    return parsed.where("_corrupt IS NULL").drop("_corrupt"), parsed.where("_corrupt IS NOT NULL").select("_corrupt")
+
+
+def parse_events(lines: DataFrame, schema: T.StructType | None = None) -> DataFrame:
+    """Typed events of a text column ``value``, batch or stream; ``_corrupt`` holds lines that did not parse."""
+    full = T.StructType([*(schema or event_schema()).fields, T.StructField("_corrupt", T.StringType())])
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}
+    return lines.select(F.from_json("value", full, options).alias("e")).select("e.*")
 
 
 def event_schema() -> T.StructType:
