@@ -21,8 +21,9 @@ STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreP
 class _KeyedRunner(StatefulProcessor):
     """Runs a state machine over the rows of one key and keeps its state as JSON."""
 
-    def __init__(self, runner: Runner, initial: dict, names: list[str], outputs: list[str]) -> None:
-        self.runner, self.initial, self.names, self.outputs = runner, initial, names, outputs
+    def __init__(self, runner: Runner, initial: dict, inputs: list[str], names: list[str], outputs: list[str]) -> None:
+        self.runner, self.initial = runner, initial
+        self.inputs, self.names, self.outputs = inputs, names, outputs
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.saved = handle.getValueState("state", "version int, state string")
@@ -32,7 +33,9 @@ class _KeyedRunner(StatefulProcessor):
         parts = [p for p in rows if len(p)]
         if not parts:
             return
-        batch = pd.concat(parts).sort_values("_us", kind="stable").reset_index(drop=True)
+        batch = pd.concat(parts, ignore_index=True)
+        batch.columns = self.inputs  # the worker renames columns that start with "_"
+        batch = batch.sort_values("_us", kind="stable").reset_index(drop=True)
         cols, after = self.runner(batch, state)
         self.saved.update((STATE_VERSION, json.dumps(after)))
         yield pd.concat([batch[self.names], cols[self.outputs]], axis=1)
@@ -50,7 +53,7 @@ def stream_states(sdf: DataFrame, keys: list[str], ts: str, runner: Runner, init
     sdf.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
     kept = [f for f in sdf.schema.fields if f.name not in drop]
     new = T._parse_datatype_string(",".join(f"`{n}` {t}" for n, t in outputs.items())).fields
-    machine = _KeyedRunner(runner, initial, [f.name for f in kept], list(outputs))
+    machine = _KeyedRunner(runner, initial, [*sdf.columns, "_us"], [f.name for f in kept], list(outputs))
     return (
         sdf.withColumn("_us", micros(ts))
         .groupBy(*keys)
