@@ -153,7 +153,7 @@ def ev_decisions(spark, sf):
 )
 def cooldown_decisions(spark, sf):
     d = cut_lineage(policy.ev_decision(policy_rows(spark, sf)))
-    d = policy.cooldown_policy(d, BARS.with_(bucket_us=DAY, chunk_rows=200), H=12, every=HOUR)
+    d = policy.cooldown_policy(d, BARS, H=12, every=HOUR)
     return out(d, "symbol", "ts", "side", "size", "TP_px", "SL_px", "EV", "reason", TP_px=4, SL_px=4)
 
 
@@ -184,7 +184,7 @@ def _position_sql(early: bool) -> str:
 
 def _positions(spark, sf, early):
     d = cut_lineage(policy_rows(spark, sf))
-    d = policy.position_policy(d, BARS.with_(bucket_us=DAY, chunk_rows=250), H=12, every=HOUR, early_exit=early)
+    d = policy.position_policy(d, BARS, H=12, every=HOUR, early_exit=early)
     return out(d, "symbol", "ts", "side", "size", "TP_px", "SL_px", "EV_bps", "k_atr", "vol_pctile", "liq60_pctile", "reason", TP_px=4, SL_px=4, EV_bps=3)
 
 
@@ -248,7 +248,7 @@ def control_chart(spark, sf):
 def cusum_regimes(spark, sf):
     d = daily(spark, sf)
     h = d.select("symbol").distinct().withColumn("h", F.lit(4.0))
-    return out(monitor.cusum_regimes(d, DAILY.with_(bucket_us=50 * DAY, chunk_rows=500), "close", h), "symbol", "ts", "changed", "regime_id")
+    return out(monitor.cusum_regimes(d, DAILY, "close", h), "symbol", "ts", "changed", "regime_id")
 
 
 @entry()

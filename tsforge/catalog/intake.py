@@ -248,7 +248,7 @@ TELE_OUT = f"""WITH {SQL_TICKS}, {SQL_LINES} SELECT symbol, event_id, CAST(temp
 @entry(TELE_OUT)
 def telemetry_batch(spark, sf):
     d = states.parse_telemetry(_lines(ticks(spark, sf)))
-    d = run_states(d, TICKS.with_(chunk_rows=700), *states.telemetry_runner())
+    d = run_states(d, TICKS, *states.telemetry_runner())
     return out(d, "symbol", "event_id", "temp", "util", "throttle", "transition")
 
 

@@ -157,7 +157,7 @@ def mask_set_checks(spark, sf):
 )
 def exact_quantiles(spark, sf):
     li = table(spark, sf, "lineitem").select("l_returnflag", "l_extendedprice")
-    d = ranks.exact_quantiles(li, ["l_returnflag"], "l_extendedprice", [0.01, 0.25, 0.5, 0.99], chunk_values=4096)
+    d = ranks.exact_quantiles(li, ["l_returnflag"], "l_extendedprice", [0.01, 0.25, 0.5, 0.99])
     return out(d, "l_returnflag", "prob", "quantile")
 
 
@@ -166,7 +166,7 @@ def exact_quantiles(spark, sf):
 )
 def global_pct_rank(spark, sf):
     o = table(spark, sf, "orders").select("o_orderkey", "o_orderpriority", "o_totalprice")
-    d = ranks.pct_rank(o, ["o_orderpriority"], "o_totalprice", "vol_pctile", chunk_values=2048)
+    d = ranks.pct_rank(o, ["o_orderpriority"], "o_totalprice", "vol_pctile")
     return out(d, "o_orderkey", "o_orderpriority", "vol_pctile")
 
 
@@ -187,7 +187,7 @@ KS_COLS = ["l_quantity", "l_extendedprice", "l_discount"]
 def ks_between_periods(spark, sf):
     li = table(spark, sf, "lineitem").select("l_shipdate", *KS_COLS)
     cut = F.col("l_shipdate") < F.lit("1998-06-01").cast("timestamp_ntz")
-    d = ranks.ks_two_sample(li.where(cut), li.where(~cut), KS_COLS, chunk_values=4096)
+    d = ranks.ks_two_sample(li.where(cut), li.where(~cut), KS_COLS)
     return out(d, "feature", "d", "p", "n_a", "n_b")
 
 

@@ -14,8 +14,9 @@ from tsforge.operators.quality import gate
 from tsforge.operators.ranks import running_by_value
 from tsforge.session import measured
 
-GRID = [0.5 + 0.05 * i for i in range(91)]
-WIDE_GRID = [5.0 + 0.05 * i for i in range(101)]
+# Temperature grids as (first, step, points).
+GRID = (0.5, 0.05, 91)
+WIDE_GRID = (5.0, 0.05, 101)
 BINS = 15
 
 
@@ -40,9 +41,10 @@ def _z() -> tuple[Column, Column, Column]:
     return F.col("z0"), F.col("z1"), F.col("z2")
 
 
-def _grid_nll(rows: DataFrame, grid: list[float], by: list[str]) -> DataFrame:
+def _grid_nll(rows: DataFrame, grid: tuple[float, float, int], by: list[str]) -> DataFrame:
     """Mean NLL per (by, grid point); rows are expanded and summed inside the scan stage."""
-    points = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(t).alias("t")) for i, t in enumerate(grid)])
+    first, step, n = grid
+    points = F.expr(f"transform(sequence(0, {n - 1}), i -> named_struct('i', i, 't', {first}D + {step}D * i))")
     d = rows.withColumn("_g", F.explode(points))
     p = softmax3(*_z(), F.col("_g.t"))
     return d.groupBy(*by, F.col("_g.i").alias("i"), F.col("_g.t").alias("t")).agg(F.avg(row_nll(*p, F.col("y"))).alias("nll"))
@@ -72,7 +74,7 @@ def fit_temperature(probs: DataFrame, by: str = "fold_id") -> DataFrame:
     val = rows.where("split = 'val'")
     first = F.min_by(F.struct("i", "t"), F.struct("nll", "i"))
     best = measured(_grid_nll(val, GRID, [by]).groupBy(by).agg(first.alias("b"), F.min("nll").alias("nll")))
-    edge = best.where(F.col("b.i") == len(GRID) - 1).select(by)
+    edge = best.where(F.col("b.i") == GRID[2] - 1).select(by)
     fit = best.select(by, F.col("b.t").alias("temperature"), F.col("nll").alias("nll_val"))
     if edge.count():
         wide = _grid_nll(val.join(edge, by), WIDE_GRID, [by])

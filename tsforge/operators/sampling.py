@@ -269,9 +269,10 @@ def nearest_neighbours(
         place = pts.select(*by, "_id", "_v", "_block").join(probe.select(*pair).distinct(), [*by, "_block"])
         rest = probe.groupBy(*pair).cogroup(renamed(place).groupBy(*pair)).applyInPandas(search, schema)
         first = first.unionByName(rest)
-    best = first.groupBy(*by, "_id").agg(F.slice(F.array_sort(F.collect_list(F.struct("_dist", "_nbr"))), 1, k).alias("_b"))
-    found = best.select(*by, F.col("_id").alias(row_id), F.posexplode("_b").alias("rank", "_s"))
-    return found.select(*by, row_id, (F.col("rank") + 1).alias("rank"), F.col("_s._nbr").alias("nbr"), F.col("_s._dist").alias("dist"))
+    # Each block gave at most k candidates; the ranking is cut to k before it is shuffled.
+    closest = Window.partitionBy(*by, "_id").orderBy("_dist", "_nbr")
+    found = first.withColumn("rank", F.row_number().over(closest)).where(F.col("rank") <= k)
+    return found.select(*by, F.col("_id").alias(row_id), "rank", F.col("_nbr").alias("nbr"), F.col("_dist").alias("dist"))
 
 
 def smote(
