@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 Query = Callable[[SparkSession, str], DataFrame]
-MODULES = ["alignment", "statistics", "labelling", "scoring", "decisions", "intake"]
+MODULES = ["alignment", "statistics", "labelling", "scoring", "decisions", "intake", "jobs"]
 
 
 def load() -> tuple[dict[str, Query], dict[str, str]]:
