@@ -11,7 +11,8 @@ from tsforge.operators.align import resample_ohlcv
 from tsforge.operators.layout import Axis
 from tsforge.session import apply_settings, cut_lineage
 
-TICKS = Axis("symbol", "ts", bucket_us=DAY, ties=("event_id",))
+TICKS = Axis("symbol", "ts", bucket_us=DAY)  # times are unique per symbol
+ORDERS = Axis("symbol", "ts", bucket_us=400 * DAY, ties=("event_id",))  # many orders per day
 BARS = Axis("symbol", "ts", bucket_us=10 * DAY)
 DAILY = Axis("symbol", "ts", bucket_us=400 * DAY)
 
@@ -47,7 +48,7 @@ def daily(spark: SparkSession, sf: str) -> DataFrame:
         F.lit(1.0).alias("n"),
         F.col("o_orderkey").alias("event_id"),
     )
-    return cut_lineage(resample_ohlcv(o, TICKS.with_(bucket_us=400 * DAY), DAY, price="value", volume="n"))
+    return cut_lineage(resample_ohlcv(o, ORDERS, DAY, price="value", volume="n"))
 
 
 def out(df: DataFrame, *cols, **rounded: int) -> DataFrame:

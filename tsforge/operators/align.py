@@ -9,6 +9,12 @@ from tsforge.functions.timeunits import DAY, ceil_to, floor_to, from_micros, mic
 from tsforge.operators.layout import Axis, over_frames, per_key
 
 
+def _order(axis: Axis) -> Column:
+    """What first and last go by. A plain number keeps the aggregation a hash aggregation;
+    only tie columns, where times repeat, need a struct (and a sort)."""
+    return F.struct("_us", *axis.ties) if axis.ties else F.col("_us")
+
+
 def _in_bars(df: DataFrame, axis: Axis, every: int) -> DataFrame:
     us = micros(axis.ts)
     return df.where(F.col(axis.ts).isNotNull()).withColumn("_us", us).withColumn("_bar", ceil_to(us, every))
@@ -36,7 +42,7 @@ def resample_ohlcv(
     """
     src = dict.fromkeys(("open", "high", "low", "close"), price) if price else {c: c for c in ("open", "high", "low", "close")}
     rows = _in_bars(df, axis, every)
-    at = F.struct("_us", *axis.ties)
+    at = _order(axis)
 
     def first(c: str) -> Column:
         return F.min_by(c, F.when(F.col(c).isNotNull(), at))
@@ -71,7 +77,7 @@ def resample_sum(df: DataFrame, axis: Axis, every: int, cols: list[str], drop_da
 
 def resample_last(df: DataFrame, axis: Axis, every: int, cols: list[str]) -> DataFrame:
     """Last non-null value of each column per bucket."""
-    at = F.struct("_us", *axis.ties)
+    at = _order(axis)
     out = _in_bars(df, axis, every).groupBy(*axis.keys, "_bar").agg(
         *[F.max_by(c, F.when(F.col(c).isNotNull(), at)).alias(c) for c in cols]
     )
@@ -129,7 +135,7 @@ def ffill_limit(
     """
     if every is not None:
         bars = _in_bars(df, axis, every).groupBy(*axis.keys, "_bar").agg(
-            *[F.max_by(c, F.when(F.col(c).isNotNull(), F.struct("_us", *axis.ties))).alias(c) for c in cols],
+            *[F.max_by(c, F.when(F.col(c).isNotNull(), _order(axis))).alias(c) for c in cols],
             F.min("_us").alias("_first"),
         )
         df = _grid_of(bars, axis, every).join(bars.drop("_first"), [*axis.keys, "_bar"], "left")

@@ -47,24 +47,35 @@ def winsor_zscores_in(pieces: DataFrame, axis: Axis, cols: dict[str, str], windo
     return over_pandas(pieces, axis, fn, {out: "double" for out in cols.values()})
 
 
+def quantile_of(values: Column, q: float) -> Column:
+    """Linearly interpolated quantile of a sorted array column."""
+    at = (F.size(values) - 1) * F.lit(q)
+    i = F.floor(at).cast("int")
+    low = F.get(values, i)
+    return low + (F.coalesce(F.get(values, i + 1), low) - low) * (at - i)
+
+
+def clip_to_past(x: Column, frame, low: float, high: float, d: DataFrame, out: str) -> DataFrame:
+    """Clip ``x`` to the quantiles of its frame; short frames are sorted as arrays inside the JVM."""
+    d = d.withColumn("_q", F.array_sort(F.collect_list(x).over(frame)))
+    clipped = F.least(F.greatest(x, quantile_of(F.col("_q"), low)), quantile_of(F.col("_q"), high))
+    return d.withColumn(out, F.when(x.isNotNull(), clipped)).drop("_q")
+
+
 def winsorize_causal(
     df: DataFrame, axis: Axis, col: str, window: int, low: float = 0.01, high: float = 0.99, out: str | None = None, method: str = "auto"
 ) -> DataFrame:
     """Clip to the quantiles of rows [t-window, t-1].
 
-    ``sql`` evaluates exact percentiles per frame, O(window) per row; ``pandas`` keeps a
-    sorted window and is used for wider frames under ``auto``.
+    ``sql`` sorts every frame, for short ones; ``pandas`` keeps a sorted window and is used
+    for wider frames under ``auto``.
     """
     out = out or col
     if method == "sql" or (method == "auto" and window <= SQL_FRAME_LIMIT):
 
         def build(d: DataFrame, w) -> DataFrame:
             frame = w.rowsBetween(-window, -1)
-            bounds = F.percentile(col, F.array(F.lit(low), F.lit(high))).over(frame)
-            d = d.withColumn("_q", bounds)
-            x = F.col(col).cast("double")
-            clipped = F.least(F.greatest(x, F.get("_q", F.lit(0))), F.get("_q", F.lit(1)))
-            return d.withColumn(out, F.when(x.isNotNull(), clipped)).drop("_q")
+            return clip_to_past(F.col(col).cast("double"), frame, low, high, d, out)
 
         return over_frames(df, axis, build, back=window)
     pieces = chunked(df, axis, back=window)
@@ -119,10 +130,8 @@ def atr_pct_in(pieces: DataFrame, axis: Axis, window: int, out: str) -> DataFram
     atr = F.when(F.count("_tr").over(past) == window, F.avg("_tr").over(past))
     raw = F.coalesce(finite(F.try_divide(atr, F.when(F.col("_pc") != 0, F.col("_pc")))), F.lit(0.0))
     # The first bars have no full past and count as 0, also inside the clipping frame.
-    d = d.withColumn("_raw", raw)
-    d = d.withColumn("_q", F.percentile("_raw", F.array(F.lit(0.01), F.lit(0.99))).over(past))
-    clipped = F.least(F.greatest(F.col("_raw"), F.get("_q", F.lit(0))), F.get("_q", F.lit(1)))
-    return d.withColumn(out, clipped).drop("_pc", "_tr", "_raw", "_q")
+    d = clip_to_past(F.col("_raw"), past, 0.01, 0.99, d.withColumn("_raw", raw), out)
+    return d.drop("_pc", "_tr", "_raw")
 
 
 AGGREGATES = {"sum": F.sum, "avg": F.avg, "min": F.min, "max": F.max, "count": F.count, "stddev": F.stddev_pop}

@@ -215,12 +215,14 @@ def _top_k(queries: pd.DataFrame, points: pd.DataFrame, k: int, vec: str) -> pd.
 def nearest_neighbours(
     points: DataFrame, by: list[str], vec: str, row_id: str, k: int = 5, queries: DataFrame | None = None, block_rows: int = 4096
 ) -> DataFrame:
-    """(by, id, nbr, dist): the exact k nearest neighbours inside each group.
-
-    Points are ordered by their distance to the group mean and cut into blocks. A query
-    first looks into its own block; the k-th distance found there bounds, by the triangle
-    inequality, which other blocks can hold a nearer point, and only those are visited.
-    No task holds more than one block of points and one block of queries.
+    """(by, id, rank, nbr, dist): exact k nearest neighbours inside each group.
+
+    Points are ordered by their distance to the group mean and cut into blocks; points at
+    equal distance (copies) are spread over several blocks by hash. A query first looks
+    into its own block; the k-th distance found there bounds, by the triangle inequality,
+    which other blocks can hold a strictly nearer point, and only those are visited. Copies
+    find k neighbours at distance 0 at once and go no further. No task holds more than one
+    block of points and one block of queries.
     """
     pts = points.select(*by, F.col(row_id).cast("long").alias("_id"), F.transform(vec, lambda v: v.cast("double")).alias("_v"))
     dims = pts.select(*by, F.posexplode("_v").alias("_i", "_x")).groupBy(*by, "_i").agg(F.avg("_x").alias("_m"))
@@ -228,8 +230,10 @@ def nearest_neighbours(
     gap = F.zip_with("_v", "_c", lambda a, b: (a - b) * (a - b))
     pts = pts.join(measured(center), by).withColumn("_t", F.sqrt(F.aggregate(gap, F.lit(0.0), lambda s, v: s + v))).drop("_c")
     order = running_by_value(pts.select(*by, "_t"), by, "_t")
-    block = F.floor(F.col("before") / F.lit(block_rows)).cast("long")
-    pts = cut_lineage(pts.join(order.select(*by, "_t", block.alias("_block")), [*by, "_t"]))
+    placed = pts.join(order.select(*by, "_t", "before", "n"), [*by, "_t"])
+    spread = F.pmod(F.xxhash64("_id"), F.ceil(F.col("n") / F.lit(block_rows)))
+    block = F.floor(F.col("before") / F.lit(block_rows)) + spread
+    pts = cut_lineage(placed.withColumn("_block", block.cast("long")).drop("before", "n"))
     asked = pts
     if queries is not None:
         asked = pts.join(queries.select(*by, F.col(row_id).cast("long").alias("_id")), [*by, "_id"], "left_semi")
@@ -248,7 +252,7 @@ def nearest_neighbours(
     pair = [*by, "_block", "_qblock"]
     first = cut_lineage(probe.groupBy(*pair).cogroup(place.groupBy(*pair)).applyInPandas(search, schema))
     reach = first.groupBy(*by, "_id").agg(F.count(F.lit(1)).alias("_k"), F.max("_dist").alias("_far"))
-    far = asked.join(reach, [*by, "_id"], "left")
+    far = asked.join(reach, [*by, "_id"], "left").where(F.col("_k").isNull() | (F.col("_k") < k) | (F.col("_far") > 0))
     # An own block with fewer than k points bounds nothing: look everywhere.
     radius = F.when(F.col("_k") >= k, F.col("_far") * (1 + 1e-9)).otherwise(F.lit(1e300))
     far = far.withColumns({"_lo": F.col("_t") - radius, "_hi": F.col("_t") + radius})
@@ -301,8 +305,11 @@ def smote(
     base = minor.join(need, [*by, label])
     hashed = base.select(*by, label, row_id, F.xxhash64(row_id, F.lit(seed)).cast("double").alias("_h"), "_n", "_need")
     order = running_by_value(hashed, [*by, label], "_h").select(*by, label, "_h", "before")
-    extra = (F.col("before") < F.pmod(F.col("_need"), F.col("_n"))).cast("long")
-    copies = hashed.join(order, [*by, label, "_h"]).withColumn("_c", F.floor(F.col("_need") / F.col("_n")) + extra)
+    same_hash = Window.partitionBy(*by, label, "_h").orderBy(row_id)
+    place = F.col("before") + F.row_number().over(same_hash) - 1
+    copies = hashed.join(order, [*by, label, "_h"]).withColumn("_place", place)
+    extra = (F.col("_place") < F.pmod(F.col("_need"), F.col("_n"))).cast("long")
+    copies = copies.withColumn("_c", F.floor(F.col("_need") / F.col("_n")) + extra)
     copies = cut_lineage(copies.where("_c > 0").select(*by, label, row_id, "_c"))
     near = nearest_neighbours(minor, [*by, label], vec, row_id, k, copies, block_rows)
     lists = near.groupBy(*by, label, row_id).agg(

@@ -55,13 +55,14 @@ def write_daily(
 ) -> None:
     """Write y/m/d partitions, replacing whole days, sorted by time inside each file.
 
-    ``files_per_day`` spreads a day over several files by key, so a day need not fit one task.
+    ``files_per_day`` spreads a day over several files by key and hour, so neither a day nor
+    a hot key need fit one task.
     """
     keys = [key] if isinstance(key, str) else key
     if check_keys:
         assert_unique(df, [*keys, ts])
     d = df.withColumns({n: c for n, c in zip("ymd", partition_columns(ts))})
-    part = F.pmod(F.xxhash64(*keys), F.lit(files_per_day)) if files_per_day > 1 else F.lit(0)
+    part = F.pmod(F.xxhash64(*keys, F.hour(ts)), F.lit(files_per_day)) if files_per_day > 1 else F.lit(0)
     writer = d.withColumn("_part", part).repartition("y", "m", "d", "_part").drop("_part").sortWithinPartitions("y", "m", "d", ts, *keys)
     (
         writer.write.mode(mode)

@@ -20,7 +20,7 @@ def stream_ohlcv(sdf: DataFrame, axis: Axis, every: int, price: str, volume: str
 
     The bar is a column before the watermark is set, so rows and watermark share one clock.
     """
-    at = F.struct("_us", *axis.ties)
+    at = F.struct("_us", *axis.ties) if axis.ties else F.col("_us")
     d = sdf.withColumn("_us", micros(axis.ts)).withColumn("bar", from_micros(ceil_to(F.col("_us"), every)))
     aggs = [
         F.min_by(price, at).alias("open"),
