@@ -39,16 +39,27 @@ def _sketch(rows: DataFrame, by: list[str], value: str) -> DataFrame:
     )
 
 
-def _bucket(value: str) -> Column:
-    """Monotone bucket number of a value: its quantile cell, then an even split of the cell."""
-    v = F.col(value)
-    # Two short searches (8 x 8 cells) instead of one long one.
-    coarse = F.size(F.filter(F.expr(f"transform(sequence(1, 7), i -> _q[i * {CELLS // 8}])"), lambda q: q <= v))
-    inner = F.slice("_q", coarse * (CELLS // 8) + 2, F.lit(CELLS // 8 - 1))
-    cell = coarse * (CELLS // 8) + F.size(F.filter(inner, lambda q: q <= v))
-    lo, hi = F.get("_q", cell), F.get("_q", cell + 1)
-    part = F.floor(F.coalesce(F.try_divide(v - lo, hi - lo), F.lit(0.0)) * FINE)
-    return cell.cast("long") * FINE + F.least(F.greatest(part, F.lit(0)), F.lit(FINE - 1))
+def _place(rows: DataFrame, sketch: DataFrame, by: list[str], value: str) -> DataFrame:
+    """Add ``_bucket``, a monotone number of the value: its quantile cell, then an even split of the cell.
+
+    One expression: a binary search over the cell boundaries whose last step splits the
+    cell. (Separate columns would be inlined into each other many times over.)
+    """
+    steps, step = [], CELLS // 2
+    while step:
+        steps.append(F.lit(step))
+        step //= 2
+    v = F.col(value).cast("double")
+
+    def split(cell: Column) -> Column:
+        lo, hi = F.get("_q", cell), F.get("_q", cell + 1)
+        part = F.floor(F.coalesce(F.try_divide(v - lo, hi - lo), F.lit(0.0)) * FINE)
+        return cell.cast("long") * FINE + F.least(F.greatest(part, F.lit(0)), F.lit(FINE - 1))
+
+    search = F.aggregate(
+        F.array(*steps), F.lit(0), lambda cell, step: F.when(F.get("_q", cell + step) <= v, cell + step).otherwise(cell), split
+    )
+    return rows.join(sketch.drop("_t"), by).withColumn("_bucket", search).drop("_q")
 
 
 def _before(name: str) -> str:
@@ -71,7 +82,7 @@ def running_by_value(
         w = Window.partitionBy(*keys).orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
         out = distinct.withColumns({_before(s): F.coalesce(F.sum(s).over(w), F.lit(0.0)) for s in sums})
         return out.drop("_all")
-    placed = rows.join(sketch, keys).withColumn("_bucket", _bucket(value)).drop("_q", "_t")
+    placed = _place(rows, sketch, keys, value)
     counts = placed.groupBy(*keys, "_bucket").agg(
         F.count(F.lit(1)).alias("_n"), *[F.sum(c).cast("double").alias(f"_sum_{name}") for name, c in sums.items()]
     )
@@ -96,7 +107,7 @@ def exact_quantiles(df: DataFrame, by: list[str], value: str, probs: list[float]
     big = (sketch.agg(F.max("_t")).first()[0] or 0) > chunk_values
     rows = rows.withColumn("_bucket", F.lit(0))
     if big:
-        rows = rows.drop("_bucket").join(sketch.drop("_t"), keys).withColumn("_bucket", _bucket(value)).drop("_q")
+        rows = _place(rows.drop("_bucket"), sketch, keys, value)
         counts = rows.groupBy(*keys, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
         upto = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, 0)
         counts = counts.withColumn("_end", F.sum("_n").over(upto)).withColumn("_start", F.col("_end") - F.col("_n"))
@@ -117,7 +128,7 @@ def exact_quantiles(df: DataFrame, by: list[str], value: str, probs: list[float]
 def pct_rank(df: DataFrame, by: list[str], value: str, out: str, chunk_values: int = CHUNK_VALUES) -> DataFrame:
     """Average-tie percentile rank in (0, 1] of each row among all rows of its group."""
     ranked = running_by_value(df, by, value, chunk_values=chunk_values)
-    total = measured(ranked.groupBy(*by).agg(F.sum("n").alias("_t")))
+    total = measured(df.groupBy(*by).agg(F.count(value).alias("_t")))
     ranks = ranked.join(total, by).select(
         *by, value, ((F.col("before") + (F.col("n") + 1) / 2) / F.col("_t")).alias(out)
     )
@@ -135,7 +146,8 @@ def ks_two_sample(a: DataFrame, b: DataFrame, cols: list[str], chunk_values: int
 
     both = long(a, 0).unionByName(long(b, 1))
     ranked = running_by_value(both, ["feature"], "v", {"na": "is_a", "nb": "is_b"}, chunk_values)
-    total = measured(ranked.groupBy("feature").agg(F.sum("na").alias("n_a"), F.sum("nb").alias("n_b")))
+    sizes = both.where("v IS NOT NULL").groupBy("feature")
+    total = measured(sizes.agg(F.sum("is_a").cast("double").alias("n_a"), F.sum("is_b").cast("double").alias("n_b")))
     d = ranked.join(total, ["feature"])
     gap = F.abs(
         F.try_divide(F.col("before_na") + F.col("na"), F.col("n_a")) - F.try_divide(F.col("before_nb") + F.col("nb"), F.col("n_b"))
