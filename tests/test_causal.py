@@ -95,3 +95,18 @@ def test_atr_is_causal(spark, bars, local):
     joined = part.merge(full, on=["symbol", "ts"])
     assert len(joined) == len(part)
     np.testing.assert_allclose(joined.atr_pct_x, joined.atr_pct_y)
+
+
+def test_layout_too_large_to_broadcast(spark, bars):
+    """The same result through shuffle joins."""
+
+    def build(d, w):
+        return d.withColumn("a", F.sum("volume").over(w.rowsBetween(-20, 15)))
+
+    a = pull(over_frames(bars, CUT, build, back=20, ahead=15))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        b = pull(over_frames(bars, CUT, build, back=20, ahead=15))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    pd.testing.assert_frame_equal(a, b)

@@ -105,14 +105,33 @@ def test_isolation_gate_flags_an_outlier(spark):
     pdf.loc[550, "volume"] = 1e5
     d = spark.createDataFrame(pdf)
     args = {"q": 0.95, "span_us": DAY, "refit_us": 360 * MINUTE, "trees": 30, "psi": 64}
-    out = pull(sampling.isolation_gate(d, AXIS, ["close", "volume"], **args))
+    out = pull(sampling.isolation_gate(d, AXIS, ["volume"], **args))
     row = out[out.ts == pdf.ts[550]].iloc[0]
     assert row.keep == 0 and row.score > out.score.median() and out.keep.mean() > 0.6
     # The same forest whatever the number of parts the scored rows are cut into.
-    parts = pull(sampling.isolation_gate(d, AXIS, ["close", "volume"], part_rows=10, **args))
+    parts = pull(sampling.isolation_gate(d, AXIS, ["volume"], part_rows=10, **args))
     np.testing.assert_allclose(parts.score, out.score)
 
 
+def test_forest_scores_like_a_plain_recursive_forest():
+    rng = np.random.default_rng(0)
+    past = rng.normal(0, 1, (500, 2))
+    points = np.array([[8.0, 8.0], [0.0, 0.0], [2.0, -1.0]])
+
+    def depth(s, x, level, height):
+        if level >= height or len(s) <= 1:
+            return level + float(sampling.average_path(len(s)))
+        d = rng.integers(2)
+        c = rng.uniform(s[:, d].min(), s[:, d].max())
+        side = s[:, d] <= c
+        return depth(s[side] if x[d] <= c else s[~side], x, level + 1, height)
+
+    got = sampling.isolation_scores(past, points, 300, 64, 1)
+    for x, score in zip(points, got):
+        mean = np.mean([depth(past[rng.choice(500, 64, replace=False)], x, 0, 6) for _ in range(300)])
+        assert score == pytest.approx(2 ** (-mean / float(sampling.average_path(64))), abs=0.03)
+
+
 def test_folds(spark):
     ts = pd.DataFrame({"ts": pd.date_range("2024-01-01", periods=2400, freq="5min")})
     d = spark.createDataFrame(ts)

@@ -173,3 +173,40 @@ def synthetic_validation(spark, sf):
 def bar_ratios(spark, sf):
     d = bars(spark, sf).withColumns({"hl_range": scalars.range_ratio("high", "low", "close"), "co_ret": scalars.safe_log_ratio("close", "open")})
     return out(d, "symbol", "ts", "hl_range", "co_ret")
+
+
+@entry(
+    f"""WITH o AS (SELECT CAST(o_orderkey % 5 AS INTEGER) AS fold_id, CASE o_orderstatus WHEN 'F' THEN 'LONG' WHEN 'P' THEN 'SHORT' ELSE 'WAIT' END AS label FROM orders),
+  s AS (SELECT fold_id, avg(CAST(label = 'WAIT' AS DOUBLE)) AS v FROM o GROUP BY 1)
+  SELECT fold_id, 'wait_share' AS "check", {r('v', 'value')}, 0.6::DOUBLE AS threshold, CAST(v <= 0.6 AS INTEGER) AS passed FROM s"""
+)
+def class_mix_gate(spark, sf):
+    lab = F.when(F.col("o_orderstatus") == "F", "LONG").when(F.col("o_orderstatus") == "P", "SHORT").otherwise("WAIT")
+    o = table(spark, sf, "orders").select((F.col("o_orderkey") % 5).cast("int").alias("fold_id"), lab.alias("label"))
+    return out(quality.class_mix_gate(o), "fold_id", "check", "value", "threshold", "passed")
+
+
+@entry(
+    f"""WITH l AS (SELECT CAST(user_id % 5 AS INTEGER) AS fold_id, event_id, value FROM events), s AS (SELECT fold_id, (arg_min(value, event_id) - min(value)) / greatest(arg_min(value, event_id), 1e-9) AS g FROM l GROUP BY 1)
+  SELECT fold_id, 'loss_improvement' AS "check", {r('g', 'value')}, 0.05::DOUBLE AS threshold, CAST(g >= 0.05 AS INTEGER) AS passed FROM s
+  UNION ALL SELECT fold_id, 'decay_low', 0.98, 0.95, 1 FROM s UNION ALL SELECT fold_id, 'decay_high', 0.98, 1.0, 1 FROM s"""
+)
+def training_gate(spark, sf):
+    """Fold, loss and decay factor are read out of log lines."""
+    t = ticks(spark, sf)
+    line = F.concat(F.lit("fold"), F.col("user_id") % 5, F.lit(" lambda=0.98 val_loss="), F.col("value"))
+    d = t.select("event_id", line.alias("line"))
+    d = d.select("event_id", scalars.extract_fold_id("line").alias("fold_id"), F.get(scalars.extract_val_losses("line"), F.lit(0)).alias("loss"), scalars.extract_lambda("line").alias("lam"))
+    return out(quality.training_gate(d, "fold_id", "event_id", "loss", "lam"), "fold_id", "check", "value", "threshold", "passed")
+
+
+@entry(f"WITH {SQL_BARS}, g AS (SELECT symbol, min(ts_us) AS lo, max(ts_us) AS hi FROM bars GROUP BY 1) SELECT symbol, unnest(range(lo, hi + 1, {H})) AS us FROM g")
+def grid_table_function(spark, sf):
+    from tsforge.functions.registered import register
+
+    register(spark)
+    bars(spark, sf).createOrReplaceTempView("tsforge_grid_bars")
+    return spark.sql(
+        f"""SELECT s.symbol, g.us FROM (SELECT symbol, min(unix_micros(ts)) AS lo, max(unix_micros(ts)) AS hi FROM tsforge_grid_bars GROUP BY symbol) s,
+        LATERAL grid_rows(s.lo, s.hi, {HOUR}L) g"""
+    )

@@ -156,7 +156,8 @@ def split(
     if (longest or 0) <= axis.chunk_rows:
         # Every series fits one chunk: the key alone is a safe partitioning.
         counts.unpersist()
-        whole = {"_chunk": F.lit(0), "_own": F.lit(True), "_base": F.lit(0), "_end": F.lit(0), "_total": F.lit(0)}
+        zero = F.lit(0).cast("long")
+        whole = {"_chunk": zero, "_own": F.lit(True), "_base": zero, "_end": zero, "_total": zero}
         return rows.withColumns({**whole, **{f"_before_{n}": F.lit(0.0) for n in sums}}), False
     layout = chunk_layout(
         counts,

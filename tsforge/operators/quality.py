@@ -154,8 +154,13 @@ def feature_qa(
     impute_max: float = 0.05,
     ms_per_bar: float | None = None,
     ms_max: float = 50.0,
+    horizon_us: int | None = None,
+    warmup_us: int = 0,
 ) -> DataFrame:
-    """Feature table gate: number of features, nulls, imputed share, gaps, build time."""
+    """Feature table gate: number of features, nulls, imputed share, gaps, build time.
+
+    With ``horizon_us`` only the usable part of the horizon, less ``warmup_us``, must be covered.
+    """
     from tsforge.functions.scalars import numeric_columns
 
     numeric = numeric_columns(df, (*axis.keys, axis.ts, "label"))
@@ -163,7 +168,8 @@ def feature_qa(
     flags = [c for c in numeric if c.startswith("_imputed")]
     null = reduce(lambda a, b: F.greatest(a, b), [F.avg(F.col(c).isNull().cast("double")) for c in feats])
     imputed = reduce(lambda a, b: F.greatest(a, b), [F.avg(F.col(c).cast("double")) for c in flags] or [F.max(F.lit(0.0))])
-    cover = coverage(df, axis, every).agg(F.max("gap_ratio").alias("gap_ratio"), F.sum("dup_key_count").alias("dups"))
+    usable = None if horizon_us is None else horizon_us - warmup_us
+    cover = coverage(df, axis, every, usable).agg(F.max("gap_ratio").alias("gap_ratio"), F.sum("dup_key_count").alias("dups"))
     stats = df.agg(null.alias("null_ratio"), imputed.alias("imputed_ratio"))
     report = stats.crossJoin(cover).withColumn("n", F.lit(len(feats)))  # one row each
     checks = {
@@ -241,6 +247,30 @@ def fold_class_mix(df: DataFrame, fold: str = "fold_id", label: str = "label") -
     return d.withColumn("wait_share", F.col("WAIT") / (F.col("LONG") + F.col("SHORT") + F.col("WAIT")))
 
 
+def class_mix_gate(df: DataFrame, wait_max: float = 0.60, fold: str = "fold_id", label: str = "label") -> DataFrame:
+    """Gate on the WAIT share of every fold."""
+    return gate(fold_class_mix(df, fold, label), {"wait_share": ("wait_share", "<=", wait_max)}, [fold])
+
+
+def training_gate(
+    logs: DataFrame, fold: str, order: str, loss: str, decay: str, gain_min: float = 0.05, decay_min: float = 0.95, decay_max: float = 1.0
+) -> DataFrame:
+    """Gate per fold on training logs: best against first validation loss, and the decay factor."""
+    d = logs.groupBy(fold).agg(F.min_by(loss, order).alias("_first"), F.min(loss).alias("_best"), F.max(decay).alias("_decay"))
+    d = d.withColumn("_gain", (F.col("_first") - F.col("_best")) / F.greatest(F.col("_first"), F.lit(1e-9)))
+    checks = {
+        "loss_improvement": ("_gain", ">=", gain_min),
+        "decay_low": ("_decay", ">=", decay_min),
+        "decay_high": ("_decay", "<=", decay_max),
+    }
+    return gate(d, checks, [fold])
+
+
+def parity_gate(errors: DataFrame, mse_max: float = 1e-3) -> DataFrame:
+    """Gate on the mean squared error between two score tables."""
+    return gate(errors, {"rows": ("n", ">", 0), "mse": ("mse", "<=", mse_max)})
+
+
 def new_values(df: DataFrame, col: str, allowed: list[str]) -> DataFrame:
     """Distinct values outside the allowed set."""
     return df.select(col).where(F.col(col).isNotNull() & ~F.col(col).isin(*allowed)).distinct()

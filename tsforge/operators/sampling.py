@@ -102,34 +102,56 @@ def average_path(n: np.ndarray | float) -> np.ndarray:
     return np.where(n > 2, long, np.where(n == 2, 1.0, 0.0))
 
 
-def isolation_depths(sample: np.ndarray, points: np.ndarray, rng: np.random.Generator) -> np.ndarray:
-    """Depth of each point in one random isolation tree of ``sample``; both are split together."""
-    limit = math.ceil(math.log2(max(len(sample), 2)))
-    depth = np.zeros(len(points))
-    stack = [(np.arange(len(sample)), np.arange(len(points)), 0)]
-    while stack:
-        s, p, level = stack.pop()
-        lo, hi = sample[s].min(axis=0), sample[s].max(axis=0)
-        open_dims = np.flatnonzero(hi > lo)
-        if level >= limit or len(s) <= 1 or len(open_dims) == 0:
-            depth[p] = level + average_path(len(s))
-            continue
-        dim = rng.choice(open_dims)
-        cut = rng.uniform(lo[dim], hi[dim])
-        left_s, left_p = sample[s, dim] <= cut, points[p, dim] <= cut
-        stack.append((s[left_s], p[left_p], level + 1))
-        stack.append((s[~left_s], p[~left_p], level + 1))
-    return depth
+def grow_trees(sample: np.ndarray, rng: np.random.Generator) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Isolation trees over ``sample`` [trees, rows, features], all trees one level at a time.
+
+    Returns (feature, cut, rows) per heap node of every tree; feature -1 marks a leaf.
+    """
+    trees, size, _ = sample.shape
+    height = math.ceil(math.log2(max(size, 2)))
+    nodes = 2 ** (height + 1) - 1
+    dim, cut = np.full(trees * nodes, -1), np.zeros(trees * nodes)
+    flat, at = sample.reshape(trees * size, -1), np.repeat(np.arange(trees) * nodes, size)
+    base = at.copy()
+    for _ in range(height):
+        order = np.argsort(at, kind="stable")
+        found, start, count = np.unique(at[order], return_index=True, return_counts=True)
+        lo, hi = np.minimum.reduceat(flat[order], start), np.maximum.reduceat(flat[order], start)
+        draw = np.where(hi > lo, rng.random(lo.shape), -1.0)
+        pick = draw.argmax(axis=1)
+        row = np.arange(len(found))
+        value = lo[row, pick] + (hi - lo)[row, pick] * rng.random(len(found))
+        inner = (count > 1) & (draw.max(axis=1) >= 0)
+        dim[found[inner]], cut[found[inner]] = pick[inner], value[inner]
+        moves = dim[at] >= 0
+        right = flat[np.arange(len(at)), dim[at]] > cut[at]
+        at = np.where(moves, base + 2 * (at - base) + 1 + right, at)
+    rows = np.bincount(at, minlength=trees * nodes)
+    return dim.reshape(trees, nodes), cut.reshape(trees, nodes), rows.reshape(trees, nodes)
+
+
+def path_lengths(points: np.ndarray, dim: np.ndarray, cut: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """Mean depth of each point over all trees."""
+    total = np.zeros(len(points))
+    place = np.arange(len(points))
+    for d, c, n in zip(dim, cut, rows):
+        node, depth = np.zeros(len(points), dtype=int), np.zeros(len(points))
+        for _ in range(int(math.log2(len(d) + 1)) - 1):
+            inner = d[node] >= 0
+            right = points[place, d[node]] > c[node]
+            node = np.where(inner, 2 * node + 1 + right, node)
+            depth += inner
+        total += depth + average_path(n[node])
+    return total / len(dim)
 
 
 def isolation_scores(past: np.ndarray, points: np.ndarray, trees: int, psi: int, seed: int) -> np.ndarray:
     """Isolation-forest anomaly score of ``points`` for a forest grown on ``past``."""
     rng = np.random.default_rng(seed)
     size = min(psi, len(past))
-    total = np.zeros(len(points))
-    for _ in range(trees):
-        total += isolation_depths(past[rng.choice(len(past), size, replace=False)], points, rng)
-    return 2.0 ** (-(total / trees) / max(float(average_path(size)), 1e-12))
+    sample = np.stack([past[rng.choice(len(past), size, replace=False)] for _ in range(trees)])
+    depth = path_lengths(points, *grow_trees(sample, rng))
+    return 2.0 ** (-depth / max(float(average_path(size)), 1e-12))
 
 
 def isolation_gate(
