@@ -5,10 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tsforge.catalog import Registry
-from tsforge.catalog.data import BARS, DAILY, H, SQL_BARS, SQL_DAILY, SQL_TICKS, TICKS, bars, daily, out, r, table, ticks
-from tsforge.functions.timeunits import DAY, HOUR, from_micros, micros
+from tsforge.catalog.data import BARS, H, SQL_BARS, SQL_DAILY, SQL_TICKS, TICKS, bars, daily, out, r, table, ticks
+from tsforge.functions.timeunits import DAY, HOUR, micros
 from tsforge.operators import align
-from tsforge.operators.layout import Axis
 
 ENTRIES = Registry()
 entry = ENTRIES.entry

@@ -6,15 +6,14 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from tsforge.catalog import Registry
-from tsforge.catalog.data import BARS, H, SQL_BARS, SQL_TICKS, TICKS, bars, out, r, table, ticks
+from tsforge.catalog.data import H, SQL_BARS, SQL_TICKS, TICKS, bars, out, r, table, ticks
 from tsforge.catalog.decisions import SQL_POLICY, policy_rows
 from tsforge.functions.scalars import decision_id
 from tsforge.functions.timeunits import DAY, HOUR, micros
-from tsforge.operators import causal, policy
-from tsforge.operators.layout import Axis
+from tsforge.operators import policy
 from tsforge.operators.scan import run_states
 from tsforge.plans.bars import BarSources, build_bars, compose_measures, taker_ratio
-from tsforge.session import cut_lineage, scratch_path
+from tsforge.session import scratch_path
 from tsforge.sources import lake, landing
 from tsforge.streaming import jobs, states
 

@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tsforge.catalog import Registry
-from tsforge.catalog.data import BARS, DAILY, H, SQL_BARS, SQL_DAILY, SQL_TICKS, TICKS, bars, daily, out, r, table, ticks
+from tsforge.catalog.data import BARS, H, SQL_BARS, bars, out, r, table
 from tsforge.catalog.statistics import ATR, W
-from tsforge.functions.timeunits import DAY, HOUR, micros
-from tsforge.operators import causal, labels, quality, ranks
-from tsforge.operators.layout import with_position
+from tsforge.functions.timeunits import DAY, HOUR
+from tsforge.operators import labels, quality, ranks
+from tsforge.session import cut_lineage
 
 ENTRIES = Registry()
 entry = ENTRIES.entry
@@ -66,7 +66,7 @@ def label_gate(spark, sf):
 )
 def sequence_windows(spark, sf):
     b = bars(spark, sf)
-    lab = labels.triple_barrier(b, BARS)
+    lab = cut_lineage(labels.triple_barrier(b, BARS))
     d = labels.sequence_windows(b, lab, BARS, 12, HOUR, ["close", "volume"], flat=True)
     d = d.withColumns(
         {

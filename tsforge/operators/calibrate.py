@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tsforge.functions.scalars import argmax3, logit_from_prob, softmax3, threshold_grid
-from tsforge.operators.quality import gate
+from tsforge.operators.quality import gate, one_row
 from tsforge.operators.ranks import running_by_value
 from tsforge.session import measured
 
@@ -179,7 +179,7 @@ def tune_tau(probs: DataFrame, calib: DataFrame, grid: str = "0.50:0.80:0.025",
 
 def tau_summary(probs: DataFrame, calib: DataFrame, order: str, grid: str = "0.50:0.80:0.025", cost_bps: float = 5.0, by: str = "fold_id") -> DataFrame:
     """One row: best tau, its EV, overall ECE, EV of the two halves (by fold, then ``order``) and a normal 95 % interval."""
-    curve = tune_tau(probs, calib, grid, cost_bps, by)
+    curve = measured(tune_tau(probs, calib, grid, cost_bps, by))
     best = curve.where("best").select(F.col("tau").alias("best_tau"), F.col("ev_per_take").alias("ev_trade"))
     tau = best.first()["best_tau"]
     oos = calibrated(probs.where("split = 'oos'"), calib, by)
@@ -197,7 +197,7 @@ def tau_summary(probs: DataFrame, calib: DataFrame, order: str, grid: str = "0.5
         F.coalesce(F.stddev_samp("ev"), F.lit(0.0)).alias("_sd"),
     )
     seg = seg.withColumns({"ci_low": F.col("_mu") - 1.96 * F.col("_sd"), "ci_high": F.col("_mu") + 1.96 * F.col("_sd")})
-    return best.crossJoin(ece(oos, [])).crossJoin(seg.drop("_mu", "_sd"))  # one row each
+    return one_row(best, ece(oos, []), seg.drop("_mu", "_sd"))
 
 
 def merge_calibrated(
@@ -234,7 +234,7 @@ def check_calibration(calib: DataFrame, weights: DataFrame, counts: DataFrame, b
     wide = counts.groupBy(by).pivot("split", ["val", "oos"]).agg(F.sum("n")).fillna(0)
     c = wide.agg(F.min("val").alias("val_min"), F.min("oos").alias("oos_min"))
     return gate(
-        w.crossJoin(t).crossJoin(c),  # one row each
+        one_row(w, t, c),
         {
             "weight_not_negative": ("w_min", ">=", 0.0),
             "weight_sum_low": ("w_sum", ">=", 0.99),

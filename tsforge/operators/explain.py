@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from tsforge.functions.scalars import attr_summary, topk_attr
 from tsforge.functions.timeunits import DAY, micros
-from tsforge.session import cut_lineage, measured
+from tsforge.session import cut_lineage
 
 Scorer = Callable[[np.ndarray], np.ndarray]
 
@@ -34,10 +34,9 @@ def path_attr(df: DataFrame, vec: str, coef: list[float], n_features: int, basel
     weights = F.array(*[F.lit(float(c)) for c in coef])
     if baseline == "zeros":
         return df.withColumn(out, F.zip_with(vec, weights, lambda x, c: x.cast("double") * c))
-    means = measured(feature_means(df, vec, n_features))
-    d = df.crossJoin(F.broadcast(means))  # one row of means
-    shifted = F.transform(vec, lambda x, i: x.cast("double") - F.get("means", F.pmod(i, F.lit(n_features)).cast("int")))
-    return d.withColumn(out, F.zip_with(shifted, weights, lambda x, c: x * c)).drop("means")
+    means = F.array(*[F.lit(m) for m in feature_means(df, vec, n_features).first()["means"]])  # one number per feature
+    shifted = F.transform(vec, lambda x, i: x.cast("double") - F.get(means, F.pmod(i, F.lit(n_features)).cast("int")))
+    return df.withColumn(out, F.zip_with(shifted, weights, lambda x, c: x * c))
 
 
 def score_with(df: DataFrame, vec: str, predict: Scorer, shape: tuple[int, int], names: tuple[str, ...] = ("p_wait", "p_long", "p_short")) -> DataFrame:

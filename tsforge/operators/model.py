@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.ml import Estimator, Model
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tsforge.functions.scalars import time_decay
@@ -18,9 +18,9 @@ def class_weights(df: DataFrame, y: str = "y", by: list[str] | None = None) -> D
     """(by, y, class_weight): N / n_class scaled to mean 1 over the classes present."""
     by = by or []
     counts = df.groupBy(*by, y).agg(F.count(F.lit(1)).alias("_n"))
-    total = counts.groupBy(*by).agg(F.sum("_n").alias("_t"), F.avg(1.0 / F.col("_n")).alias("_m"))
-    joined = counts.join(total, by) if by else counts.crossJoin(F.broadcast(total))  # one row
-    return joined.select(*by, y, ((1.0 / F.col("_n")) / F.col("_m")).alias("class_weight"))
+    group = Window.partitionBy(*(by or [F.lit(1)]))  # one row per class
+    inverse = 1.0 / F.col("_n")
+    return counts.select(*by, y, (inverse / F.avg(inverse).over(group)).alias("class_weight"))
 
 
 def feature_scale(train: DataFrame, vec: str, n_features: int, by: list[str]) -> DataFrame:

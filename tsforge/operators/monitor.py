@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tsforge.functions.timeunits import MINUTE, micros
 from tsforge.operators.causal import cumulative
 from tsforge.operators.layout import Axis, per_key, with_position
+from tsforge.operators.quality import one_row
 from tsforge.operators.ranks import exact_quantiles
 from tsforge.operators.scan import run_states
 from tsforge.session import measured
@@ -122,7 +123,7 @@ def retrain_trigger(chart: DataFrame, regimes: DataFrame, axis: Axis, last: int
 
     recent = tail_per_key(regimes, axis, last).agg(F.coalesce(F.max("changed"), F.lit(0)).alias("changed"))
     state = chart.agg(F.coalesce(F.max(F.col("out_of_control").cast("int")), F.lit(0)).alias("ooc"))
-    d = recent.crossJoin(state).where("changed = 1 OR ooc = 1")  # one row each
+    d = one_row(recent, state).where("changed = 1 OR ooc = 1")
     return d.select(F.when(F.col("changed") == 1, "regime_shift").otherwise("alert_rate_ooc").alias("reason"))
 
 

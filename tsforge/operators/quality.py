@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tsforge.functions.timeunits import micros
@@ -20,9 +20,16 @@ def class_mix(df: DataFrame, col: str, by: list[str] | None = None) -> DataFrame
     """Counts and shares of each value (of ``by`` groups)."""
     by = by or []
     counts = df.groupBy(*by, col).agg(F.count(F.lit(1)).alias("n"))
-    total = counts.groupBy(*by).agg(F.sum("n").alias("_t"))
-    joined = counts.join(total, by) if by else counts.crossJoin(F.broadcast(total))  # one row
-    return joined.withColumn("share", F.col("n") / F.col("_t")).drop("_t")
+    group = Window.partitionBy(*(by or [F.lit(1)]))  # one row per class
+    return counts.withColumn("share", F.col("n") / F.sum("n").over(group))
+
+
+def one_row(*summaries: DataFrame) -> DataFrame:
+    """Put several one-row summaries side by side: a union and one aggregation."""
+    stacked = summaries[0]
+    for s in summaries[1:]:
+        stacked = stacked.unionByName(s, allowMissingColumns=True)
+    return stacked.agg(*[F.max(c).alias(c) for c in stacked.columns])
 
 
 def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -171,7 +178,7 @@ def feature_qa(
     usable = None if horizon_us is None else horizon_us - warmup_us
     cover = coverage(df, axis, every, usable).agg(F.max("gap_ratio").alias("gap_ratio"), F.sum("dup_key_count").alias("dups"))
     stats = df.agg(null.alias("null_ratio"), imputed.alias("imputed_ratio"))
-    report = stats.crossJoin(cover).withColumn("n", F.lit(len(feats)))  # one row each
+    report = one_row(stats, cover).withColumn("n", F.lit(len(feats)))
     checks = {
         "n_features_min": ("n", ">=", n_min),
         "n_features_max": ("n", "<=", n_max),
@@ -198,7 +205,7 @@ def label_qa(labels: DataFrame, features: DataFrame, keys: list[str], wait_max:
     )
     dups = duplicate_keys(labels, keys).agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("dups"))
     lost = labels.select(*keys).join(features.select(*keys), keys, "left_anti").agg(F.count(F.lit(1)).alias("lost"))
-    report = stats.crossJoin(dups).crossJoin(lost)  # one row each
+    report = one_row(stats, dups, lost)
     return gate(
         report,
         {
@@ -230,7 +237,7 @@ def set_checks(train: DataFrame, mask: DataFrame, held_out: DataFrame, keys: lis
     outside = train.select(*keys).join(kept, keys, "left_anti").agg(F.count(F.lit(1)).alias("a"))
     leaked = kept.join(held_out.select(*keys), keys, "left_semi").agg(F.count(F.lit(1)).alias("b"))
     return gate(
-        outside.crossJoin(leaked), {"train_outside_mask": ("a", "<=", 0), "mask_in_held_out": ("b", "<=", 0)}
+        one_row(outside, leaked), {"train_outside_mask": ("a", "<=", 0), "mask_in_held_out": ("b", "<=", 0)}
     )
 
 
@@ -238,7 +245,7 @@ def join_integrity(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFr
     """Rows of ``left`` and how many find a partner (join count = left count when sound)."""
     n = left.agg(F.count(F.lit(1)).alias("n"))
     m = left.select(*keys).join(right.select(*keys), keys).agg(F.count(F.lit(1)).alias("joined"))
-    return n.crossJoin(m).withColumn("ok", F.col("n") == F.col("joined"))
+    return one_row(n, m).withColumn("ok", F.col("n") == F.col("joined"))
 
 
 def fold_class_mix(df: DataFrame, fold: str = "fold_id", label: str = "label") -> DataFrame:

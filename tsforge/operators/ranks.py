@@ -104,6 +104,24 @@ def exact_quantiles(df: DataFrame, by: list[str], value: str, probs: list[float]
     wanted = wanted.select(*keys, "prob", (F.col("prob") * (F.col("_t") - 1)).alias("_at"))
     ends = F.explode(F.array(F.floor("_at"), F.ceil("_at")).cast("array<bigint>"))
     places = measured(wanted.withColumn("_pos", ends).distinct())
+    d = _values_at(rows, sketch, keys, value, places, chunk_values)
+    picked = d.groupBy(*keys, "prob", "_at").agg(F.min_by(value, "_pos").alias("_lo"), F.max_by(value, "_pos").alias("_hi"))
+    frac = F.col("_at") - F.floor("_at")
+    return picked.select(*by, "prob", (F.col("_lo") + (F.col("_hi") - F.col("_lo")) * frac).alias("quantile"))
+
+
+def values_at(df: DataFrame, by: list[str], value: str, positions: list[int], chunk_values: int = CHUNK_VALUES) -> DataFrame:
+    """(by, pos, value): the values at given zero-based positions of each sorted group."""
+    rows, keys = _grouped(df, by, value)
+    rows = rows.select(*keys, value)
+    sketch = _sketch(rows, keys, value)
+    asked = F.explode(F.array(*[F.lit(p).cast("long") for p in sorted(set(positions))]))
+    places = measured(sketch.select(*keys, asked.alias("_pos")))
+    return _values_at(rows, sketch, keys, value, places, chunk_values).select(*by, F.col("_pos").alias("pos"), value)
+
+
+def _values_at(rows: DataFrame, sketch: DataFrame, keys: list[str], value: str, places: DataFrame, chunk_values: int) -> DataFrame:
+    """``places`` with the value at each position: only ranges that hold an asked position are looked at."""
     big = (sketch.agg(F.max("_t")).first()[0] or 0) > chunk_values
     rows = rows.withColumn("_bucket", F.lit(0))
     if big:
@@ -119,10 +137,7 @@ def exact_quantiles(df: DataFrame, by: list[str], value: str, probs: list[float]
     distinct = rows.groupBy(*keys, "_bucket", "_start", value).agg(F.count(F.lit(1)).alias("_n"))
     w = Window.partitionBy(*keys, "_bucket").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
     d = distinct.withColumn("_end", F.col("_start") + F.sum("_n").over(w))
-    d = d.join(places, keys).where((F.col("_pos") < F.col("_end")) & (F.col("_pos") >= F.col("_end") - F.col("_n")))
-    picked = d.groupBy(*keys, "prob", "_at").agg(F.min_by(value, "_pos").alias("_lo"), F.max_by(value, "_pos").alias("_hi"))
-    frac = F.col("_at") - F.floor("_at")
-    return picked.select(*by, "prob", (F.col("_lo") + (F.col("_hi") - F.col("_lo")) * frac).alias("quantile"))
+    return d.join(places, keys).where((F.col("_pos") < F.col("_end")) & (F.col("_pos") >= F.col("_end") - F.col("_n")))
 
 
 def pct_rank(df: DataFrame, by: list[str], value: str, out: str, chunk_values: int = CHUNK_VALUES) -> DataFrame:

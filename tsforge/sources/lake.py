@@ -120,8 +120,8 @@ def plan_days(all_days: DataFrame, done: DataFrame | None, refresh_tail: int = 2
     """Days to (re)build: those not done, plus always the last ``refresh_tail`` days."""
     if force or done is None:
         return all_days.select("day").distinct()
-    last = all_days.agg(F.max("day").alias("_last"))
-    tail = all_days.crossJoin(F.broadcast(last)).where(F.col("day") > F.date_sub("_last", refresh_tail))  # one row
+    last = all_days.agg(F.max("day")).first()[0]
+    tail = all_days.where(F.col("day") > F.date_sub(F.lit(last), refresh_tail))
     return all_days.join(done.select("day"), "day", "left_anti").select("day").union(tail.select("day")).distinct()
 
 
