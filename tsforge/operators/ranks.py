@@ -2,7 +2,7 @@
 
 Sorting a whole group in one task fails when one group holds much of the data. Values are
 first cut into ranges: a mergeable quantile sketch gives 64 cells per group, each cell is
-split evenly into 1024 counting buckets, and one partially aggregated count per bucket
+split evenly into counting buckets (more of them for larger groups), and one partially aggregated count per bucket
 tells exactly how many rows lie below each of them. The sketch only balances the work;
 the counts make the result exact.
 
@@ -21,7 +21,7 @@ from tsforge.operators.layout import chunk_layout
 from tsforge.session import measured
 
 CELLS = 64
-FINE = 1024
+FINE_LIMIT = 16_384
 CHUNK_VALUES = 262_144
 
 
@@ -39,7 +39,12 @@ def _sketch(rows: DataFrame, by: list[str], value: str) -> DataFrame:
     )
 
 
-def _place(rows: DataFrame, sketch: DataFrame, by: list[str], value: str) -> DataFrame:
+def _fineness(longest: int, chunk_values: int) -> int:
+    """Buckets per cell, so that a bucket of the largest group holds about 1/16 of a chunk."""
+    return int(min(max(16 * longest / (CELLS * chunk_values), 16), FINE_LIMIT))
+
+
+def _place(rows: DataFrame, sketch: DataFrame, by: list[str], value: str, fine: int) -> DataFrame:
     """Add ``_bucket``, a monotone number of the value: its quantile cell, then an even split of the cell.
 
     One expression: a binary search over the cell boundaries whose last step splits the
@@ -53,13 +58,14 @@ def _place(rows: DataFrame, sketch: DataFrame, by: list[str], value: str) -> Dat
 
     def split(cell: Column) -> Column:
         lo, hi = F.get("_q", cell), F.get("_q", cell + 1)
-        part = F.floor(F.coalesce(F.try_divide(v - lo, hi - lo), F.lit(0.0)) * FINE)
-        return cell.cast("long") * FINE + F.least(F.greatest(part, F.lit(0)), F.lit(FINE - 1))
+        part = F.floor(F.coalesce(F.try_divide(v - lo, hi - lo), F.lit(0.0)) * fine)
+        return cell.cast("long") * fine + F.least(F.greatest(part, F.lit(0)), F.lit(fine - 1))
 
     search = F.aggregate(
         F.array(*steps), F.lit(0), lambda cell, step: F.when(F.get("_q", cell + step) <= v, cell + step).otherwise(cell), split
     )
-    return rows.join(sketch.drop("_t"), by).withColumn("_bucket", search).drop("_q")
+    # Never NULL, and said so: otherwise a join on it would first evaluate it once more as a filter.
+    return rows.join(sketch.drop("_t"), by).withColumn("_bucket", F.coalesce(search, F.lit(0).cast("long"))).drop("_q")
 
 
 def _before(name: str) -> str:
@@ -77,12 +83,13 @@ def running_by_value(
     sums = {"n": F.lit(1), **{name: F.col(c) for name, c in (weights or {}).items()}}
     sketch = _sketch(rows, keys, value)
     per_value = [F.sum(c).cast("double").alias(name) for name, c in sums.items()]
-    if (sketch.agg(F.max("_t")).first()[0] or 0) <= chunk_values:
+    longest = sketch.agg(F.max("_t")).first()[0] or 0
+    if longest <= chunk_values:
         distinct = rows.groupBy(*keys, value).agg(*per_value)
         w = Window.partitionBy(*keys).orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
         out = distinct.withColumns({_before(s): F.coalesce(F.sum(s).over(w), F.lit(0.0)) for s in sums})
         return out.drop("_all")
-    placed = _place(rows, sketch, keys, value)
+    placed = _place(rows, sketch, keys, value, _fineness(longest, chunk_values))
     counts = placed.groupBy(*keys, "_bucket").agg(
         F.count(F.lit(1)).alias("_n"), *[F.sum(c).cast("double").alias(f"_sum_{name}") for name, c in sums.items()]
     )
@@ -122,10 +129,11 @@ def values_at(df: DataFrame, by: list[str], value: str, positions: list[int], ch
 
 def _values_at(rows: DataFrame, sketch: DataFrame, keys: list[str], value: str, places: DataFrame, chunk_values: int) -> DataFrame:
     """``places`` with the value at each position: only ranges that hold an asked position are looked at."""
-    big = (sketch.agg(F.max("_t")).first()[0] or 0) > chunk_values
+    longest = sketch.agg(F.max("_t")).first()[0] or 0
+    big = longest > chunk_values
     rows = rows.withColumn("_bucket", F.lit(0))
     if big:
-        rows = _place(rows.drop("_bucket"), sketch, keys, value)
+        rows = _place(rows.drop("_bucket"), sketch, keys, value, _fineness(longest, chunk_values))
         counts = rows.groupBy(*keys, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
         upto = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, 0)
         counts = counts.withColumn("_end", F.sum("_n").over(upto)).withColumn("_start", F.col("_end") - F.col("_n"))
