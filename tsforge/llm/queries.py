@@ -4,8 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tsforge.llm.byte_bpe import round_trip
+from tsforge.llm.common import exchanges
+from tsforge.llm.html_text import extracted
+from tsforge.llm.mixing import Curriculum, placed, position
 from tsforge.llm.near_dedup import NearDedup, near_components
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,3 +32,70 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 def op1_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
     """Components of documents whose 5-word shingle sets share 85 % of their union."""
     return near_components(table(spark, sf, "documents"), NearDedup(threshold_pct=85))
+
+
+@query
+def op2_html_text(spark: SparkSession, sf: str) -> DataFrame:
+    """Main text of every page."""
+    pages = extracted(table(spark, sf, "pages").select("page_id", "url", "html"))
+    return pages.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+@query
+def op7_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document encoded and decoded again, as digests of ids and bytes."""
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    done = round_trip(table(spark, sf, "documents").select("doc_id", "text"), path)
+    return done.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query
+def op10_source_mix(spark: SparkSession, sf: str) -> DataFrame:
+    """What the mix takes of every document, in the order of the document's first training position."""
+    op = Curriculum()
+    spots = placed(table(spark, sf, "documents"), op)
+    first = F.when(F.col("taken") > 0, position(F.col("start"), F.least("size", F.col("words") - F.col("start")), op))
+    spots = spots.withColumn("position", F.round(first, 9))
+    spots = spots.repartitionByRange(exchanges(spark), "position", "doc_id").sortWithinPartitions("position", "doc_id")
+    return spots.select("doc_id", "size", "source_size", "target", "taken", "position")
+
+
+ORACLES["op10_source_mix"] = r"""
+WITH sized AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
+         md5(CAST(doc_id AS VARCHAR)) AS draw
+  FROM documents
+), src AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
+         row_number() OVER (ORDER BY source IS NULL, source) - 1 AS r
+  FROM sized GROUP BY source
+), w AS (
+  SELECT *, [1, 2, 3][CAST(r % 3 + 1 AS INTEGER)] AS weight, 3 * source_size AS cap FROM src
+), l AS (
+  SELECT *, CAST(sum(source_size) OVER () - coalesce(sum(cap) OVER o, 0) AS DOUBLE)
+         / CAST(sum(weight) OVER () - coalesce(sum(weight) OVER o, 0) AS DOUBLE) AS rate
+  FROM w WINDOW o AS (ORDER BY CAST(cap AS DOUBLE) / weight, r ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+), t AS (
+  SELECT *, least(CAST(cap AS DOUBLE), coalesce(weight * (
+      SELECT arg_min(rate, (CAST(cap AS DOUBLE) / weight, r)) FROM l WHERE rate * weight <= cap), 0.0)) AS target
+  FROM l
+), p AS (
+  SELECT s.doc_id, s.size, t.source_size, t.r, t.target, CAST(round(t.target) AS BIGINT) AS words,
+         CAST(coalesce(sum(s.size) OVER (PARTITION BY t.r ORDER BY s.draw, s.doc_id
+              ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS start
+  FROM sized s JOIN t ON s.source IS NOT DISTINCT FROM t.source
+), k AS (
+  SELECT *, CASE WHEN source_size > 0 THEN words // source_size ELSE 0 END AS passes FROM p
+), q AS (
+  SELECT *, CAST(passes * size + least(size, greatest(0, words - passes * source_size - start)) AS BIGINT) AS taken FROM k
+), u AS (
+  SELECT *, (start + least(size, words - start) / 2.0) / words AS part, CAST(r % 3 AS INTEGER) AS kind FROM q
+)
+SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target, taken,
+       CASE WHEN taken > 0 THEN round(CASE
+         WHEN kind = 0 THEN (sqrt(greatest(0.0, 9.0 - 4.0 * (part * 2.0))) - 3.0) / -2.0
+         WHEN kind = 1 THEN part
+         WHEN part * 1.5 <= 0.75 THEN (sqrt(greatest(0.0, 1.0 + 4.0 * (part * 1.5))) - 1.0) / 2.0
+         ELSE 0.5 + least(0.5, (sqrt(greatest(0.0, 4.0 - 4.0 * (part * 1.5 - 0.75))) - 2.0) / -2.0) END, 9) END AS position
+FROM u
+"""
