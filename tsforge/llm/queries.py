@@ -11,8 +11,10 @@ from pyspark.sql import functions as F
 from tsforge.llm.byte_bpe import round_trip
 from tsforge.llm.common import exchanges
 from tsforge.llm.html_text import extracted
+from tsforge.llm.language_id import fold, identified, prototypes
 from tsforge.llm.mixing import Curriculum, placed, position
 from tsforge.llm.near_dedup import NearDedup, near_components
+from tsforge.llm.quality_crf import scored, trained
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -99,3 +101,21 @@ SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target, taken,
          ELSE 0.5 + least(0.5, (sqrt(greatest(0.0, 4.0 - 4.0 * (part * 1.5 - 0.75))) - 2.0) / -2.0) END, 9) END AS position
 FROM u
 """
+
+
+@query
+def op3_language_id(spark: SparkSession, sf: str) -> DataFrame:
+    """Language of every document, learnt from the two folds whose number is not 1."""
+    docs = table(spark, sf, "documents").select("doc_id", "text", "lang")
+    langs, profile = prototypes(docs.where(fold("doc_id", 3) != 1))
+    found = identified(docs.select("doc_id", "text"), langs, profile)
+    return found.select("doc_id", (fold("doc_id", 3) == 1).alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op8_quality_crf(spark: SparkSession, sf: str) -> DataFrame:
+    """Quality of every document, learnt from labels outside fold 0."""
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    labels = table(spark, sf, "labels").where(fold("doc_id", 5) != 0)
+    done = scored(docs, trained(docs, labels)).select("doc_id", "score", "predicted")
+    return done.select("doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "score", "predicted")
