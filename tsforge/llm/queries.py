@@ -15,6 +15,8 @@ from tsforge.llm.language_id import fold, identified, prototypes
 from tsforge.llm.mixing import Curriculum, placed, position
 from tsforge.llm.near_dedup import NearDedup, near_components
 from tsforge.llm.quality_crf import scored, trained
+from tsforge.llm.rotated_bits import index, nearest
+from tsforge.llm.threshold_topk import top_k
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -119,3 +121,34 @@ def op8_quality_crf(spark: SparkSession, sf: str) -> DataFrame:
     labels = table(spark, sf, "labels").where(fold("doc_id", 5) != 0)
     done = scored(docs, trained(docs, labels)).select("doc_id", "score", "predicted")
     return done.select("doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "score", "predicted")
+
+
+@query
+def op4_threshold_topk(spark: SparkSession, sf: str) -> DataFrame:
+    """The five largest integer inner products of every fiftieth vector with all others."""
+    vectors = table(spark, sf, "embeddings").select("vec_id", "embedding")
+    return top_k(vectors, vectors.where("vec_id % 50 = 0"))
+
+
+ORACLES["op4_threshold_topk"] = """
+WITH ok AS (
+  SELECT vec_id, list_transform(embedding, x -> CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+         CAST(list_sum(list_transform(list_zip(q.v, c.v), z -> z[1] * z[2])) AS BIGINT) AS score
+  FROM ok q JOIN ok c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id
+), ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scored
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
+
+
+@query
+def op6_rotated_bits(spark: SparkSession, sf: str) -> DataFrame:
+    """The five nearest vectors by cosine of every fiftieth vector."""
+    codes = index(table(spark, sf, "embeddings").select("vec_id", "embedding"))
+    return nearest(codes, codes.where("vec_id % 50 = 0"))
