@@ -14,7 +14,9 @@ out as pairs of bounded blocks.
 
 Links are found in two passes. The first only looks at the closest earlier row of each row in a
 bucket; the second at all pairs that do not yet lie in one component. So a group of thousands
-of close copies gives a link per row instead of all its pairs.
+of close copies gives a link per row instead of all its pairs. A pair is taken up in one bucket
+only, that of its first chunk with at most one error. Candidates are confirmed in groups of two
+blocks of documents: a set travels once per group, not once per pair.
 """
 
 from __future__ import annotations
@@ -41,6 +43,7 @@ class NearDedup:
     positions: int = 64
     deviations: float = 4.2
     block_rows: int = 1024
+    set_block: int = 128
 
     def distance(self, entries: int) -> int:
         """Differing entries that pairs at the threshold stay below."""
@@ -106,7 +109,10 @@ def fingerprints(docs: DataFrame, op: NearDedup, id_col: str = "doc_id", text_co
 
 
 def _keys(reps: DataFrame, op: NearDedup) -> DataFrame:
-    """(key, rid): every chunk of a signature with each one of its entries left out."""
+    """(key, slot, rid): every chunk of a signature with each one of its entries left out.
+
+    ``slot`` is the entry left out.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights = np.random.default_rng(20_021).integers(1, 2**62, op.positions).astype(np.uint64) * np.uint64(2) + np.uint64(1)
@@ -123,14 +129,15 @@ def _keys(reps: DataFrame, op: NearDedup) -> DataFrame:
                     for left_out in chunk:
                         keys[:, left_out] = mixed(whole - parts[:, left_out] + weights[left_out])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(keys.reshape(-1).view(np.int64)), pa.array(np.repeat(ids, op.positions))], ["key", "rid"]
+                [pa.array(keys.reshape(-1).view(np.int64)), pa.array(np.tile(np.arange(op.positions, dtype=np.int16), len(ids))), pa.array(np.repeat(ids, op.positions))],
+                ["key", "slot", "rid"],
             )
 
-    return reps.select("rid", "signature").mapInArrow(run, "key long, rid long")
+    return reps.select("rid", "signature").mapInArrow(run, "key long, slot short, rid long")
 
 
 def _buckets(keys: DataFrame, op: NearDedup) -> DataFrame:
-    """(key, i, j, side, rid): rows of keys that occur twice, dealt to pairs of bounded blocks.
+    """(key, slot, i, j, p, rid): rows of keys that occur twice, dealt to pairs of bounded blocks.
 
     A bucket of n rows has ceil(n / block_rows) blocks, chosen by a hash; a row goes to every
     pair of blocks that holds its own, so each task group stays near 2 * block_rows rows.
@@ -139,33 +146,34 @@ def _buckets(keys: DataFrame, op: NearDedup) -> DataFrame:
     rows = keys.join(sizes, "key").withColumn("blocks", F.ceil(F.col("n") / op.block_rows))
     rows = rows.withColumn("p", F.pmod(F.xxhash64("rid"), F.col("blocks")))
     other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("o")
-    spread = rows.select("key", "rid", "p", other)
-    return spread.select("key", F.least("p", "o").alias("i"), F.greatest("p", "o").alias("j"), "p", "rid")
+    spread = rows.select("key", "slot", "rid", "p", other)
+    return spread.select("key", "slot", F.least("p", "o").alias("i"), F.greatest("p", "o").alias("j"), "p", "rid")
 
 
-def _pairs(buckets: DataFrame, info: DataFrame, op: NearDedup, nearest: bool) -> DataFrame:
-    """Distinct (a, b), a < b, of bucket rows within the signature distances and size ratio.
+def _candidates(buckets: DataFrame, info: DataFrame, op: NearDedup, nearest: bool, blocks: int) -> DataFrame:
+    """(x, y, pairs, rids): candidate pairs by the blocks of their documents.
 
-    ``info`` has (rid, n_shingles, signature, component). ``nearest``: only the closest
-    earlier row of each row; otherwise all pairs from different components.
+    Pairs lie within the signature distances and the size ratio of the threshold. ``info`` has
+    (rid, n_shingles, signature, component). ``nearest``: only the closest earlier row of each
+    row in a bucket; otherwise all pairs from different components. ``pairs`` are packed ids.
     """
     near, far = op.distance(op.positions), op.distance(2 * op.positions)
-    pct = op.threshold_pct
+    pct, chunks = op.threshold_pct, op.chunks
+    starts = np.array([c[0] for c in chunks])
+    chunk_of = np.repeat(np.arange(len(chunks)), [len(c) for c in chunks])
 
-    def compare(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-        cols = {c: table.column(c).to_numpy() for c in ("key", "i", "j", "p", "rid", "n_shingles", "component")}
+    def compare(table: pa.Table) -> np.ndarray:
+        cols = {c: table.column(c).to_numpy() for c in ("key", "slot", "i", "j", "p", "rid", "n_shingles", "component")}
         sig = np.frombuffer(b"".join(table.column("signature").to_pylist()), np.uint16).reshape(table.num_rows, -1)
         start = np.r_[True, (np.diff(cols["key"]) != 0) | (np.diff(cols["i"]) != 0) | (np.diff(cols["j"]) != 0)]
         group = np.cumsum(start)
-        rid, n, p, comp = cols["rid"], cols["n_shingles"], cols["p"], cols["component"]
+        rid, n, p, comp, slot = cols["rid"], cols["n_shingles"], cols["p"], cols["component"], cols["slot"]
         cross = cols["i"] != cols["j"]
         best = np.full(len(rid), 2**15)
         who = np.full(len(rid), -1)
-        found_a, found_b = [], []
-        top = int(np.bincount(group).max())
-        rows = np.arange(len(rid))
-        for d in range(1, top):
-            x = rows[d:][group[d:] == group[:-d]]
+        found = [np.zeros((0, 2), np.int64)]
+        for d in range(1, int(np.bincount(group).max())):
+            x = np.flatnonzero(group[d:] == group[:-d]) + d
             y = x - d
             ok = (~cross[x] | (p[x] != p[y])) & (100 * np.minimum(n[x], n[y]) >= pct * np.maximum(n[x], n[y])) & (rid[x] != rid[y])
             if not nearest:
@@ -174,57 +182,87 @@ def _pairs(buckets: DataFrame, info: DataFrame, op: NearDedup, nearest: bool) ->
             for part in range(0, len(x), 8192):
                 u, v = x[part : part + 8192], y[part : part + 8192]
                 differ = sig[u] != sig[v]
-                first = differ[:, : op.positions].sum(axis=1)
+                errors = np.add.reduceat(differ[:, : op.positions], starts, axis=1, dtype=np.int64)
+                first = errors.sum(axis=1)
                 whole = first + differ[:, op.positions :].sum(axis=1)
-                hit = (first <= near) & (whole <= far)
+                # The bucket of the first chunk with at most one error takes the pair up; when the
+                # chunks are equal, that is the bucket that leaves out the chunk's first entry.
+                chunk = np.argmax(errors <= 1, axis=1)
+                mine = chunk_of[slot[u]] == chunk
+                mine &= (errors[np.arange(len(u)), chunk] == 1) | (slot[u] == starts[chunk])
+                hit = mine & (first <= near) & (whole <= far)
                 u, v, whole = u[hit], v[hit], whole[hit]
                 if nearest:
                     closer = whole < best[u]
                     best[u[closer]], who[u[closer]] = whole[closer], v[closer]
                 else:
-                    found_a.append(rid[u])
-                    found_b.append(rid[v])
+                    found.append(np.stack([rid[u], rid[v]], axis=1))
         if nearest:
             x = np.flatnonzero(who >= 0)
-            found_a, found_b = [rid[x]], [rid[who[x]]]
-        a = np.concatenate(found_a) if found_a else np.zeros(0, np.int64)
-        b = np.concatenate(found_b) if found_b else np.zeros(0, np.int64)
-        both = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1), axis=0)
-        return both[:, 0], both[:, 1]
+            found.append(np.stack([rid[x], rid[who[x]]], axis=1))
+        return np.unique(np.sort(np.concatenate(found), axis=1), axis=0)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in grouped_batches(batches, ["key", "i", "j"]):
-            a, b = compare(table)
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+            both = compare(table)
+            block = (mixed(both.astype(np.uint64)) % np.uint64(blocks)).astype(np.int64)
+            flip = block[:, 0] > block[:, 1]
+            both[flip], block[flip] = both[flip][:, ::-1], block[flip][:, ::-1]
+            order = np.lexsort((block[:, 1], block[:, 0]))
+            both, block = both[order], block[order]
+            cut = np.flatnonzero(np.r_[True, (np.diff(block, axis=0) != 0).any(axis=1)]) if len(both) else np.zeros(0, np.int64)
+            parts = np.split(both, cut[1:]) if len(cut) else []
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(block[cut, 0], pa.int64()),
+                    pa.array(block[cut, 1], pa.int64()),
+                    pa.array([x.tobytes() for x in parts], pa.binary()),
+                    pa.array([np.unique(x) for x in parts], pa.list_(pa.int64())),
+                ],
+                ["x", "y", "pairs", "rids"],
+            )
 
-    joined = buckets.join(info, "rid").select("key", "i", "j", "p", "rid", "n_shingles", "component", "signature")
+    joined = buckets.join(info, "rid").select("key", "slot", "i", "j", "p", "rid", "n_shingles", "component", "signature")
     dealt = joined.repartition(exchanges(buckets.sparkSession), "key", "i", "j").sortWithinPartitions("key", "i", "j", "rid")
-    return dealt.mapInArrow(run, "a long, b long").distinct()
+    return dealt.mapInArrow(run, "x long, y long, pairs binary, rids array<long>")
 
 
-def _confirmed(pairs: DataFrame, docs: DataFrame, op: NearDedup, id_col: str, text_col: str) -> DataFrame:
-    """The pairs whose full shingle sets reach the threshold."""
+def _confirmed(candidates: DataFrame, docs: DataFrame, op: NearDedup, id_col: str, text_col: str) -> DataFrame:
+    """(a, b): the candidate pairs whose full shingle sets reach the threshold."""
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             made = [shingles(t, op.shingle).tobytes() for t in texts_of(batch.column(1))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(made, pa.binary())], ["rid", "members"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(made, pa.binary())], ["rid", "data"])
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = []
-            for x, y in zip(batch.column(2), batch.column(3)):
-                u, v = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                both = len(np.intersect1d(u, v, assume_unique=True))
-                keep.append(100 * both >= op.threshold_pct * (len(u) + len(v) - both))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
-    nodes = pairs.select(F.explode(F.array("a", "b")).alias("rid")).distinct()
-    picked = docs.select(F.col(id_col).cast("long").alias("rid"), F.col(text_col).alias("text")).join(nodes, "rid", "left_semi")
-    full = written(picked.mapInArrow(sets, "rid long, members binary"), "sets")
-    joined = pairs.join(full.select(F.col("rid").alias("b"), F.col("members").alias("mb")), "b")
-    joined = joined.join(full.select(F.col("rid").alias("a"), F.col("members").alias("ma")), "a")
-    return joined.select("a", "b", "ma", "mb").mapInArrow(check, "a long, b long")
+        for table in grouped_batches(batches, ["x", "y"], rows=2_000):
+            members, asked = {}, []
+            for rid, data in zip(table.column("rid").to_pylist(), table.column("data")):
+                if rid is None:
+                    asked.append(np.frombuffer(data.as_buffer(), np.int64).reshape(-1, 2))
+                else:
+                    members[rid] = np.frombuffer(data.as_buffer(), np.uint64)
+            pairs = np.unique(np.concatenate(asked), axis=0)
+            links = [np.zeros((0, 2), np.int64)]
+            for part in np.split(pairs, np.flatnonzero(np.diff(pairs[:, 0])) + 1):
+                one = members[part[0, 0]]
+                others = [members[b] for b in part[:, 1].tolist()]
+                sizes = np.array([len(o) for o in others])
+                many = np.concatenate(others)
+                hits = one[np.minimum(np.searchsorted(one, many), len(one) - 1)] == many
+                both = np.add.reduceat(hits, np.cumsum(sizes) - sizes, dtype=np.int64)
+                links.append(part[100 * both >= op.threshold_pct * (len(one) + sizes - both)])
+            out = np.concatenate(links)
+            yield pa.RecordBatch.from_arrays([pa.array(out[:, 0]), pa.array(out[:, 1])], ["a", "b"])
+
+    needed = candidates.select("x", "y", F.explode("rids").alias("rid")).distinct()
+    picked = docs.select(F.col(id_col).cast("long").alias("rid"), F.col(text_col).alias("text"))
+    full = written(picked.join(needed.select("rid").distinct(), "rid", "left_semi").mapInArrow(sets, "rid long, data binary"), "sets")
+    rows = needed.join(full, "rid").select("x", "y", "rid", "data")
+    rows = rows.unionByName(candidates.select("x", "y", F.lit(None).cast("long").alias("rid"), F.col("pairs").alias("data")))
+    dealt = rows.repartition(exchanges(docs.sparkSession), "x", "y").sortWithinPartitions("x", "y")
+    return dealt.mapInArrow(check, "a long, b long").distinct()
 
 
 def near_components(docs: DataFrame, op: NearDedup = NearDedup(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -242,11 +280,12 @@ def near_components(docs: DataFrame, op: NearDedup = NearDedup(), id_col: str =
     buckets = written(_buckets(_keys(reps, op), op), "buckets")
     info = reps.join(buckets.select("rid").distinct(), "rid", "left_semi")
     info = written(info, "info")
-    first = _pairs(buckets, info.withColumn("component", F.col("rid")), op, nearest=True)
+    blocks = info.count() // op.set_block + 1
+    first = _candidates(buckets, info.withColumn("component", F.col("rid")), op, True, blocks)
     links = written(_confirmed(written(first, "pairs"), docs, op, id_col, text_col), "links")
     found = written(components(links), "components")
     named = info.join(found.withColumnRenamed("node", "rid"), "rid", "left").withColumn("component", F.coalesce("component", "rid"))
-    second = _pairs(buckets, named, op, nearest=False)
+    second = _candidates(buckets, named, op, False, blocks)
     more = written(_confirmed(written(second, "pairs"), docs, op, id_col, text_col), "links")
     # Links between components: what the first pass joined counts as one node.
     found = components(links.unionByName(more))
