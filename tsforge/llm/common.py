@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -35,6 +36,15 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def released(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of finished steps now instead of at some later time.
+
+    They go when the driver's JVM collects the plans that used them.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def exchanges(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

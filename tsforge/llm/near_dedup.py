@@ -43,7 +43,7 @@ class NearDedup:
     positions: int = 64
     deviations: float = 4.2
     block_rows: int = 1024
-    set_block: int = 128
+    set_block: int = 512
 
     def distance(self, entries: int) -> int:
         """Differing entries that pairs at the threshold stay below."""
@@ -203,7 +203,7 @@ def _candidates(buckets: DataFrame, info: DataFrame, op: NearDedup, nearest: boo
         return np.unique(np.sort(np.concatenate(found), axis=1), axis=0)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in grouped_batches(batches, ["key", "i", "j"]):
+        for table in grouped_batches(batches, ["key", "i", "j"], rows=100_000):
             both = compare(table)
             block = (mixed(both.astype(np.uint64)) % np.uint64(blocks)).astype(np.int64)
             flip = block[:, 0] > block[:, 1]

@@ -12,6 +12,7 @@ from tsforge.llm.byte_bpe import round_trip
 from tsforge.llm.common import exchanges
 from tsforge.llm.html_text import extracted
 from tsforge.llm.language_id import fold, identified, prototypes
+from tsforge.llm.line_dedup import dedup_lines
 from tsforge.llm.mixing import Curriculum, placed, position
 from tsforge.llm.near_dedup import NearDedup, near_components
 from tsforge.llm.quality_crf import scored, trained
@@ -132,13 +133,13 @@ def op4_threshold_topk(spark: SparkSession, sf: str) -> DataFrame:
 
 ORACLES["op4_threshold_topk"] = """
 WITH ok AS (
-  SELECT vec_id, list_transform(embedding, x -> CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
   FROM embeddings
   WHERE embedding IS NOT NULL AND len(embedding) > 0
-    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ), scored AS (
   SELECT q.vec_id AS query_id, c.vec_id,
-         CAST(list_sum(list_transform(list_zip(q.v, c.v), z -> z[1] * z[2])) AS BIGINT) AS score
+         CAST(list_sum(list_transform(list_zip(q.v, c.v), lambda z: z[1] * z[2])) AS BIGINT) AS score
   FROM ok q JOIN ok c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id
 ), ranked AS (
   SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scored
@@ -152,3 +153,47 @@ def op6_rotated_bits(spark: SparkSession, sf: str) -> DataFrame:
     """The five nearest vectors by cosine of every fiftieth vector."""
     codes = index(table(spark, sf, "embeddings").select("vec_id", "embedding"))
     return nearest(codes, codes.where("vec_id % 50 = 0"))
+
+
+@query
+def op9_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document without the lines that an earlier line matches, as a digest."""
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    done = dedup_lines(docs).withColumnRenamed("text", "kept").join(docs, "doc_id")
+    lines = lambda c: F.size(F.split(F.coalesce(F.col(c), F.lit("")), "\n")).cast("long")
+    return done.select("doc_id", lines("text").alias("n_lines"), F.length("kept").cast("long").alias("n_chars"), F.md5("kept").alias("kept_md5"))
+
+
+ORACLES["op9_line_dedup"] = r"""
+WITH line AS (
+  SELECT doc_id, CAST(unnest(range(len(string_split(text, chr(10))))) AS INTEGER) AS line_no,
+         unnest(string_split(text, chr(10))) AS line
+  FROM documents
+), sets AS (
+  SELECT doc_id, line_no, list_sort(list_distinct(regexp_extract_all(line, '[^\x20\x09-\x0D]+'))) AS w FROM line
+), firsts AS (
+  SELECT w, min((doc_id, line_no)) AS id, len(w) AS n FROM sets WHERE len(w) > 0 GROUP BY w
+), freq AS (
+  SELECT t, count(*) AS f FROM (SELECT unnest(w) AS t FROM firsts) GROUP BY t
+), placed AS (
+  SELECT id, n, t, row_number() OVER (PARTITION BY id ORDER BY f, t) AS pos
+  FROM (SELECT id, n, unnest(w) AS t FROM firsts) JOIN freq USING (t)
+), prefix AS (
+  SELECT id, n, t FROM placed WHERE pos <= n - (80 * n + 99) // 100 + 1
+), pairs AS (
+  SELECT DISTINCT y.id AS y, x.id AS x
+  FROM prefix y JOIN prefix x ON y.t = x.t AND x.id < y.id AND 100 * least(x.n, y.n) >= 80 * greatest(x.n, y.n)
+), gone AS (
+  SELECT DISTINCT y FROM pairs JOIN firsts a ON a.id = y JOIN firsts b ON b.id = x
+  WHERE 180 * len(list_intersect(a.w, b.w)) >= 80 * (a.n + b.n)
+), kept AS (
+  SELECT l.doc_id, l.line_no, l.line FROM line l JOIN sets s USING (doc_id, line_no)
+  WHERE len(s.w) = 0 OR ((l.doc_id, l.line_no) IN (SELECT id FROM firsts) AND (l.doc_id, l.line_no) NOT IN (SELECT y FROM gone))
+), texts AS (
+  SELECT doc_id, string_agg(line, chr(10) ORDER BY line_no) AS kept FROM kept GROUP BY doc_id
+)
+SELECT d.doc_id, CAST(len(string_split(coalesce(d.text, ''), chr(10))) AS BIGINT) AS n_lines,
+       CASE WHEN d.text IS NOT NULL THEN CAST(length(coalesce(t.kept, '')) AS BIGINT) END AS n_chars,
+       CASE WHEN d.text IS NOT NULL THEN md5(coalesce(t.kept, '')) END AS kept_md5
+FROM documents d LEFT JOIN texts t USING (doc_id)
+"""
