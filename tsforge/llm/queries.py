@@ -16,6 +16,7 @@ from tsforge.llm.line_dedup import dedup_lines
 from tsforge.llm.mixing import Curriculum, placed, position
 from tsforge.llm.near_dedup import NearDedup, near_components
 from tsforge.llm.quality_crf import scored, trained
+from tsforge.llm.repeated_passages import repeated_passages
 from tsforge.llm.rotated_bits import index, nearest
 from tsforge.llm.threshold_topk import top_k
 
@@ -197,3 +198,9 @@ SELECT d.doc_id, CAST(len(string_split(coalesce(d.text, ''), chr(10))) AS BIGINT
        CASE WHEN d.text IS NOT NULL THEN md5(coalesce(t.kept, '')) END AS kept_md5
 FROM documents d LEFT JOIN texts t USING (doc_id)
 """
+
+
+@query
+def op5_repeated_passages(spark: SparkSession, sf: str) -> DataFrame:
+    """Spans of fifty and more words that several documents share."""
+    return repeated_passages(table(spark, sf, "documents"))
