@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 import os
 import sys
+import tempfile
 import time
 
 import duckdb
@@ -38,7 +39,7 @@ def main() -> int:
     names = sys.argv[2:]
     queries, oracles = load()
     spark = get_session(
-        "check", "local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.driver.memory": "8g", "spark.ui.showConsoleProgress": "false"}
+        "check", "local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.checkpoint.dir": tempfile.mkdtemp(prefix="spark-", dir="/tmp"), "spark.driver.memory": "8g", "spark.ui.showConsoleProgress": "false"}
     )
     spark.sparkContext.setLogLevel("ERROR")
     sf_dir = f"/root/testdata/sf{sf}"

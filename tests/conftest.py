@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -15,6 +16,7 @@ def spark():
         "local[4]",
         **{
             "spark.sql.shuffle.partitions": "4",
+            "spark.checkpoint.dir": tempfile.mkdtemp(prefix="spark-", dir="/tmp"),
             "spark.ui.enabled": "false",
             "spark.driver.memory": "4g",
             "spark.ui.showConsoleProgress": "false",

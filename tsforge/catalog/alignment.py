@@ -58,9 +58,9 @@ def time_grid(spark, sf):
     return out(align.time_grid(bars(spark, sf), BARS, HOUR), "symbol", "ts")
 
 
-@entry(f"WITH {SQL_BARS}, {GRID} SELECT symbol, ts_us FROM grid ANTI JOIN bars USING (symbol, ts_us) ORDER BY 1, 2 LIMIT 10")
+@entry(f"WITH {SQL_BARS}, {GRID} SELECT symbol, ts_us FROM grid ANTI JOIN bars USING (symbol, ts_us)")
 def missing_bars(spark, sf):
-    return out(align.missing_ts(bars(spark, sf), BARS, HOUR, 10), "symbol", "ts")
+    return out(align.missing_ts(bars(spark, sf), BARS, HOUR, None), "symbol", "ts")
 
 
 @entry(

@@ -91,15 +91,12 @@ def feature_build(spark, sf):
 
 
 @entry(
-    f"""WITH {SQL_BARS}, t AS (SELECT * FROM bars QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY ts_us DESC) <= 200),
-  bars2 AS (SELECT * FROM t), {FEATURE_SQL.replace('FROM bars)', 'FROM bars2)')},
-  l AS (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY ts_us DESC) AS rn FROM f4)
-  SELECT symbol, ts_us, {', '.join(r(f'coalesce({e}, 0)', n, 5) for n, e in EXPRS.items() if n in ('ret_5m', 'ret_1h', 'ret_4h', 'hl_range', 'vol_z', 'liq60_z'))} FROM l WHERE rn = 1"""
+    f"""WITH {SQL_BARS}, {FEATURE_SQL}, l AS (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY ts_us DESC) AS rn FROM f4)
+  SELECT symbol, ts_us, {', '.join(r(f'coalesce({e}, 0)', n, 5) for n, e in EXPRS.items())} FROM l WHERE rn = 1"""
 )
 def latest_features(spark, sf):
-    d = feature_plan.latest_features(measured_bars(spark, sf), BARS, window=FW, tail=200)
-    names = ["ret_5m", "ret_1h", "ret_4h", "hl_range", "vol_z", "liq60_z"]
-    return out(d, "symbol", "ts", *names, **dict.fromkeys(names, 5))
+    d = feature_plan.latest_features(measured_bars(spark, sf), BARS, window=FW)
+    return out(d, "symbol", "ts", *feature_plan.FEATURES, **dict.fromkeys(feature_plan.FEATURES, 5))
 
 
 def policy_rows(spark, sf):

@@ -230,14 +230,12 @@ def fold_gate(spark, sf):
 
 @entry(
     """WITH o AS (SELECT epoch_us(ts) AS us, row_number() OVER (ORDER BY ts) - 1 AS pos, count(*) OVER () AS n FROM events),
-  e AS (SELECT 143 AS i0, n - 37 AS i1 FROM o LIMIT 1), s AS (SELECT CAST(k AS INTEGER) AS fold_id, CAST(trunc((i0 + 144 + 576 + 1) + ((i1 - 287) - (i0 + 144 + 576 + 1)) * k / 4) AS BIGINT) AS oos FROM range(5) g(k), e),
-  p AS (SELECT fold_id, 'oos' AS split, oos AS a, oos + 287 AS b FROM s UNION ALL SELECT fold_id, 'val', oos - 289 - 143, oos - 289 FROM s UNION ALL SELECT fold_id, 'train', 143, oos - 289 - 143 - 289 FROM s)
+  e AS (SELECT 15 AS i0, n - 9 AS i1 FROM o LIMIT 1), s AS (SELECT CAST(k AS INTEGER) AS fold_id, CAST(trunc((i0 + 20 + 40 + 1) + ((i1 - 39) - (i0 + 20 + 40 + 1)) * k / 4) AS BIGINT) AS oos FROM range(5) g(k), e),
+  p AS (SELECT fold_id, 'oos' AS split, oos AS a, oos + 39 AS b FROM s UNION ALL SELECT fold_id, 'val', oos - 40, oos - 21 FROM s UNION ALL SELECT fold_id, 'train', 15, oos - 61 FROM s)
   SELECT fold_id, split, x.us AS start_us, y.us AS end_us FROM p JOIN o x ON x.pos = a JOIN o y ON y.pos = b"""
 )
 def walkforward_folds(spark, sf):
-    return folds.walkforward_folds(table(spark, sf, "events").select("ts"), "ts") if sf.rstrip("/")[-5:] != "0.001" else folds.walkforward_folds(
-        table(spark, sf, "events").select("ts"), "ts", n_folds=2, W=16, H=8, embargo=20, min_oos=40, val_bars=20
-    )
+    return folds.walkforward_folds(table(spark, sf, "events").select("ts"), "ts", n_folds=5, W=16, H=8, embargo=20, min_oos=40, val_bars=20)
 
 
 @entry(

@@ -15,7 +15,6 @@ from collections.abc import Callable
 from dataclasses import dataclass, replace
 
 import pandas as pd
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -151,11 +150,10 @@ def split(
     counts = rows.groupBy(*axis.keys, "_bucket").agg(
         F.count(F.lit(1)).alias("_n"), *[F.sum(c).alias(f"_sum_{n}") for n, c in sums.items()]
     )
-    counts = counts.persist(StorageLevel.MEMORY_AND_DISK)
+    counts = measured(counts)
     longest = counts.groupBy(*axis.keys).agg(F.sum("_n").alias("n")).agg(F.max("n")).first()[0]
     if (longest or 0) <= axis.chunk_rows:
         # Every series fits one chunk: the key alone is a safe partitioning.
-        counts.unpersist()
         zero = F.lit(0).cast("long")
         whole = {"_chunk": zero, "_own": F.lit(True), "_base": zero, "_end": zero, "_total": zero}
         return rows.withColumns({**whole, **{f"_before_{n}": F.lit(0.0) for n in sums}}), False
@@ -169,7 +167,9 @@ def split(
         -(-ahead_us // axis.bucket_us),
         tuple(sums),
     )
-    return rows.join(measured(layout), [*axis.keys, "_bucket"]), True
+    placed = rows.join(measured(layout), [*axis.keys, "_bucket"], "left")
+    missing = F.raise_error(F.lit("a row lies in no chunk: its table changed after the chunks were laid out"))
+    return placed.withColumn("_chunk", F.when(F.col("_chunk").isNotNull(), F.col("_chunk")).otherwise(missing.cast("long"))), True
 
 
 def chunk_window(axis: Axis) -> WindowSpec:

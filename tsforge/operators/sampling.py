@@ -192,11 +192,11 @@ def isolation_gate(
         old = old.sort_values("_us")
         if len(old) < MIN_PAST or new.empty:
             return no_rows(schema)
-        x = old[cols].astype(float)
-        med = x.median()
-        mad = (x - med).abs().median().replace(0, 1.0)
-        a = ((x - med) / mad).fillna(0.0).to_numpy()
-        b = ((new[cols].astype(float) - med) / mad).fillna(0.0).to_numpy()
+        both = np.vstack([old[cols].to_numpy(dtype=float), new[cols].to_numpy(dtype=float)])
+        middle = np.nanmedian(both[: len(old)], axis=0)
+        width = np.nanmedian(np.abs(both[: len(old)] - middle), axis=0)
+        both = np.nan_to_num((both - middle) / np.where(width > 0, width, 1.0))
+        a, b = both[: len(old)], both[len(old) :]
         scores = isolation_scores(a, np.vstack([a, b]), trees, psi, seed + int(new["_period"].iloc[0]))
         keep = scores[len(a) :] <= np.quantile(scores[: len(a)], q)
         return new[[*keys, axis.ts]].assign(score=scores[len(a) :], keep=keep.astype("int32"))

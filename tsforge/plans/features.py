@@ -41,7 +41,6 @@ MEASURES = [
     "funding_now",
     "funding_pctile_30d",
     "oi_now",
-    "oi_pctile_30d",
     "cvd_perp_5m",
     "perp_share_60m",
     "liq_notional_60m",
@@ -49,6 +48,11 @@ MEASURES = [
 ]
 
 
+def feature_reach(window: int, fill_limit: int = 3) -> int:
+    """Earlier rows that the features of a row depend on: a z-score over clipped values, each over its own past."""
+    return 2 * window + 2 + max(48, fill_limit)
+
+
 def build_features(
     bars: DataFrame,
     axis: Axis,
@@ -78,7 +82,7 @@ def build_features(
     )
     if check_keys:
         assert_unique(base, [*axis.keys, axis.ts])
-    pieces = chunked(base, axis, back=2 * window + 2 + max(48, fill_limit))
+    pieces = chunked(base, axis, back=feature_reach(window, fill_limit))
     w = chunk_window(axis)
     filled = lambda c: F.last(c, ignorenulls=True).over(w.rowsBetween(-fill_limit, 0))
     sin, cos = hour_of_week(axis.ts)
@@ -115,12 +119,15 @@ def build_features(
     return clean_numeric(d, exclude=(*axis.keys, axis.ts, *keep))
 
 
-def latest_features(bars: DataFrame, axis: Axis, window: int = 144, tail: int = 200) -> DataFrame:
-    """Features of the newest bar of each key from a short window; a missing one falls back to the bar before."""
+def latest_features(bars: DataFrame, axis: Axis, window: int = 144, **options) -> DataFrame:
+    """Features of the newest bar of each key, as the batch build gives them; a missing one falls back to the bar before.
+
+    Only as many of the newest bars are read as the features of two bars depend on.
+    """
     from tsforge.operators.causal import tail_per_key
 
-    recent = tail_per_key(bars, axis, tail)
-    feats = build_features(recent, axis, warmup=0, window=window)
+    recent = tail_per_key(bars, axis, feature_reach(window, options.get("fill_limit", 3)) + 2)
+    feats = build_features(recent, axis, warmup=0, window=window, **options)
 
     def build(d: DataFrame, w) -> DataFrame:
         return d.withColumns({f: F.coalesce(F.col(f), F.lag(f).over(w)) for f in FEATURES})

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
@@ -32,39 +33,54 @@ def apply_settings(spark: SparkSession) -> None:
     """Put the runtime settings on a session somebody else created."""
     for name, value in SETTINGS.items():
         spark.conf.set(name, value)
+    ship_package(spark)
 
 
-def _ensure_checkpoint_dir(spark: SparkSession) -> None:
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors once per context, so that workers can import it anywhere."""
     sc = spark.sparkContext
-    if sc.getCheckpointDir() is not None:
+    if getattr(sc, "_tsforge_shipped", False):
         return
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared is None:
-        if not sc.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        shared = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
-    sc.setCheckpointDir(shared)
+    folder = os.path.dirname(os.path.abspath(__file__))
+    archive = os.path.join(tempfile.mkdtemp(prefix="spark-"), "tsforge_package.zip")
+    with zipfile.ZipFile(archive, "w") as z:
+        for path, _, names in os.walk(folder):
+            for name in sorted(n for n in names if n.endswith(".py")):
+                full = os.path.join(path, name)
+                z.write(full, os.path.join("tsforge", os.path.relpath(full, folder)))
+    sc.addPyFile(archive)  # the driver serves it while the context lives
+    sc._tsforge_shipped = True
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder in spark.checkpoint.dir, which driver and executors share; there is no default."""
+    sc = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    if folder is None:
+        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(folder)
+    return folder.rstrip("/")
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` to the reliable checkpoint folder and continue from the written copy."""
-    _ensure_checkpoint_dir(df.sparkSession)
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
 def measured(df: DataFrame) -> DataFrame:
-    """Persist a summary table and compute it now.
+    """A summary table, written to the shared folder now and read again.
 
-    Spark then knows its exact size, so a join against it is broadcast only when that
-    size is below ``spark.sql.autoBroadcastJoinThreshold`` and is a shuffle join beyond.
-    A lost executor only means the summary is computed again from its deterministic plan.
+    Spark then knows its size, so a join against it is broadcast only when that size is below
+    ``spark.sql.autoBroadcastJoinThreshold`` and is a shuffle join beyond. Nothing is put into
+    the session's plan cache, so a later plan over the same path never meets an old copy.
     """
-    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
-    kept.count()
-    return kept
+    path = scratch_path(df.sparkSession, "summary")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new folder for an intermediate table, below the shared checkpoint folder."""
-    _ensure_checkpoint_dir(spark)
-    return f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"

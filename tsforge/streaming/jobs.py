@@ -71,12 +71,14 @@ def live_decisions(
     early_exit: bool = False,
     featurise: Callable | None = None,
     n_features: int | None = None,
+    reach: int = 0,
 ) -> DataFrame:
     """Bar stream -> windows (keyed state) -> scorer -> position policy (keyed state).
 
-    ``bars`` brings high, low, close, atr_pct, vol_pctile, liq60_pctile and ``cols``.
+    ``bars`` brings high, low, close, atr_pct, vol_pctile, liq60_pctile and ``cols``. ``reach``:
+    earlier bars that ``featurise`` looks at.
     """
-    windows = stream_states(bars, list(keys), ts, *windows_runner(cols, W, featurise)).where(F.col("window").isNotNull())
+    windows = stream_states(bars, list(keys), ts, *windows_runner(cols, W, featurise, reach)).where(F.col("window").isNotNull())
     scored = score_with(windows, "window", scorer, (W, n_features or len(cols))).drop("window")
     ready = position_inputs(scored, tau_long, tau_short, half_spread_bps, k_min, k_max)
     decided = stream_states(ready, list(keys), ts, *policy_runner(H * every, early_exit))

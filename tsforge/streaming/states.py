@@ -108,10 +108,12 @@ def policy_runner(cool_us: int, early_exit: bool = False) -> tuple[Runner, dict,
     return runner, POSITION_START, {"reason": "string"}
 
 
-def windows_runner(cols: list[str], W: int, featurise=None) -> tuple[Runner, dict, dict[str, str]]:
-    """Keep the last W bars per key; emit the flattened window ending at each new bar (NULL until full).
+def windows_runner(cols: list[str], W: int, featurise=None, reach: int = 0) -> tuple[Runner, dict, dict[str, str]]:
+    """Emit the flattened window of W bars that ends at each new bar (NULL until full).
 
-    ``featurise`` maps the bars held so far to feature columns (default: the bars themselves).
+    ``featurise`` maps the bars held so far to feature columns (default: the bars themselves);
+    ``reach`` is how many bars before its own a feature depends on. The state keeps what the
+    next window needs: W - 1 bars and the reach of the first of them.
     """
     start = {"rows": []}
 
@@ -121,7 +123,7 @@ def windows_runner(cols: list[str], W: int, featurise=None) -> tuple[Runner, dic
         feats = bars if featurise is None else featurise(bars)
         values, n = feats.to_numpy(dtype=float), len(old)
         out = [values[n + i - W + 1 : n + i + 1].ravel().tolist() if n + i + 1 >= W else None for i in range(len(rows))]
-        keep = bars.tail(2 * W)
+        keep = bars.tail(W - 1 + reach)
         return pd.DataFrame({"window": pd.Series(out, dtype=object)}), {"rows": keep.to_numpy().tolist()}
 
     return runner, start, {"window": "array<double>"}
