@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 import gc
-import tempfile
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -12,26 +10,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-SPACES = "\x20\x09\x0a\x0b\x0c\x0d"
-
-
-def scratch(spark: SparkSession, name: str) -> str:
-    """A new folder below the shared folder that the session names in spark.checkpoint.dir."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared is None:
-        known = spark.sparkContext.getCheckpointDir()
-        if known is None:
-            if not spark.sparkContext.master.startswith("local"):
-                raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-            known = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
-            spark.sparkContext.setCheckpointDir(known)
-        shared = known
-    return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+from tsforge.session import scratch_path
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once to the shared folder and read again; survives lost executors."""
-    path = scratch(df.sparkSession, name)
+    path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
