@@ -9,7 +9,7 @@ from tsforge.functions.scalars import nan_to_null
 from tsforge.functions.timeunits import DAY, HOUR, micros
 from tsforge.operators.align import resample_ohlcv
 from tsforge.operators.layout import Axis
-from tsforge.session import apply_settings, cut_lineage
+from tsforge.session import apply_settings
 
 TICKS = Axis("symbol", "ts", bucket_us=DAY)  # times are unique per symbol
 ORDERS = Axis("symbol", "ts", bucket_us=400 * DAY, ties=("event_id",))  # many orders per day
@@ -36,7 +36,7 @@ def bars(spark: SparkSession, sf: str) -> DataFrame:
     aggregated once however many operators read the bars.
     """
     t = ticks(spark, sf).select("symbol", "ts", "value", "user_id", "event_id")
-    return cut_lineage(resample_ohlcv(t, TICKS, HOUR, price="value", volume="user_id"))
+    return resample_ohlcv(t, TICKS, HOUR, price="value", volume="user_id")
 
 
 def daily(spark: SparkSession, sf: str) -> DataFrame:
@@ -48,7 +48,7 @@ def daily(spark: SparkSession, sf: str) -> DataFrame:
         F.lit(1.0).alias("n"),
         F.col("o_orderkey").alias("event_id"),
     )
-    return cut_lineage(resample_ohlcv(o, ORDERS, DAY, price="value", volume="n"))
+    return resample_ohlcv(o, ORDERS, DAY, price="value", volume="n")
 
 
 def out(df: DataFrame, *cols, **rounded: int) -> DataFrame:

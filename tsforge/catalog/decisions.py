@@ -10,7 +10,8 @@ from tsforge.catalog.data import BARS, H, SQL_BARS, SQL_DAILY, SQL_TICKS, DAILY,
 from tsforge.catalog.statistics import ATR, RET, W
 from tsforge.functions import scalars
 from tsforge.functions.timeunits import DAY, HOUR, micros
-from tsforge.operators import causal, explain, monitor, policy, ranks
+from tsforge.operators import quality
+from tsforge.operators import causal, explain, monitor, policy, quality, ranks
 from tsforge.plans import features as feature_plan
 from tsforge.session import cut_lineage
 
@@ -253,14 +254,26 @@ def cusum_threshold(spark, sf):
     return out(monitor.cusum_threshold(daily(spark, sf), DAILY, "close"), "symbol", "h")
 
 
+SQL_TRIGGER = """, o AS (SELECT o_orderpriority AS symbol, o_orderdate AS day, avg(CAST(o_orderstatus = 'F' AS DOUBLE)) AS v FROM orders GROUP BY 1, 2),
+  m AS (SELECT avg(v) AS mu, stddev_samp(v) AS sd, arg_max(v, day) AS last FROM o GROUP BY symbol),
+  q AS (SELECT max(CAST(last > mu + 3 * sd OR last < greatest(0, mu - 3 * sd) AS INTEGER)) AS ooc FROM m)"""
+
+
 @entry(
-    f"""WITH {SQL_DAILY}, c AS (SELECT max(CAST(volume > 6 AS INTEGER)) AS changed FROM (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY ts_us DESC) AS rn FROM daily) WHERE rn <= 10)
-  SELECT CASE WHEN changed = 1 THEN 'regime_shift' ELSE 'alert_rate_ooc' END AS reason FROM c"""
+    f"""WITH {SQL_DAILY}{SQL_TRIGGER}, r AS (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY ts_us DESC) AS rn FROM daily),
+  c AS (SELECT lim, max(CAST(volume > lim AS INTEGER)) AS changed FROM r, (VALUES (1), (6), (1000000)) l(lim) WHERE rn <= 10 GROUP BY 1)
+  SELECT CAST(lim AS INTEGER) AS lim, CASE WHEN changed = 1 THEN 'regime_shift' ELSE 'alert_rate_ooc' END AS reason FROM c, q WHERE changed = 1 OR ooc = 1"""
 )
 def retrain_trigger(spark, sf):
+    """The trigger for three limits of a change: both reasons and none can come out."""
     d = daily(spark, sf)
-    chart = d.agg(F.lit(True).alias("out_of_control"))
-    return monitor.retrain_trigger(chart, d.select("symbol", "ts", (F.col("volume") > 6).cast("int").alias("changed")), DAILY)
+    o = table(spark, sf, "orders").groupBy(F.col("o_orderpriority").alias("p"), "o_orderdate")
+    chart = monitor.control_chart(o.agg(F.avg((F.col("o_orderstatus") == "F").cast("double")).alias("v")), "o_orderdate", "v", ["p"])
+    parts = []
+    for lim in (1, 6, 1_000_000):
+        regimes = d.select("symbol", "ts", (F.col("volume") > lim).cast("int").alias("changed"))
+        parts.append(monitor.retrain_trigger(chart, regimes, DAILY).select(F.lit(lim).alias("lim"), "reason"))
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
 LAT = [("all", None), ("1d", DAY), ("10d", 10 * DAY)]
@@ -292,15 +305,32 @@ def sla_flags(spark, sf):
     return out(monitor.sla_flags(t), "event_id", "degraded", "exceed_stage", "delta_min", delta_min=9)
 
 
+SQL_PARITY = """p AS (SELECT count(*) AS n, avg((power(q - q * 1.01, 2) + power(t - d, 2)) / 2) AS mse
+  FROM (SELECT sum(l_quantity) AS q, sum(l_tax) AS t, sum(l_discount) AS d FROM lineitem GROUP BY l_orderkey, l_linenumber))"""
+
+
+def _score_errors(spark, sf):
+    """Squared differences of two tables made of every order line, by order and line number."""
+    keys = ["l_orderkey", "l_linenumber"]
+    one = table(spark, sf, "lineitem").groupBy(*keys).agg(F.sum("l_quantity").alias("q"), F.sum("l_tax").alias("t"), F.sum("l_discount").alias("d"))
+    a = one.select(*keys, F.col("q").alias("x"), F.col("t").alias("y"))
+    return monitor.table_mse(a, one.select(*keys, (F.col("q") * 1.01).alias("x"), F.col("d").alias("y")), keys, ["x", "y"])
+
+
+@entry(f"WITH {SQL_PARITY} SELECT n, {r('mse', 'mse')} FROM p")
+def table_parity(spark, sf):
+    return out(_score_errors(spark, sf), "n", "mse")
+
+
 @entry(
-    f"SELECT count(*) AS n, {r('avg((power(l_quantity - l_quantity * 1.01, 2) + power(l_tax - l_discount, 2)) / 2)', 'mse')} FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey) AS rn, count(*) OVER (PARTITION BY l_orderkey, l_linenumber) AS c FROM lineitem) WHERE c = 1"
+    f"""WITH {SQL_PARITY} SELECT CAST(lim AS DOUBLE) AS "limit", 'rows' AS "check", CAST(n AS DOUBLE) AS value, 0.0::DOUBLE AS threshold, CAST(n > 0 AS INTEGER) AS passed FROM p, (VALUES (0.001), (1.0)) l(lim)
+  UNION ALL SELECT lim, 'mse', {r('mse', 'value').replace(' AS value', '')}, lim, CAST(mse <= lim AS INTEGER) FROM p, (VALUES (0.001), (1.0)) l(lim)"""
 )
-def table_parity(spark, sf):
-    li = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_tax", "l_discount")
-    one = li.groupBy("l_orderkey", "l_linenumber").agg(F.count(F.lit(1)).alias("c"), F.max("l_quantity").alias("q"), F.max("l_tax").alias("t"), F.max("l_discount").alias("d")).where("c = 1")
-    a = one.select("l_orderkey", "l_linenumber", F.col("q").alias("x"), F.col("t").alias("y"))
-    b = one.select("l_orderkey", "l_linenumber", (F.col("q") * 1.01).alias("x"), F.col("d").alias("y"))
-    return out(monitor.table_mse(a, b, ["l_orderkey", "l_linenumber"], ["x", "y"]), "n", "mse")
+def parity_gate(spark, sf):
+    """The gate on the difference of two score tables, for a strict and a loose limit."""
+    errors = _score_errors(spark, sf)
+    strict, loose = (quality.parity_gate(errors, lim).withColumn("limit", F.lit(lim)) for lim in (1e-3, 1.0))
+    return out(strict.unionByName(loose), "limit", "check", "value", "threshold", "passed")
 
 
 COEF = [((i % 7) - 3) / 10 for i in range(64)]

@@ -6,14 +6,16 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from tsforge.catalog import Registry
-from tsforge.catalog.data import H, SQL_BARS, SQL_TICKS, TICKS, bars, out, r, table, ticks
+from tsforge.catalog.data import BARS, H, SQL_BARS, SQL_TICKS, TICKS, bars, out, r, table, ticks
 from tsforge.catalog.decisions import SQL_POLICY, policy_rows
 from tsforge.functions.scalars import decision_id
 from tsforge.functions.timeunits import DAY, HOUR, micros
 from tsforge.operators import policy
+from tsforge.operators.layout import with_position
+from tsforge.operators.ranks import exact_quantiles
 from tsforge.operators.scan import run_states
 from tsforge.plans.bars import BarSources, build_bars, compose_measures, taker_ratio
-from tsforge.session import scratch_path
+from tsforge.session import apply_settings, scratch_path
 from tsforge.sources import lake, landing
 from tsforge.streaming import jobs, states
 
@@ -138,6 +140,30 @@ def daily_lake_roundtrip(spark, sf):
     return out(d.join(sums, "day"), "day", "n", "total", "cols", "hashed", total=3)
 
 
+@entry(
+    f"""WITH {SQL_BARS}, m AS (SELECT symbol, quantile_cont(close, 0.5) AS med FROM bars GROUP BY 1)
+  SELECT symbol, ts_us, row_number() OVER (PARTITION BY symbol ORDER BY ts_us) - 1 AS pos, {r('med', 'med')} FROM bars JOIN m USING (symbol)"""
+)
+def refreshed_lake(spark, sf):
+    """Positions and medians of a lake read again after another session has added days to it."""
+    path, late = scratch_path(spark, "lake"), scratch_path(spark, "late")
+    b, cut = bars(spark, sf), F.lit("2024-01-16").cast("timestamp")
+    lake.write_daily(b.where(F.col("ts") < cut), path)
+    b.where(F.col("ts") >= cut).write.parquet(late)
+    axis = BARS.with_(chunk_rows=64, bucket_us=DAY)
+
+    def statistics():
+        now = lake.scan(spark, path)
+        med = exact_quantiles(now, ["symbol"], "close", [0.5]).select("symbol", F.col("quantile").alias("med"))
+        return with_position(now.select("symbol", "ts", "close"), axis).join(med, "symbol")
+
+    statistics().count()
+    other = spark.newSession()
+    apply_settings(other)
+    lake.append_rows(other, other.read.parquet(late), path, ["symbol"])
+    return out(statistics(), "symbol", "ts", "pos", "med")
+
+
 @entry(f"WITH {SQL_BARS} SELECT symbol, count(*) AS n, {r('sum(volume)', 'volume')} FROM bars WHERE ts_us >= epoch_us(TIMESTAMP '2024-01-10') AND ts_us < epoch_us(TIMESTAMP '2024-01-13 12:00:00') GROUP BY 1")
 def pruned_day_scan(spark, sf):
     path = scratch_path(spark, "lake")

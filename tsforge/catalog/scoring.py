@@ -98,21 +98,34 @@ def threshold_curve(spark, sf):
     return out(d, "tau", "n_take", "ev_per_take", "ev_per_trade", "precision", "recall", "best")
 
 
-@entry(
-    f"""WITH {SQL_TAU}, b AS (SELECT arg_min(tau, (-ev_per_take, i)) AS best_tau, max(ev_per_take) AS ev_trade FROM curve),
+SQL_SUMMARY = f"""WITH {SQL_TAU}, b AS (SELECT arg_min(tau, (-ev_per_take, i)) AS best_tau, max(ev_per_take) AS ev_trade FROM curve),
   e AS (SELECT sum(abs(h - c)) / sum(n) AS ece FROM (SELECT ceil(conf * 15) AS bin, sum(CAST(pred = y AS DOUBLE)) AS h, sum(conf) AS c, count(*) AS n FROM pnl GROUP BY 1)),
   o AS (SELECT *, row_number() OVER (ORDER BY fold_id, vec_id) - 1 < (SELECT count(*) FROM pnl) // 2 AS first FROM pnl),
   s AS (SELECT first, CASE WHEN count(*) FILTER (conf >= best_tau) > 0 THEN avg(pnl) FILTER (conf >= best_tau) - 0.0005 ELSE 0 END AS ev FROM o, b GROUP BY 1),
   t AS (SELECT max(ev) FILTER (first) AS e1, max(ev) FILTER (NOT first) AS e2, avg(ev) AS mu, stddev_samp(ev) AS sd FROM s)
   SELECT {r('best_tau', 'best_tau')}, {r('ev_trade', 'ev_trade')}, {r('ece', 'ece')}, {r('e1', 'ev_first_half')}, {r('e2', 'ev_second_half')},
     {r('mu - 1.96 * sd', 'ci_low')}, {r('mu + 1.96 * sd', 'ci_high')} FROM b, e, t"""
-)
+
+
+@entry(SQL_SUMMARY)
 def threshold_summary(spark, sf):
     p = probs(spark, sf)
     d = calibrate.tau_summary(p, calibrate.fit_temperature(p), "vec_id")
     return out(d, "best_tau", "ev_trade", "ece", "ev_first_half", "ev_second_half", "ci_low", "ci_high")
 
 
+@entry(
+    f"""WITH s AS ({SQL_SUMMARY}) SELECT CAST(lim AS DOUBLE) AS ece_max, 'ece' AS "check", ece AS value, CAST(lim AS DOUBLE) AS threshold, CAST(ece <= lim AS INTEGER) AS passed FROM s, (VALUES (0.01), (0.1), (1.0)) l(lim)
+  UNION ALL SELECT lim, 'ev_positive', ev_trade, 0.0, CAST(ev_trade > 0 AS INTEGER) FROM s, (VALUES (0.01), (0.1), (1.0)) l(lim)"""
+)
+def threshold_gate(spark, sf):
+    """The release gate on the tuning summary, for three limits of the calibration error."""
+    p = probs(spark, sf)
+    summary = calibrate.tau_summary(p, calibrate.fit_temperature(p), "vec_id")
+    gates = [calibrate.check_thresholds(summary, lim).withColumn("ece_max", F.lit(lim)) for lim in (0.01, 0.1, 1.0)]
+    return out(gates[0].unionByName(gates[1]).unionByName(gates[2]), "ece_max", "check", "value", "threshold", "passed")
+
+
 @entry(
     f"""WITH {SQL_TRADES}, m AS (SELECT vec_id // 10 AS grp, sum(p0 * weight) AS a, sum(p1 * weight) AS b, sum(p2 * weight) AS c FROM tr JOIN weights USING (fold_id) GROUP BY 1)
   SELECT grp, {r('a / (a + b + c + 1e-12)', 'p_0')}, {r('b / (a + b + c + 1e-12)', 'p_1')}, {r('c / (a + b + c + 1e-12)', 'p_2')} FROM m"""

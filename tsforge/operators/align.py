@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tsforge.functions.timeunits import DAY, ceil_to, floor_to, from_micros, micros
 from tsforge.operators.layout import Axis, over_frames, per_key
+from tsforge.session import measured
 
 
 def _order(axis: Axis) -> Column:
@@ -20,12 +21,6 @@ def _in_bars(df: DataFrame, axis: Axis, every: int) -> DataFrame:
     return df.where(F.col(axis.ts).isNotNull()).withColumn("_us", us).withColumn("_bar", ceil_to(us, every))
 
 
-def _drop_day_anchor(bars: DataFrame, rows: DataFrame, axis: Axis) -> DataFrame:
-    """Drop the bar that closes exactly at the first midnight of the series."""
-    first = per_key(rows, axis.keys, F.min("_us").alias("_f"))
-    return bars.join(first, axis.keys).where(F.col("_bar") > floor_to(F.col("_f"), DAY)).drop("_f")
-
-
 def resample_ohlcv(
     df: DataFrame,
     axis: Axis,
@@ -58,8 +53,13 @@ def resample_ohlcv(
     ]
     if volume:
         aggs.append(F.coalesce(F.sum(volume), F.lit(0)).cast("double").alias("volume"))
-    bars = rows.groupBy(*axis.keys, "_bar").agg(*aggs).dropna(subset=["open", "high", "low", "close"])
-    bars = _drop_day_anchor(bars, rows, axis) if drop_day_anchor else bars
+    bars = rows.groupBy(*axis.keys, "_bar").agg(*aggs, F.min("_us").alias("_first"))
+    if drop_day_anchor:
+        # The bars are written once; the first tick of a series is then found from them, not from the ticks.
+        bars = measured(bars)
+        first = per_key(bars, axis.keys, F.min("_first").alias("_f"))
+        bars = bars.join(first, axis.keys).where(F.col("_bar") > floor_to(F.col("_f"), DAY)).drop("_f")
+    bars = bars.drop("_first").dropna(subset=["open", "high", "low", "close"])
     return bars.withColumn(axis.ts, from_micros("_bar")).drop("_bar")
 
 

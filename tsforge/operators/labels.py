@@ -73,7 +73,8 @@ def label_mismatch(labels: DataFrame, bars: DataFrame, axis: Axis, H: int = 36,
 
 def sample_rows(df: DataFrame, keys: list[str], n: int, seed: int = 42) -> DataFrame:
     """n rows chosen by a hash of their key: the same rows whatever the partitioning."""
-    return df.orderBy(F.xxhash64(*keys, F.lit(seed)), *keys).limit(n)
+    draw = F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.col(k).cast("string") for k in keys]))
+    return df.orderBy(draw, *keys).limit(n)
 
 
 def sequence_windows(

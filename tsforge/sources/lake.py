@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -50,48 +51,65 @@ def rows_per_group(row_bytes: float, target: int = ROW_GROUP_BYTES) -> int:
     return int(min(max(target / max(row_bytes, 1.0), 50_000), 1_000_000))
 
 
-def write_daily(
-    df: DataFrame, path: str, key: str | list[str] = "symbol", ts: str = "ts", mode: str = "overwrite", check_keys: bool = True, files_per_day: int = 1
-) -> None:
-    """Write y/m/d partitions, replacing whole days, sorted by time inside each file.
+def row_width(df: DataFrame) -> int:
+    """Bytes of a row by its types: 8 per number or time, 20 per text, 64 per nested value."""
+    widths = {"string": 20, "binary": 20}
+    return sum(64 if f.dataType.simpleString().startswith(("array", "map", "struct")) else widths.get(f.dataType.simpleString(), 8) for f in df.schema.fields)
 
-    ``files_per_day`` spreads a day over several files by key and hour, so neither a day nor
-    a hot key need fit one task.
-    """
-    keys = [key] if isinstance(key, str) else key
-    if check_keys:
-        assert_unique(df, [*keys, ts])
-    d = df.withColumns({n: c for n, c in zip("ymd", partition_columns(ts))})
-    part = F.pmod(F.xxhash64(*keys, F.hour(ts)), F.lit(files_per_day)) if files_per_day > 1 else F.lit(0)
-    writer = d.withColumn("_part", part).repartition("y", "m", "d", "_part").drop("_part").sortWithinPartitions("y", "m", "d", ts, *keys)
+
+def _write_parts(df: DataFrame, path: str, by: list[str], order: list[str], mode: str) -> None:
+    """Partitioned files of at most a row group's rows: Spark splits large parts and joins small ones by size."""
+    spread = df.hint("rebalance", *by).sortWithinPartitions(*by, *order)
     (
-        writer.write.mode(mode)
+        spread.write.mode(mode)
         .option("partitionOverwriteMode", "dynamic")
         .option("compression", "zstd")
         .option("parquet.block.size", ROW_GROUP_BYTES)
-        .partitionBy("y", "m", "d")
+        .option("maxRecordsPerFile", rows_per_group(row_width(df)))
+        .partitionBy(*by)
         .parquet(path)
     )
 
 
+def write_daily(df: DataFrame, path: str, key: str | list[str] = "symbol", ts: str = "ts", mode: str = "overwrite", check_keys: bool = True) -> None:
+    """Write y/m/d partitions, replacing whole days, sorted by time inside each file.
+
+    Files hold about one row group. A day, or a hot key in it, is spread over as many tasks as
+    its size needs.
+    """
+    keys = [key] if isinstance(key, str) else key
+    if check_keys:
+        assert_unique(df, [*keys, ts])
+    _write_parts(df.withColumns({n: c for n, c in zip("ymd", partition_columns(ts))}), path, ["y", "m", "d"], [ts, *keys], mode)
+
+
 def append_rows(spark: SparkSession, new: DataFrame, path: str, keys: list[str], ts: str = "ts") -> None:
-    """Add rows to a daily lake: the days they touch are rewritten, a new row replacing the old of its key."""
+    """Add rows to a daily lake: the days they touch are rewritten, a new row replacing the old of its key.
+
+    The touched days, a bounded list, prune the lake's partitions.
+    """
     from tsforge.operators.align import keep_last
     from tsforge.session import cut_lineage
 
     try:
         old = spark.read.parquet(path)
-    except Exception as error:  # no lake yet
-        if "PATH_NOT_FOUND" not in str(error):
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return write_daily(new, path, keys, ts)
-    days = new.select(*partition_columns(ts)).distinct()
-    touched = old.join(days, ["y", "m", "d"], "left_semi").drop("y", "m", "d")
+    parts = partition_columns(ts)
+    days = [row[0] for row in new.select(F.concat_ws("-", *parts).alias("day")).distinct().collect()]
+    touched = old.where(F.concat_ws("-", *old_parts(old)).isin(days)).drop("y", "m", "d")
     both = touched.withColumn("_new", F.lit(0)).unionByName(new.withColumn("_new", F.lit(1)), allowMissingColumns=True)
     merged = cut_lineage(keep_last(both, [*keys, ts], ["_new"]).drop("_new"))
     return write_daily(merged, path, keys, ts, check_keys=False)
 
 
+def old_parts(lake: DataFrame) -> list:
+    """The partition columns of a read lake as the texts they were written with."""
+    return [F.lpad(F.col(c).cast("string"), 4 if c == "y" else 2, "0") for c in "ymd"]
+
+
 def build_manifest(spark: SparkSession, path: str) -> DataFrame:
     """(y, m, d, name, sha256, rows, cols) for every data file of a daily lake."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true").load(path)
@@ -153,9 +171,7 @@ def time_slices(df: DataFrame, start: str, end: str, every: str = "INTERVAL 30 D
 def write_decisions(df: DataFrame, path: str, mode: str = "append") -> None:
     """Decision rows with the fixed schema, partitioned by date."""
     d = with_decision_schema(df).withColumn("date", F.date_format("ts", "yyyy-MM-dd"))
-    d.repartition("date").sortWithinPartitions("date", "ts", "symbol").write.mode(mode).option("compression", "zstd").partitionBy(
-        "date"
-    ).parquet(path)
+    _write_parts(d, path, ["date"], ["ts", "symbol"], mode)
 
 
 def read_probs(spark: SparkSession, path: str) -> DataFrame:
