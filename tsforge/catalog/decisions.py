@@ -249,7 +249,16 @@ def cusum_regimes(spark, sf):
     return out(monitor.cusum_regimes(d, DAILY, "close", h), "symbol", "ts", "changed", "regime_id")
 
 
-@entry()
+@entry(
+    f"""WITH {SQL_DAILY}, s AS (SELECT symbol, avg(close) AS mu, stddev_samp(close) AS sd FROM daily GROUP BY 1),
+  z AS MATERIALIZED (SELECT symbol, row_number() OVER ({W}) - 1 AS pos, count(*) OVER (PARTITION BY symbol) AS n, (close - mu) / sd AS z FROM daily JOIN s USING (symbol)),
+  d AS (SELECT symbol, b, pos AS i, CAST('0x' || substr(md5('42|' || symbol || '|' || b || '|' || pos), 1, 15) AS BIGINT) % n AS pick FROM z, range(200) r(b)),
+  x AS (SELECT d.symbol, b, i, z FROM d JOIN z ON z.symbol = d.symbol AND z.pos = pick),
+  t AS (SELECT symbol, b, i, sum(z - 0.25) OVER w AS u, sum(z + 0.25) OVER w AS v FROM x WINDOW w AS (PARTITION BY symbol, b ORDER BY i)),
+  e AS (SELECT symbol, b, u - least(0, min(u) OVER w) AS up, greatest(0, max(v) OVER w) - v AS dn FROM t WINDOW w AS (PARTITION BY symbol, b ORDER BY i)),
+  m AS (SELECT symbol, b, max(greatest(up, dn)) AS top FROM e GROUP BY 1, 2)
+  SELECT symbol, {r('quantile_cont(top, 0.99)', 'h')} FROM m GROUP BY 1"""
+)
 def cusum_threshold(spark, sf):
     return out(monitor.cusum_threshold(daily(spark, sf), DAILY, "close"), "symbol", "h")
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -59,33 +58,39 @@ def standardise(df: DataFrame, axis: Axis, col: str, out: str) -> DataFrame:
     return df.join(stats, axis.keys).withColumn(out, (F.col(col) - F.col("_mu")) / sd).drop("_mu", "_sd")
 
 
-def max_excursion(z: np.ndarray, k: float) -> np.ndarray:
-    """Largest two-sided cumulative sum of each row of ``z`` (all rows advance together)."""
-    up, down, top = np.zeros(len(z)), np.zeros(len(z)), np.zeros(len(z))
-    for col in z.T:
-        up = np.maximum(0.0, up + col - k)
-        down = np.minimum(0.0, down + col + k)
-        top = np.maximum(top, np.maximum(up, -down))
-    return top
-
-
 def cusum_threshold(
-    df: DataFrame, axis: Axis, col: str, k: float = 0.25, boot_n: int = 200, q: float = 0.99, ref_rows: int = 1000, seed: int = 42
+    df: DataFrame,
+    axis: Axis,
+    col: str,
+    k: float = 0.25,
+    boot_n: int = 200,
+    q: float = 0.99,
+    start: str | None = None,
+    end: str | None = None,
+    seed: int = 42,
 ) -> DataFrame:
-    """(key, h): q-quantile of the largest excursion over resamples of the first ``ref_rows`` rows."""
+    """(key, h): q-quantile of the largest two-sided excursion over resamples of a reference period.
+
+    All rows of [start, end), or of the series, are drawn from; a resample is as long as that
+    period. Draws come from a hash of key, resample and place. Each resample is one window group:
+    give a period where a series is too long for that.
+    """
     z = standardise(df.select(*axis.keys, axis.ts, *axis.ties, col), axis, col, "_z")
-    ref = with_position(z, axis, "_pos").where(F.col("_pos") < ref_rows)
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields if f.name in axis.keys) + ", h double"
-
-    def boot(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("_pos")
-        z = pdf["_z"].fillna(0.0).to_numpy()
-        name = "|".join(str(pdf[c].iloc[0]) for c in axis.keys)
-        rng = np.random.default_rng([seed, *name.encode()])
-        draws = z[rng.integers(0, len(z), (boot_n, len(z)))]
-        return pdf[axis.keys].iloc[:1].assign(h=float(np.quantile(max_excursion(draws, k), q)))
-
-    return ref.groupBy(*axis.keys).applyInPandas(boot, schema)
+    for bound, keep in ((start, F.col(axis.ts) >= F.lit(start)), (end, F.col(axis.ts) < F.lit(end))):
+        z = z.where(keep) if bound is not None else z
+    ref = measured(with_position(z, axis, "_pos").select(*axis.keys, "_pos", F.coalesce("_z", F.lit(0.0)).alias("_z")))
+    sizes = per_key(ref, axis.keys, F.count(F.lit(1)).alias("_n"))
+    places = ref.select(*axis.keys, "_pos").join(sizes, axis.keys).withColumn("_b", F.explode(F.sequence(F.lit(0), F.lit(boot_n - 1))))
+    name = F.concat_ws("|", F.lit(str(seed)), *[F.col(c).cast("string") for c in axis.keys], "_b", F.col("_pos").cast("string"))
+    number = F.conv(F.substring(F.md5(name), 1, 15), 16, 10).cast("long")
+    draws = places.select(*axis.keys, "_b", F.col("_pos").alias("_i"), F.pmod(number, F.col("_n")).alias("_pos")).join(ref, [*axis.keys, "_pos"])
+    path = Window.partitionBy(*axis.keys, "_b").orderBy("_i").rowsBetween(Window.unboundedPreceding, 0)
+    # A sum that restarts at zero is the running sum less its lowest value so far.
+    d = draws.withColumns({"_u": F.sum(F.col("_z") - k).over(path), "_v": F.sum(F.col("_z") + k).over(path)})
+    up = F.col("_u") - F.least(F.lit(0.0), F.min("_u").over(path))
+    down = F.greatest(F.lit(0.0), F.max("_v").over(path)) - F.col("_v")
+    top = d.withColumn("_top", F.greatest(up, down)).groupBy(*axis.keys, "_b").agg(F.max("_top").alias("_top"))
+    return top.groupBy(*axis.keys).agg(F.percentile("_top", q).alias("h"))
 
 
 CUSUM_START = {"up": 0.0, "down": 0.0}

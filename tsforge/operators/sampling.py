@@ -24,7 +24,7 @@ PANDAS_TYPES = {"string": "object", "int": "int32", "bigint": "int64", "double":
 
 
 def no_rows(schema: T.StructType) -> pd.DataFrame:
-    return pd.DataFrame({f.name: pd.Series(dtype=PANDAS_TYPES[f.dataType.simpleString()]) for f in schema.fields})
+    return pd.DataFrame({f.name: pd.Series(dtype=PANDAS_TYPES.get(f.dataType.simpleString(), "object")) for f in schema.fields})
 
 
 def robust_scale(df: DataFrame, by: list[str], cols: dict[str, str]) -> DataFrame:
@@ -145,13 +145,26 @@ def path_lengths(points: np.ndarray, dim: np.ndarray, cut: np.ndarray, rows: np.
     return total / len(dim)
 
 
-def isolation_scores(past: np.ndarray, points: np.ndarray, trees: int, psi: int, seed: int) -> np.ndarray:
-    """Isolation-forest anomaly score of ``points`` for a forest grown on ``past``."""
+def grow_forest(past: np.ndarray, trees: int, psi: int, seed: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Trees over samples of ``psi`` rows of ``past``: slices of it when it is long enough, else drawn anew."""
     rng = np.random.default_rng(seed)
     size = min(psi, len(past))
-    sample = np.stack([past[rng.choice(len(past), size, replace=False)] for _ in range(trees)])
-    depth = path_lengths(points, *grow_trees(sample, rng))
-    return 2.0 ** (-depth / max(float(average_path(size)), 1e-12))
+    if len(past) >= trees * psi:
+        sample = past[: trees * psi].reshape(trees, psi, -1)
+    else:
+        sample = np.stack([past[rng.choice(len(past), size, replace=False)] for _ in range(trees)])
+    return grow_trees(sample, rng)
+
+
+def forest_scores(points: np.ndarray, forest: tuple[np.ndarray, np.ndarray, np.ndarray]) -> np.ndarray:
+    """Anomaly score of each point: near 1 when it is isolated early."""
+    size = int(forest[2][0].sum())
+    return 2.0 ** (-path_lengths(points, *forest) / max(float(average_path(size)), 1e-12))
+
+
+def isolation_scores(past: np.ndarray, points: np.ndarray, trees: int, psi: int, seed: int) -> np.ndarray:
+    """Isolation-forest anomaly score of ``points`` for a forest grown on ``past``."""
+    return forest_scores(points, grow_forest(past, trees, psi, seed))
 
 
 def isolation_gate(
@@ -163,46 +176,65 @@ def isolation_gate(
     refit_us: int = DAY,
     trees: int = 100,
     psi: int = 256,
-    per_period: int = 288,
     part_rows: int = 20_000,
     seed: int = 42,
 ) -> DataFrame:
     """(key, ts, score, keep) from an isolation forest refitted every ``refit_us`` on the past span.
 
-    A forest learns from samples by nature: each (key, period) gives at most ``per_period``
-    rows, chosen by hash. Those samples are copied to the later periods that learn from
-    them; the scored rows themselves move once, in parts of about ``part_rows``.
+    Trees learn from samples by nature: ``trees`` x ``psi`` rows with the least hashes of all rows
+    of the past span. One forest is fitted per key and period. All rows of the span, not the
+    sample, are scored with it, and a row is kept up to the q-quantile of those scores. Splits do
+    not depend on a feature's scale; a missing value counts as the sample's median.
     """
     keys = axis.keys
-    reach = -(-span_us // refit_us)
-    rows = df.select(*keys, axis.ts, *cols).withColumn("_us", micros(axis.ts))
-    rows = rows.withColumn("_period", F.floor(F.col("_us") / F.lit(refit_us)).cast("long"))
-    pick = Window.partitionBy(*keys, "_period").orderBy(F.xxhash64(*keys, "_us", F.lit(seed)), "_us")
-    sample = rows.withColumn("_r", F.row_number().over(pick)).where(F.col("_r") <= per_period).drop("_r", axis.ts)
-    sizes = measured(
-        rows.groupBy(*keys, "_period").agg(F.ceil(F.count(F.lit(1)) / F.lit(part_rows)).cast("int").alias("_parts"))
-    )
-    scored = rows.join(sizes, [*keys, "_period"]).withColumn("_part", F.pmod(F.xxhash64("_us"), F.col("_parts")).cast("int"))
-    later = F.explode(F.sequence(F.col("_period") + 1, F.col("_period") + reach))
-    past = sample.withColumn("_period", later).join(sizes, [*keys, "_period"])
-    past = past.withColumn("_part", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)))
-    schema = T.StructType([*[f for f in df.schema.fields if f.name in (*keys, axis.ts)]]).add("score", "double").add("keep", "integer")
-
-    def fit_and_score(old: pd.DataFrame, new: pd.DataFrame) -> pd.DataFrame:
-        old = old.sort_values("_us")
-        if len(old) < MIN_PAST or new.empty:
+    reach, need = -(-span_us // refit_us), trees * psi
+    rows = df.select(*keys, axis.ts, *cols).withColumn("_us", micros(axis.ts)).where(F.col("_us").isNotNull())
+    rows = rows.withColumn("_from", F.floor(F.col("_us") / F.lit(refit_us)).cast("long"))
+    rows = rows.withColumn("_draw", F.xxhash64(*keys, "_us", *cols, F.lit(seed)))
+    later = F.explode(F.sequence(F.col("_from") + 1, F.col("_from") + reach)).alias("_period")
+
+    def least(d: DataFrame, period: str) -> DataFrame:
+        order = Window.partitionBy(*keys, period).orderBy("_draw", "_us", *cols)
+        return d.withColumn("_r", F.row_number().over(order)).where(F.col("_r") <= need)
+
+    # The least draws of a span are among the least draws of its periods.
+    sample = least(least(rows, "_from").drop("_r").select(*keys, "_us", "_draw", *cols, later), "_period")
+    key_types = [f for f in df.schema.fields if f.name in keys]
+    forests_schema = T.StructType(key_types).add("_period", "long").add("_middle", T.ArrayType(T.DoubleType())).add("_dim", "binary").add("_cut", "binary").add("_rows", "binary")
+
+    def fit(pdf: pd.DataFrame) -> pd.DataFrame:
+        if len(pdf) < MIN_PAST:
+            return no_rows(forests_schema)
+        pdf = pdf.sort_values("_r")
+        x = pdf[cols].to_numpy(dtype=float)
+        middle = np.array([np.median(c[~np.isnan(c)]) if (~np.isnan(c)).any() else 0.0 for c in x.T])
+        dim, cut, count = grow_forest(np.where(np.isnan(x), middle, x), trees, psi, seed + int(pdf["_period"].iloc[0]))
+        parts = {"_middle": [middle.tolist()], "_dim": [dim.astype(np.int64).tobytes()], "_cut": [cut.tobytes()], "_rows": [count.astype(np.int64).tobytes()]}
+        return pdf[[*keys, "_period"]].iloc[:1].assign(**parts)
+
+    forests = measured(sample.groupBy(*keys, "_period").applyInPandas(fit, forests_schema))
+    now_and_later = F.explode(F.sequence(F.col("_from"), F.col("_from") + reach)).alias("_period")
+    asked = rows.select(*keys, axis.ts, "_us", "_from", *cols, now_and_later).join(forests.select(*keys, "_period"), [*keys, "_period"], "left_semi")
+    sizes = asked.groupBy(*keys, "_period").agg(F.ceil(F.count(F.lit(1)) / F.lit(part_rows)).cast("int").alias("_parts"))
+    sizes = measured(sizes)
+    dealt = asked.join(sizes, [*keys, "_period"]).withColumn("_part", F.pmod(F.xxhash64("_us"), F.col("_parts")).cast("int"))
+    models = forests.join(sizes, [*keys, "_period"]).withColumn("_part", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1))).drop("_parts")
+    schema = T.StructType([f for f in df.schema.fields if f.name in (*keys, axis.ts)]).add("_period", "long").add("_past", "boolean").add("score", "double")
+
+    def score(model: pd.DataFrame, points: pd.DataFrame) -> pd.DataFrame:
+        if model.empty or points.empty:
             return no_rows(schema)
-        both = np.vstack([old[cols].to_numpy(dtype=float), new[cols].to_numpy(dtype=float)])
-        middle = np.nanmedian(both[: len(old)], axis=0)
-        width = np.nanmedian(np.abs(both[: len(old)] - middle), axis=0)
-        both = np.nan_to_num((both - middle) / np.where(width > 0, width, 1.0))
-        a, b = both[: len(old)], both[len(old) :]
-        scores = isolation_scores(a, np.vstack([a, b]), trees, psi, seed + int(new["_period"].iloc[0]))
-        keep = scores[len(a) :] <= np.quantile(scores[: len(a)], q)
-        return new[[*keys, axis.ts]].assign(score=scores[len(a) :], keep=keep.astype("int32"))
+        m = model.iloc[0]
+        dim, count = (np.frombuffer(m[c], np.int64).reshape(trees, -1) for c in ("_dim", "_rows"))
+        x = points[cols].to_numpy(dtype=float)
+        values = forest_scores(np.where(np.isnan(x), np.asarray(m["_middle"]), x), (dim, np.frombuffer(m["_cut"]).reshape(trees, -1), count))
+        return points[[*keys, axis.ts, "_period"]].assign(_past=points["_from"] < points["_period"], score=values)
 
     group = [*keys, "_period", "_part"]
-    return renamed(past).groupBy(*group).cogroup(scored.groupBy(*group)).applyInPandas(fit_and_score, schema)
+    scored = measured(renamed(models).groupBy(*group).cogroup(dealt.groupBy(*group)).applyInPandas(score, schema))
+    limits = exact_quantiles(scored.where("_past"), [*keys, "_period"], "score", [q]).select(*keys, "_period", F.col("quantile").alias("_limit"))
+    done = scored.where("NOT _past").join(measured(limits), [*keys, "_period"])
+    return done.select(*keys, axis.ts, "score", (F.col("score") <= F.col("_limit")).cast("int").alias("keep"))
 
 
 def mask_per_fold(gate_rows: DataFrame, folds: DataFrame, axis: Axis) -> DataFrame:
