@@ -159,10 +159,9 @@ def op6_rotated_bits(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def op9_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
     """Every document without the lines that an earlier line matches, as a digest."""
-    docs = table(spark, sf, "documents").select("doc_id", "text")
-    done = dedup_lines(docs).withColumnRenamed("text", "kept").join(docs, "doc_id")
-    lines = lambda c: F.size(F.split(F.coalesce(F.col(c), F.lit("")), "\n")).cast("long")
-    return done.select("doc_id", lines("text").alias("n_lines"), F.length("kept").cast("long").alias("n_chars"), F.md5("kept").alias("kept_md5"))
+    lines = F.size(F.split(F.coalesce("text", F.lit("")), "\n")).cast("long")
+    docs = table(spark, sf, "documents").select("doc_id", "text", lines.alias("n_lines"))
+    return dedup_lines(docs).select("doc_id", "n_lines", F.length("text").cast("long").alias("n_chars"), F.md5("text").alias("kept_md5"))
 
 
 ORACLES["op9_line_dedup"] = r"""
