@@ -22,11 +22,9 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tsforge.llm.common import texts_of
-
-CACHED_PIECES = 300_000
+CACHED_PIECES = 150_000
 LONGEST_CACHED = 48
-CACHED_PAIRS = 1_000_000
+CACHED_PAIRS = 250_000
 BATCH_BYTES = 4_000_000
 
 
@@ -203,26 +201,28 @@ def default_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
-def _mapped(df: DataFrame, source: str, out: str, one) -> DataFrame:
-    """All columns of ``df`` and ``out`` = one(value of ``source``), in batches of bounded bytes."""
-    kept = [c for c in df.columns if c != out]
-    here = kept.index(source)
+def _mapped(df: DataFrame, source: str, outs: list[str], make: Callable[[bytes], tuple[bytes, ...]]) -> DataFrame:
+    """All columns of ``df`` and binary columns ``outs`` = make(value of ``source``), in batches of bounded bytes."""
+    kept = [c for c in df.columns if c not in outs]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            start, made, size = 0, [], 0
-            values = texts_of(batch.column(here))
-            for row, value in enumerate(values):
-                made.append(one(value))
-                size += len(made[-1]) + len(value)
-                if size >= BATCH_BYTES or row + 1 == len(values):
-                    part = batch.slice(start, len(made))
-                    yield pa.RecordBatch.from_arrays([*part.columns, pa.array(made, pa.binary())], [*kept, out])
-                    start, made, size = row + 1, [], 0
-
-    picked = df.select(*[F.col(f"`{c}`") for c in kept])
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in picked.schema.fields]
-    return picked.mapInArrow(run, ", ".join([*fields, f"`{out}` binary"]))
+            start, size, made = 0, 0, [[] for _ in outs]
+            column = batch.column(len(kept)).cast(pa.large_binary())
+            for row in range(batch.num_rows):
+                value = column[row].as_py() or b""
+                results = make(value)
+                for held, result in zip(made, results):
+                    held.append(result)
+                size += len(value) + sum(map(len, results))
+                if size >= BATCH_BYTES or row + 1 == batch.num_rows:
+                    part = batch.slice(start, row + 1 - start)
+                    yield pa.RecordBatch.from_arrays([*part.columns[:-1], *[pa.array(m, pa.binary()) for m in made]], [*kept, *outs])
+                    start, size, made = row + 1, 0, [[] for _ in outs]
+
+    picked = df.select(*[F.col(f"`{c}`") for c in kept], F.col(f"`{source}`").alias("_source"))
+    fields = [f"`{c}` {df.schema[c].dataType.simpleString()}" for c in kept]
+    return picked.mapInArrow(run, ", ".join([*fields, *[f"`{o}` binary" for o in outs]]))
 
 
 def encoded(df: DataFrame, text_col: str = "text", out: str = "ids", path: str | None = None, pattern: str = public_tokenizers.PATTERN) -> DataFrame:
@@ -232,16 +232,25 @@ def encoded(df: DataFrame, text_col: str = "text", out: str = "ids", path: str |
     ``out`` is replaced; all others stay. Each match of ``pattern`` is encoded separately.
     """
     path = path or default_path()
-    return _mapped(df, text_col, out, lambda text: load(path, pattern).encode(text.decode()))
+    return _mapped(df, text_col, [out], lambda text: (load(path, pattern).encode(text.decode()),))
 
 
 def decoded(df: DataFrame, ids_col: str = "ids", out: str = "decoded", path: str | None = None, pattern: str = public_tokenizers.PATTERN) -> DataFrame:
     """``df`` with the bytes of packed ids; null gives empty bytes."""
     path = path or default_path()
-    return _mapped(df, ids_col, out, lambda ids: load(path, pattern).decode(ids))
+    return _mapped(df, ids_col, [out], lambda ids: (load(path, pattern).decode(ids),))
+
+
+def round_trip(docs: DataFrame, path: str | None = None, pattern: str = public_tokenizers.PATTERN) -> DataFrame:
+    """All columns of ``docs`` with ids, the bytes they decode to, and n_tokens.
+
+    Both steps run in one worker, which holds one set of tables.
+    """
+    path = path or default_path()
 
+    def both(text: bytes) -> tuple[bytes, bytes]:
+        coder = load(path, pattern)
+        ids = coder.encode(text.decode())
+        return ids, coder.decode(ids)
 
-def round_trip(docs: DataFrame, path: str | None = None) -> DataFrame:
-    """All columns of ``docs`` with ids, n_tokens and the decoded bytes; texts without nulls."""
-    both = decoded(encoded(docs, path=path), path=path)
-    return both.withColumn("n_tokens", (F.length("ids") / 4).cast("long"))
+    return _mapped(docs, "text", ["ids", "decoded"], both).withColumn("n_tokens", (F.length("ids") / 4).cast("long"))
