@@ -17,14 +17,19 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once to the shared folder and read again; survives lost executors."""
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    table.written_path = path
+    return table
 
 
-def released(spark: SparkSession) -> None:
-    """Let Spark delete the shuffle files of finished steps now instead of at some later time.
+def released(spark: SparkSession, *done: DataFrame) -> None:
+    """Free the disk of finished steps: tables of :func:`written` that no later step reads, and shuffle files.
 
-    They go when the driver's JVM collects the plans that used them.
+    Spark deletes shuffle files when the driver's JVM collects the plans that used them.
     """
+    for table in done:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(table.written_path)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
     gc.collect()
     spark.sparkContext._jvm.System.gc()
 
