@@ -61,13 +61,15 @@ def _suffixes(docs: DataFrame, op: Repeats, id_col: str, text_col: str) -> DataF
     return rows.mapInArrow(run, "h long, doc_id long, pos int")
 
 
-CONTEXT = "h long, doc_id long, pos int, ahead binary, back binary"
+CONTEXT = "h long, doc_id long, pos array<int>, ahead binary, back binary"
 
 
 def _contexts(docs: DataFrame, kept: DataFrame, op: Repeats, id_col: str, text_col: str) -> DataFrame:
     """(h, doc_id, pos, ahead, back): the min_words words from a suffix on, and those before it, backwards.
 
     Words are four bytes of their hash, big end first, so binary order is a fixed word order.
+    Places of one document with equal words around them share a row, so that a text that
+    repeats itself gives few.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -78,9 +80,12 @@ def _contexts(docs: DataFrame, kept: DataFrame, op: Repeats, id_col: str, text_c
                 turned = words[::-1]
                 pos = np.array(batch.column(2)[row].as_py(), np.int64)
                 n = len(words)
-                ahead = [words[p : p + op.min_words].tobytes() for p in pos.tolist()]
-                back = [turned[n - p : n - p + op.min_words].tobytes() for p in pos.tolist()]
-                arrays = [batch.column(3)[row].values, pa.array(np.full(len(pos), doc)), pa.array(pos.astype(np.int32)), pa.array(ahead, pa.binary()), pa.array(back, pa.binary())]
+                places: dict[tuple[int, bytes, bytes], list[int]] = {}
+                for p, h in zip(pos.tolist(), batch.column(3)[row].as_py()):
+                    around = h, words[p : p + op.min_words].tobytes(), turned[n - p : n - p + op.min_words].tobytes()
+                    places.setdefault(around, []).append(p)
+                h, ahead, back = zip(*places)
+                arrays = [pa.array(h, pa.int64()), pa.array(np.full(len(h), doc)), pa.array(list(places.values()), pa.list_(pa.int32())), pa.array(ahead, pa.binary()), pa.array(back, pa.binary())]
                 yield pa.RecordBatch.from_arrays(arrays, ["h", "doc_id", "pos", "ahead", "back"])
 
     by_doc = kept.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("pos", "h"))).alias("s"))
@@ -97,9 +102,33 @@ def _shared(rows: list[bytes], other: list[bytes], width: int) -> np.ndarray:
     return np.minimum(np.where(differ.any(axis=1), differ.argmax(axis=1), width), sizes)
 
 
+def _joined(doc: np.ndarray, lo: np.ndarray, hi: np.ndarray, other: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Overlapping and touching matches of the same two documents as one."""
+    if not len(doc):
+        return doc, lo, hi, other
+    o = np.lexsort((lo, other, doc))
+    doc, lo, hi, other = doc[o], lo[o], hi[o], other[o]
+    fresh = np.r_[True, (doc[1:] != doc[:-1]) | (other[1:] != other[:-1])]
+    pair = np.cumsum(fresh)
+    reach = np.maximum.accumulate(hi + pair * 2**32) - pair * 2**32
+    start = np.flatnonzero(fresh | np.r_[True, lo[1:] > reach[:-1]])
+    return doc[start], lo[start], np.maximum.reduceat(hi, start), other[start]
+
+
 def _compare(table: pa.Table, op: Repeats) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(doc_id, lo, hi, other) of suffixes that match their nearest row of another document on either side."""
-    h, doc, pos = (table.column(c).to_numpy() for c in ("h", "doc_id", "pos"))
+    h, doc = (table.column(c).to_numpy() for c in ("h", "doc_id"))
+    places = table.column("pos").combine_chunks()
+    places = places.chunk(0) if isinstance(places, pa.ChunkedArray) else places
+    first, place = places.offsets.to_numpy()[:-1] - places.offsets[0].as_py(), places.flatten().to_numpy().astype(np.int64)
+    many = places.value_lengths().to_numpy()
+
+    def spans(at: np.ndarray, left: np.ndarray, right: np.ndarray, partner: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        count = many[at]
+        row = np.repeat(np.arange(len(at)), count)
+        p = place[np.repeat(first[at], count) + np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)]
+        return doc[at][row], p - left[row], p + right[row], doc[partner][row]
+
     ahead, back = table.column("ahead").to_pylist(), table.column("back").to_pylist()
     n = len(doc)
     new = np.r_[True, doc[1:] != doc[:-1]]
@@ -118,8 +147,8 @@ def _compare(table: pa.Table, op: Repeats) -> tuple[np.ndarray, np.ndarray, np.n
         hit = left + right >= op.min_words
         a, b, left, right = a[hit], b[hit], left[hit], right[hit]
         # A match holds for both rows, though the other one may have a nearer neighbour.
-        found += [(doc[a], pos[a] - left, pos[a] + right, doc[b]), (doc[b], pos[b] - left, pos[b] + right, doc[a])]
-    return tuple(np.concatenate(x) for x in zip(*found))
+        found += [spans(a, left, right, b), spans(b, left, right, a)]
+    return _joined(*(np.concatenate(x) for x in zip(*found)))
 
 
 def _matches(contexts: DataFrame, op: Repeats, order: list[str]) -> DataFrame:
@@ -137,12 +166,7 @@ def _matches(contexts: DataFrame, op: Repeats, order: list[str]) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def out(kind: int, matches=None, rows: pa.Table | None = None) -> Iterator[pa.RecordBatch]:
             if matches is not None:
-                # Overlapping matches of one document are joined before they leave the task.
                 doc, lo, hi, other = matches
-                o = np.lexsort((hi, lo, other, doc))
-                doc, lo, hi, other = doc[o], lo[o], hi[o], other[o]
-                same = np.r_[False, (doc[1:] == doc[:-1]) & (lo[1:] == lo[:-1]) & (hi[1:] == hi[:-1])]
-                doc, lo, hi, other = doc[~same], lo[~same], hi[~same], other[~same]
                 n = len(doc)
                 columns = {"kind": np.full(n, 0, np.int32), "doc_id": doc, "lo": lo.astype(np.int32), "hi": hi.astype(np.int32), "other": other}
                 table = pa.table(columns)
@@ -155,7 +179,7 @@ def _matches(contexts: DataFrame, op: Repeats, order: list[str]) -> DataFrame:
                     table = table.append_column(name, pa.nulls(n, kind))
             yield from table.select(["kind", "doc_id", "lo", "hi", "other", "h", "pos", "ahead", "back"]).combine_chunks().to_batches()
 
-        contexts_types = {"h": pa.int64(), "pos": pa.int32(), "ahead": pa.binary(), "back": pa.binary()}
+        contexts_types = {"h": pa.int64(), "pos": pa.list_(pa.int32()), "ahead": pa.binary(), "back": pa.binary()}
         held, size, before, started = [], 0, None, False
         for batch in batches:
             held.append(batch)
@@ -179,7 +203,7 @@ def _matches(contexts: DataFrame, op: Repeats, order: list[str]) -> DataFrame:
                 yield from out(1, rows=edge(table, False))
 
     spread = contexts.repartitionByRange(exchanges(contexts.sparkSession), *order, "doc_id", "pos")
-    both = spread.sortWithinPartitions(*order, "doc_id", "pos").mapInArrow(run, "kind int, doc_id long, lo int, hi int, other long, h long, pos int, ahead binary, back binary")
+    both = spread.sortWithinPartitions(*order, "doc_id", "pos").mapInArrow(run, "kind int, doc_id long, lo int, hi int, other long, h long, pos array<int>, ahead binary, back binary")
     both = written(both, "matches")
 
     def borders(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
