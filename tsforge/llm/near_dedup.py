@@ -256,7 +256,8 @@ def _confirmed(candidates: DataFrame, docs: DataFrame, op: NearDedup, id_col: st
             out = np.concatenate(links)
             yield pa.RecordBatch.from_arrays([pa.array(out[:, 0]), pa.array(out[:, 1])], ["a", "b"])
 
-    needed = candidates.select("x", "y", F.explode("rids").alias("rid")).distinct()
+    lists = candidates.groupBy("x", "y").agg(F.array_distinct(F.flatten(F.collect_list("rids"))).alias("rids"))
+    needed = lists.select("x", "y", F.explode("rids").alias("rid"))
     picked = docs.select(F.col(id_col).cast("long").alias("rid"), F.col(text_col).alias("text"))
     full = written(picked.join(needed.select("rid").distinct(), "rid", "left_semi").mapInArrow(sets, "rid long, data binary"), "sets")
     rows = needed.join(full, "rid").select("x", "y", "rid", "data")
