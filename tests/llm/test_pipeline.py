@@ -61,3 +61,12 @@ def test_queries_with_sql_match_it(spark):
         want = sorted(cur.fetchall(), key=key)
         got = sorted((tuple(r[c] for c in names) for r in df.collect()), key=key)
         assert got == want and set(names) == set(df.columns), name
+
+
+def test_null_id_goes_through_dedup_and_mix(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(20)
+    named = docs.limit(1).selectExpr("CAST(NULL AS BIGINT) AS doc_id", *[f"`{c}`" for c in docs.columns if c != "doc_id"])
+    docs = written(docs.unionByName(named.selectExpr(*[f"'only here' AS {c}" if c in ("text", "source") else f"`{c}`" for c in docs.columns])), "stage")
+    for _, stage in corpus_pipeline.STAGES[1:]:
+        docs = written(stage(spark, docs, SF), "stage")
+        assert {r.text for r in docs.where("doc_id IS NULL").collect()} == {"only here"}

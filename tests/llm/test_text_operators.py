@@ -188,3 +188,28 @@ def test_bpe_long_pieces_and_tables(spark, coders):
         assert np.frombuffer(bytes(r.ids), "<u4").tolist() == other.encode_ordinary(text)
         assert bytes(r.decoded).decode() == text and r.n_tokens == len(r.ids) // 4
     assert byte_bpe.round_trip(docs.where("doc_id < 0")).collect() == []
+
+
+def test_near_dedup_passes_null_ids_on(spark):
+    data = [(3, "a b c d e f g"), (1, "A b c d e F g"), (None, "a b c d e f g"), (None, "a b c d e f g"), (None, None)]
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in data], DOCS)
+    got = sorted(((r.doc_id, r.component_id, r.kept) for r in near_components(docs).collect()), key=str)
+    assert got == sorted([(1, 1, True), (3, 1, False)] + [(None, None, True)] * 3, key=str)
+    kept = sorted(((r.doc_id, r.text) for r in keep_one(docs).collect()), key=str)
+    assert kept == sorted([(1, "A b c d e F g"), *data[2:]], key=str)
+
+
+def test_mix_places_null_ids_last(spark):
+    data = [(i, " ".join(["w"] * (i + 3)), "s") for i in range(12)] + [(i, "x y", "t") for i in range(20, 23)]
+    data += [(None, "p q r s", "s"), (None, "p q", "t"), (None, "only one", "u"), (None, None, "s")]
+    docs = spark.createDataFrame([(i, t, "en", s, len(t or "")) for i, t, s in data], DOCS)
+    for op in (Curriculum(), Curriculum(slice_rows=2)):
+        spots = placed(docs, op).collect()
+        assert len(spots) == len(data)
+        total = {s: sum(len(words(t)) for _, t, x in data if x == s) for s in "stu"}
+        taken = {s: sum(r.taken for r in spots if r.source == s) for s in "stu"}
+        assert all(r.source_size == total[r.source] and r.words == taken[r.source] for r in spots)
+        assert all(r.start >= max((q.start + q.size for q in spots if q.source == r.source and q.doc_id is not None), default=0) for r in spots if r.doc_id is None)
+        out = mixed_documents(docs, op).collect()
+        assert sum(len(words(r.text)) for r in out) == sum(taken.values())
+        assert {(r.text, r.source) for r in out if r.doc_id is None and r.source == "u"} == {("only one", "u")}

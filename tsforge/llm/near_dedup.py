@@ -270,10 +270,11 @@ def near_components(docs: DataFrame, op: NearDedup = NearDedup(), id_col: str =
     """(doc_id, n_shingles, component_id, kept) of every row of ``docs``.
 
     component_id is the least id reachable over links; kept marks it. Ids are expected to be
-    unique and not null. Null, empty and word-less texts are linked with nothing; texts of
+    unique. Rows with a null id are linked with nothing: component_id null, kept true. Null, empty and word-less texts are linked with nothing; texts of
     fewer words than a shingle are one shingle; equal sets are linked. Other columns are ignored.
     """
-    prints = written(fingerprints(docs, op, id_col, text_col), "prints")
+    every = written(fingerprints(docs, op, id_col, text_col), "prints")
+    prints, unnamed = every.where("doc_id IS NOT NULL"), every.where("doc_id IS NULL")
     classes = prints.where("n_shingles > 0").groupBy("set_key").agg(F.min("doc_id").alias("rid"))
     classes = written(classes, "classes")
     reps = prints.join(classes.select(F.col("rid").alias("doc_id")), "doc_id", "left_semi")
@@ -296,10 +297,14 @@ def near_components(docs: DataFrame, op: NearDedup = NearDedup(), id_col: str =
     member = member.join(found.withColumnRenamed("node", "rid"), "rid", "left")
     member = member.select("doc_id", "n_shingles", F.coalesce("component", "rid").alias("component_id"))
     member = member.unionByName(empty.select("doc_id", "n_shingles", F.col("doc_id").alias("component_id")))
-    return member.withColumn("kept", F.col("component_id") == F.col("doc_id"))
+    member = member.withColumn("kept", F.col("component_id") == F.col("doc_id"))
+    return member.unionByName(unnamed.select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"), F.lit(True).alias("kept")))
 
 
 def keep_one(docs: DataFrame, op: NearDedup = NearDedup()) -> DataFrame:
-    """The rows of ``docs`` whose document stands for its component; all columns stay."""
+    """The rows of ``docs`` whose document stands for its component; all columns stay.
+
+    Rows with a null id all stay.
+    """
     kept = near_components(docs, op).where("kept").select("doc_id")
-    return docs.join(kept, "doc_id", "left_semi")
+    return docs.join(kept, "doc_id", "left_semi").unionByName(docs.where("doc_id IS NULL"))
