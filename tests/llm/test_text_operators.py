@@ -213,3 +213,30 @@ def test_mix_places_null_ids_last(spark):
         out = mixed_documents(docs, op).collect()
         assert sum(len(words(r.text)) for r in out) == sum(taken.values())
         assert {(r.text, r.source) for r in out if r.doc_id is None and r.source == "u"} == {("only one", "u")}
+
+
+def test_near_dedup_keeps_one_of_repeated_rows(spark):
+    rng = random.Random(7)
+    a, b = (" ".join(f"{x}{rng.randrange(500)}" for _ in range(60)) for x in "ab")
+    data = [(5, a)] * 300 + [(9, a + " end"), (9, a + " end"), (7, b), (7, a + " more"), (5, a.upper()), (4, None), (4, ""), (4, ""), (2, b + " tail"), (8, "alone"), (8, "other")]
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in data], DOCS)
+    got = near_components(docs, NearDedup(block_rows=16)).collect()
+    assert len(got) == len(data)
+    assert {(r.doc_id, r.component_id) for r in got} == {(5, 5), (9, 5), (7, 5), (7, 2), (2, 2), (4, 4), (8, 8)}
+    assert sorted(r.doc_id for r in got if r.kept) == [2, 4, 5, 8, 8]
+    kept = sorted(((r.doc_id, r.text) for r in keep_one(docs).collect()), key=str)
+    assert kept == sorted([(2, b + " tail"), (4, ""), (5, min(a, a.upper())), (8, "alone"), (8, "other")], key=str)
+
+
+def test_mix_gives_repeated_rows_places_of_their_own(spark):
+    data = [(i, " ".join(["w"] * (i + 3)), f"s{i % 2}") for i in range(12)] + [(3, "r r r r r", "s1")] * 200
+    docs = spark.createDataFrame([(i, t, "en", s, len(t)) for i, t, s in data], DOCS)
+    for op in (Curriculum(), Curriculum(slice_rows=4)):
+        spots = placed(docs, op).collect()
+        assert len(spots) == len(data)
+        for s in ("s0", "s1"):
+            mine = sorted((r.start, r.size) for r in spots if r.source == s)
+            assert [x for x, _ in mine] == [sum(n for _, n in mine[:k]) for k in range(len(mine))]
+            assert sum(r.taken for r in spots if r.source == s) == max(r.words for r in spots if r.source == s)
+        out = mixed_documents(docs, op).collect()
+        assert sum(len(words(r.text)) for r in out) == sum(r.taken for r in spots)

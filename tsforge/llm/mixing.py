@@ -18,7 +18,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tsforge.llm.common import exchanges, written
+from tsforge.llm.common import exchanges, row_key, written
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -66,48 +66,52 @@ def targets(sizes: DataFrame, op: Curriculum) -> DataFrame:
     return s.select("source", "source_size", "rank", target.alias("target"))
 
 
-def row_key(docs: DataFrame) -> Column:
-    """A digest of all columns of a row; null and empty differ."""
-    parts = [F.md5(F.col(f"`{f.name}`")) if f.dataType.typeName() == "string" else F.md5(F.to_json(F.struct(F.col(f"`{f.name}`")))) for f in docs.schema]
-    return F.md5(F.concat_ws("|", *[F.coalesce(part, F.lit("-")) for part in parts]))
-
-
 def placed(docs: DataFrame, op: Curriculum = Curriculum(), id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """(doc_id, size, source, source_size, rank, target, words, start, taken), one row per document.
 
     ``start``: words of its source before it in the hashed order (ties by id, then text). ``words``:
     the whole words the source gives. ``taken``: full passes of the document and what the last
     pass reaches of it. Null text is empty, null source a source of its own; equal texts are
-    counted each. Rows with a null id stand last in their source, by a hash of the text. Reruns
+    counted each. Equal rows of one id are documents with places of their own, one after the
+    other; they share a row until the places are known, so many repeats do not fill a slice.
+    Rows with a null id stand last in their source, by a hash of the text. Reruns
     agree, as order comes from ids and texts alone.
     """
     key = F.md5(F.coalesce(F.col(text_col), F.lit("")))
-    return _places(docs, op, key, id_col, text_col, source_col).drop("key")
+    return _places(docs, op, key, id_col, text_col, source_col)[0].drop("key")
 
 
-def _places(docs: DataFrame, op: Curriculum, key: Column, id_col: str, text_col: str, source_col: str) -> DataFrame:
-    """The rows of :func:`placed` with ``key``, a digest that breaks ties and draws for null ids."""
+def _places(docs: DataFrame, op: Curriculum, key: Column, id_col: str, text_col: str, source_col: str) -> tuple[DataFrame, bool]:
+    """The rows of :func:`placed` with ``key``, and whether a key occurs twice.
+
+    ``key`` is a digest that breaks ties and draws for null ids.
+    """
     rows = docs.select(
         F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).alias("source"), words_of(F.col(text_col)).alias("size"), key.alias("key")
     ).withColumn("draw", F.coalesce(F.md5(F.col("doc_id").cast("string")), F.concat(F.lit("g"), "key")))  # g: after all digests
+    rows = rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("copies"))
     rows = written(rows, "sizes")  # the texts are read once
-    slices = -(-rows.count() // op.slice_rows)  # only deals out the work; the order is that of the draws
+    count, most = rows.agg(F.count(F.lit(1)), F.coalesce(F.max("copies"), F.lit(0))).first()
+    slices = -(-count // op.slice_rows)  # only deals out the work; the order is that of the draws
     part = F.when(F.col("doc_id").isNull(), F.col("key")).otherwise(F.col("draw"))
     part = (F.conv(F.substring(part, 1, 8), 16, 10).cast("long") * slices / F.lit(2**32)).cast("long")
     rows = rows.withColumn("slice", part + F.when(F.col("doc_id").isNull(), slices).otherwise(0))
-    parts = rows.groupBy("source", "slice").agg(F.sum("size").alias("part"))
+    parts = rows.groupBy("source", "slice").agg(F.sum(F.col("size") * F.col("copies")).alias("part"))
     whole = targets(parts.groupBy("source").agg(F.sum("part").alias("source_size")), op)
     parts = parts.join(whole, parts["source"].eqNullSafe(whole["source"])).drop(whole["source"])
     ahead = Window.partitionBy("rank").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
     parts = written(parts.withColumn("base", F.coalesce(F.sum("part").over(ahead), F.lit(0))), "slices")
     both = rows.join(parts.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s")) & (rows["slice"] == parts["slice"])).drop(parts["slice"])
     inside = Window.partitionBy("rank", "slice").orderBy("draw", "doc_id", "key").rowsBetween(Window.unboundedPreceding, -1)
-    both = both.withColumn("start", F.col("base") + F.coalesce(F.sum("size").over(inside), F.lit(0)))
+    both = both.withColumn("start", F.col("base") + F.coalesce(F.sum(F.col("size") * F.col("copies")).over(inside), F.lit(0)))
+    if most > 1:
+        both = both.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies")))
+        both = both.withColumn("start", F.col("start") + (F.col("copy") - 1) * F.col("size"))
     both = both.withColumn("words", F.round("target").cast("long"))
     full = F.when(F.col("source_size") > 0, F.floor(F.col("words") / F.col("source_size"))).otherwise(0).cast("long")
     rest = F.col("words") - full * F.col("source_size")
     taken = full * F.col("size") + F.least(F.col("size"), F.greatest(F.lit(0), rest - F.col("start")))
-    return both.select("key", "doc_id", "size", "source", "source_size", "rank", "target", "words", "start", taken.cast("long").alias("taken"))
+    return both.select("key", "doc_id", "size", "source", "source_size", "rank", "target", "words", "start", taken.cast("long").alias("taken")), most > 1
 
 
 def _position(consumed: Column, rank: Column, op: Curriculum) -> Column:
@@ -162,11 +166,12 @@ def mixed_documents(docs: DataFrame, op: Curriculum = Curriculum()) -> DataFrame
 
     A document comes once for each pass. Where a source's target ends inside a document, that
     pass holds the words up to there; a column n_chars follows the text. Rows with a null id
-    are documents like others.
+    are documents like others, and so is each of several equal rows.
     """
-    spots = _places(docs, op, row_key(docs), "doc_id", "text", "source")
+    spots, repeats = _places(docs, op, row_key(docs), "doc_id", "text", "source")
     taken = scheduled(spots, op).select(F.col("key").alias("_key"), "size", "pass_words", "position", "epoch")
-    both = docs.withColumn("_key", row_key(docs)).join(taken, "_key")
+    rows = docs.withColumn("_key", row_key(docs))
+    both = (rows.dropDuplicates(["_key"]) if repeats else rows).join(taken, "_key")  # equal rows: one for all their passes
     # The first pass_words words with the spaces before them.
     words = F.slice(F.regexp_extract_all("text", F.lit(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+"), 0), 1, F.col("pass_words").cast("int"))
     text = F.when(F.col("pass_words") < F.col("size"), F.array_join(words, "")).otherwise(F.col("text"))

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tsforge.llm.common import components, exchanges, grouped_batches, mixed, shingles, texts_of, written
+from tsforge.llm.common import components, exchanges, grouped_batches, mixed, row_key, shingles, texts_of, written
 
 
 @dataclass(frozen=True)
@@ -83,10 +83,10 @@ def _signatures(sets: list[np.ndarray], entries: int) -> np.ndarray:
     return out
 
 
-def fingerprints(docs: DataFrame, op: NearDedup, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def fingerprints(docs: DataFrame, op: NearDedup, id_col: str = "doc_id", text_col: str = "text", texts: bool = False) -> DataFrame:
     """(doc_id, n_shingles, set_key, signature): the set's size, a 128-bit key, the signature.
 
-    Null and word-less texts have size 0 and neither key nor signature.
+    Null and word-less texts have size 0 and neither key nor signature. ``texts`` adds the text.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -100,12 +100,12 @@ def fingerprints(docs: DataFrame, op: NearDedup, id_col: str = "doc_id", text_co
                 keys[i] = hashlib.blake2b(sets[i].tobytes(), digest_size=16).digest()
                 sigs[i] = sig[row].tobytes()
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(keys, pa.binary()), pa.array(sigs, pa.binary())],
-                ["doc_id", "n_shingles", "set_key", "signature"],
+                [batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(keys, pa.binary()), pa.array(sigs, pa.binary())] + [batch.column(1)] * texts,
+                ["doc_id", "n_shingles", "set_key", "signature"] + ["text"] * texts,
             )
 
     picked = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return picked.mapInArrow(run, "doc_id long, n_shingles long, set_key binary, signature binary")
+    return picked.mapInArrow(run, "doc_id long, n_shingles long, set_key binary, signature binary" + ", text string" * texts)
 
 
 def _keys(reps: DataFrame, op: NearDedup) -> DataFrame:
@@ -227,8 +227,8 @@ def _candidates(buckets: DataFrame, info: DataFrame, op: NearDedup, nearest: boo
     return dealt.mapInArrow(run, "x long, y long, pairs binary, rids array<long>")
 
 
-def _confirmed(candidates: DataFrame, docs: DataFrame, op: NearDedup, id_col: str, text_col: str) -> DataFrame:
-    """(a, b): the candidate pairs whose full shingle sets reach the threshold."""
+def _confirmed(candidates: DataFrame, texts: DataFrame, op: NearDedup) -> DataFrame:
+    """(a, b): the candidate pairs whose full shingle sets reach the threshold; ``texts`` has (rid, text)."""
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -258,53 +258,105 @@ def _confirmed(candidates: DataFrame, docs: DataFrame, op: NearDedup, id_col: st
 
     lists = candidates.groupBy("x", "y").agg(F.array_distinct(F.flatten(F.collect_list("rids"))).alias("rids"))
     needed = lists.select("x", "y", F.explode("rids").alias("rid"))
-    picked = docs.select(F.col(id_col).cast("long").alias("rid"), F.col(text_col).alias("text"))
-    full = written(picked.join(needed.select("rid").distinct(), "rid", "left_semi").mapInArrow(sets, "rid long, data binary"), "sets")
+    full = written(texts.join(needed.select("rid").distinct(), "rid", "left_semi").mapInArrow(sets, "rid long, data binary"), "sets")
     rows = needed.join(full, "rid").select("x", "y", "rid", "data")
     rows = rows.unionByName(candidates.select("x", "y", F.lit(None).cast("long").alias("rid"), F.col("pairs").alias("data")))
-    dealt = rows.repartition(exchanges(docs.sparkSession), "x", "y").sortWithinPartitions("x", "y")
+    dealt = rows.repartition(exchanges(texts.sparkSession), "x", "y").sortWithinPartitions("x", "y")
     return dealt.mapInArrow(check, "a long, b long").distinct()
 
 
-def near_components(docs: DataFrame, op: NearDedup = NearDedup(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) of every row of ``docs``.
+def _members(docs: DataFrame, op: NearDedup, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame, bool]:
+    """Members, repeated ids, and whether there are any; rows with a null id are left out.
 
-    component_id is the least id reachable over links; kept marks it. Ids are expected to be
-    unique. Rows with a null id are linked with nothing: component_id null, kept true. Null, empty and word-less texts are linked with nothing; texts of
-    fewer words than a shingle are one shingle; equal sets are linked. Other columns are ignored.
+    Members are (doc_id, n_shingles, set_key, copies, component_id, kept), one row per id and set.
+    A set goes by the least id that has it; where an id is the least of several sets, each
+    of them goes by a number below 0 made from its key.
     """
-    every = written(fingerprints(docs, op, id_col, text_col), "prints")
-    prints, unnamed = every.where("doc_id IS NOT NULL"), every.where("doc_id IS NULL")
-    classes = prints.where("n_shingles > 0").groupBy("set_key").agg(F.min("doc_id").alias("rid"))
+    prints = written(fingerprints(docs, op, id_col, text_col), "prints").where("doc_id IS NOT NULL")
+    repeated = written(prints.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc_id"), "repeated")
+    repeats = not repeated.isEmpty()
+    texts = docs.select(F.col(id_col).cast("long").alias("rid"), F.col(text_col).alias("text"))
+    classes = prints.where("n_shingles > 0").groupBy("set_key").agg(F.min("doc_id").alias("least"))
+    prints = prints.withColumn("copies", F.lit(1).cast("long"))
+    if repeats:
+        prints = written(prints.groupBy("doc_id", "n_shingles", "set_key").agg(F.first("signature").alias("signature"), F.count(F.lit(1)).alias("copies")), "prints")
+        classes = written(classes, "classes")
+        several = classes.groupBy("least").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+        own = -1 - F.conv(F.substring(F.hex("set_key"), 1, 15), 16, 10).cast("long")
+        classes = classes.join(several, "least", "left").select("set_key", "least", F.when(F.col("n") > 1, own).otherwise(F.col("least")).alias("rid"))
+    else:
+        classes = classes.withColumn("rid", F.col("least"))
     classes = written(classes, "classes")
-    reps = prints.join(classes.select(F.col("rid").alias("doc_id")), "doc_id", "left_semi")
-    reps = reps.select(F.col("doc_id").alias("rid"), "n_shingles", "signature")
+    if repeats:
+        reps = prints.join(classes.withColumnRenamed("least", "doc_id"), ["doc_id", "set_key"]).select("rid", "n_shingles", "signature")
+        again = docs.join(repeated.withColumnRenamed("doc_id", "_id"), docs[id_col].cast("long") == F.col("_id"), "left_semi")
+        again = fingerprints(again, op, id_col, text_col, texts=True).join(classes.withColumnRenamed("least", "doc_id"), ["doc_id", "set_key"])
+        again = written(again.groupBy("rid").agg(F.min("text").alias("text")), "again")
+        texts = texts.join(repeated.withColumnRenamed("doc_id", "rid"), "rid", "left_anti").unionByName(again)
+    else:
+        reps = prints.join(classes.select(F.col("rid").alias("doc_id")), "doc_id", "left_semi")
+        reps = reps.select(F.col("doc_id").alias("rid"), "n_shingles", "signature")
     buckets = written(_buckets(_keys(reps, op), op), "buckets")
     info = reps.join(buckets.select("rid").distinct(), "rid", "left_semi")
     info = written(info, "info")
     blocks = info.count() // op.set_block + 1
     first = _candidates(buckets, info.withColumn("component", F.col("rid")), op, True, blocks)
-    links = written(_confirmed(written(first, "pairs"), docs, op, id_col, text_col), "links")
+    links = written(_confirmed(written(first, "pairs"), texts, op), "links")
     found = written(components(links), "components")
     named = info.join(found.withColumnRenamed("node", "rid"), "rid", "left").withColumn("component", F.coalesce("component", "rid"))
     second = _candidates(buckets, named, op, False, blocks)
-    more = written(_confirmed(written(second, "pairs"), docs, op, id_col, text_col), "links")
+    more = written(_confirmed(written(second, "pairs"), texts, op), "links")
     # Links between components: what the first pass joined counts as one node.
-    found = components(links.unionByName(more))
+    found = components(links.unionByName(more)).withColumnRenamed("node", "rid")
     # Empty sets have no key: a join would send them all to one task.
     sets, empty = prints.where("n_shingles > 0"), prints.where("n_shingles = 0")
-    member = sets.select("doc_id", "n_shingles", "set_key").join(classes, "set_key")
-    member = member.join(found.withColumnRenamed("node", "rid"), "rid", "left")
-    member = member.select("doc_id", "n_shingles", F.coalesce("component", "rid").alias("component_id"))
-    member = member.unionByName(empty.select("doc_id", "n_shingles", F.col("doc_id").alias("component_id")))
-    member = member.withColumn("kept", F.col("component_id") == F.col("doc_id"))
-    return member.unionByName(unnamed.select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"), F.lit(True).alias("kept")))
+    member = sets.select("doc_id", "n_shingles", "set_key", "copies").join(classes, "set_key")
+    member = member.join(found, "rid", "left").withColumn("component", F.coalesce("component", "rid"))
+    kept = F.col("component_id") == F.col("doc_id")
+    if repeats:
+        names = classes.join(found, "rid", "left").groupBy(F.coalesce("component", "rid").alias("component"))
+        member = member.join(names.agg(F.min(F.struct("least", "set_key")).alias("one")), "component").withColumn("component_id", F.col("one.least"))
+        kept = kept & (F.col("set_key") == F.col("one.set_key"))
+    else:
+        member = member.withColumn("component_id", F.col("component"))
+    member = member.select("doc_id", "n_shingles", "set_key", "copies", "component_id", kept.alias("kept"))
+    empty = empty.select("doc_id", "n_shingles", "set_key", "copies", F.col("doc_id").alias("component_id"), F.lit(True).alias("kept"))
+    return member.unionByName(empty), repeated, repeats
+
+
+def near_components(docs: DataFrame, op: NearDedup = NearDedup(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept) of every row of ``docs``.
+
+    component_id is the least id reachable over links; kept marks one row that has it. Rows of
+    one id with equal sets are one document, of which at most one row is kept; with different
+    sets they are different documents. Rows with a null id are linked with nothing:
+    component_id null, kept true. Null, empty and word-less texts are linked with nothing;
+    texts of fewer words than a shingle are one shingle; equal sets are linked. Other columns
+    are ignored.
+    """
+    member, _, repeats = _members(docs, op, id_col, text_col)
+    if repeats:
+        member = member.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies"))).withColumn("kept", F.col("kept") & (F.col("copy") == 1))
+    unnamed = fingerprints(docs.where(F.col(id_col).isNull()), op, id_col, text_col).select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"), F.lit(True).alias("kept"))
+    return member.select("doc_id", "n_shingles", "component_id", "kept").unionByName(unnamed)
 
 
 def keep_one(docs: DataFrame, op: NearDedup = NearDedup()) -> DataFrame:
     """The rows of ``docs`` whose document stands for its component; all columns stay.
 
-    Rows with a null id all stay.
+    Of several rows of a kept document (one id, equal sets) the least text stays, then the row
+    with the least digest. Rows with a null id all stay.
     """
-    kept = near_components(docs, op).where("kept").select("doc_id")
-    return docs.join(kept, "doc_id", "left_semi").unionByName(docs.where("doc_id IS NULL"))
+    member, repeated, repeats = _members(docs, op, "doc_id", "text")
+    kept, unnamed = member.where("kept"), docs.where("doc_id IS NULL")
+    if not repeats:
+        return docs.join(kept.select("doc_id"), "doc_id", "left_semi").unionByName(unnamed)
+    once = docs.join(repeated, "doc_id", "left_anti").where("doc_id IS NOT NULL").join(kept.select("doc_id"), "doc_id", "left_semi")
+    many = docs.join(repeated, "doc_id", "left_semi")
+    stay = kept.join(repeated, "doc_id", "left_semi").select(F.col("doc_id").alias("_id"), F.col("set_key").alias("_set"))
+    prints = fingerprints(many, op, texts=True).groupBy("doc_id", "set_key").agg(F.min("text").alias("_text"))
+    stay = prints.join(stay, (F.col("doc_id") == F.col("_id")) & F.col("set_key").eqNullSafe(F.col("_set"))).select("_id", "_text")
+    whole = many.select("doc_id", "text", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), row_key(docs).alias("_key"))
+    whole = whole.groupBy("doc_id", "text").agg(F.min_by("_row", "_key").alias("_row"))
+    whole = whole.join(stay, (F.col("doc_id") == F.col("_id")) & F.col("text").eqNullSafe(F.col("_text")), "left_semi").select("_row.*")
+    return once.unionByName(whole).unionByName(unnamed)
