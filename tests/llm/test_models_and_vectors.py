@@ -33,6 +33,20 @@ def test_html_article_inside_unclosed_boilerplate_and_short_pages():
     assert main_text("<article>" + "<div>" * 3000 + "deep" + "</div>" * 3000 + "</article>") == "deep"
 
 
+@pytest.mark.parametrize("attrs", ['class="content has-sidebar"', 'id="page" class="with-header"', 'class="post no-comments"', 'id="social-science"', 'class="share"', 'class="widget"'])
+def test_html_wrappers_around_the_text_stay(attrs):
+    body = "<h1>Title</h1>" + "".join(f"<p>{'word ' * 40}{k}</p>" for k in range(4))
+    page = f'<body><nav><a href="/">Home</a></nav><div {attrs}>{body}<div class="sidebar-left"><p>{"more " * 9}</p></div></div></body>'
+    assert main_text(page) == "\n".join(["Title", *(f"{'word ' * 40}{k}" for k in range(4))])
+
+
+def test_html_names_by_whole_words():
+    text = "word " * 40
+    page = f'<article><div class="entry-header"><h1>Title</h1></div><p>{text}</p><section id="social-science"><p>part</p></section><div class="social-share">x</div><ul class="comment-list"><li>y</ul></article>'
+    assert main_text(page) == f"Title\n{text.strip()}\npart"
+    assert main_text(f'<div class="post"><p>{text}</p></div><div class="comments-area"><p>{text * 3}</p></div>') == text.strip()
+
+
 def test_html_rows(spark):
     rows = [(1, None, "x"), (2, "", "y"), (3, "<article><p>t</p></article>", "z"), (3, "<article><p>t</p></article>", "z")]
     pages = spark.createDataFrame(rows, "page_id long, html string, text string")

@@ -6,6 +6,9 @@ Gaussian, and lines above the page's own threshold (the deviation of the smoothe
 content. Content text votes for the element that holds it: an article or main element when
 there is one, else the innermost element with most of the content. All its lines are the main
 text, but for lines inside menus, adverts, notices, forms, comments and the like.
+
+An element whose class or id only names such a part is left out on probation: it counts as
+content when most of the page's content, found before these names are looked at, lies in it.
 """
 
 from __future__ import annotations
@@ -36,18 +39,44 @@ MARKED = frozenset(
     "outbrain pager pagination paywall popup promo promotion recommended related replies reply respond share sharing sidebar "
     "signup social sponsor sponsored subscribe subscription taboola toolbar widget".split()
 )
+#: What may follow a marked word in a name that starts with it.
+LAYOUT = frozenset(
+    "area bar block body bottom box btn button buttons center container content form group head icon icons inner item items label left link "
+    "links list main message outer panel post posts primary right secondary section slot text thread title top unit wrap wrapper".split()
+)
+#: First words of names that state something about an element and do not say what it is.
+STATES = frozenset("has have is no not with without hide show enable enabled disable disabled".split())
+#: First words of headers that belong to the text.
+TEXT_HEADERS = frozenset("article content entry page post section single story title".split())
+#: What readers write is no content beside an article, even if there is more of it.
+TALK = frozenset("comment comments commentlist disqus replies reply respond".split())
 REGIONS = frozenset(("article", "main"))
 _PARTS = re.compile(r"[a-z]+")
 
 
+def marked(names: str) -> bool:
+    """Whether one of the class names or ids says that its element is no content.
+
+    A name counts by its last word, or by its first when only layout words follow.
+    """
+    for name in names.split():
+        parts = _PARTS.findall(name)
+        if not parts or parts[0] in STATES or parts[-1] == "header" and parts[0] in TEXT_HEADERS:
+            continue
+        if parts[-1] in MARKED or parts[0] in MARKED and all(x in MARKED or x in LAYOUT for x in parts[1:]):
+            return True
+    return False
+
+
 class _Lines(HTMLParser):
-    """Collects (text, tags, path of open element numbers, boilerplate) per line."""
+    """Collects (text, tags, path of open element numbers, boilerplate, elements marked by name) per line."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.lines: list[tuple[str, int, tuple[int, ...], bool]] = []
-        self.open: list[tuple[str, int, bool, bool]] = []  # tag, number, unread, boilerplate
+        self.lines: list[tuple[str, int, tuple[int, ...], bool, tuple[int, ...]]] = []
+        self.open: list[tuple[str, int, bool, bool, tuple[int, ...]]] = []  # tag, number, unread, boilerplate, marked
         self.kinds: dict[int, str] = {}
+        self.talk: set[int] = set()
         self.text: list[str] = []
         self.tags = 0
         self.count = 0
@@ -57,7 +86,8 @@ class _Lines(HTMLParser):
         self.text = []
         if text:
             path = tuple(e[1] for e in self.open)
-            self.lines.append((text, max(1, self.tags), path, bool(self.open) and self.open[-1][3]))
+            plate, names = self.open[-1][3:] if self.open else (False, ())
+            self.lines.append((text, max(1, self.tags), path, plate, names))
             self.tags = 0
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
@@ -75,23 +105,26 @@ class _Lines(HTMLParser):
             self.text.append(" ")
         if tag in VOID:
             return
-        unread, plate = (self.open[-1][2], self.open[-1][3]) if self.open else (False, False)
+        unread, plate, names = self.open[-1][2:] if self.open else (False, False, ())
+        self.count += 1
         inside = any(e[0] in REGIONS for e in self.open)
         if tag in REGIONS and not inside:
-            unread = plate = False
+            unread, plate, names = False, False, ()
         unread = unread or tag in UNREAD
         plate = plate or tag in BOILERPLATE or tag == "header" and not inside
         if tag not in ("html", "body") and tag not in REGIONS:
             for name, value in attrs:
                 value = (value or "").lower()
                 if name in ("class", "id"):
-                    plate = plate or not MARKED.isdisjoint(_PARTS.findall(value))
+                    if marked(value) and self.count not in names:
+                        names = (*names, self.count)
+                        if not TALK.isdisjoint(_PARTS.findall(value)):
+                            self.talk.add(self.count)
                 elif name == "role":
                     plate = plate or value in ("navigation", "banner", "contentinfo", "complementary", "search", "form", "dialog", "alert")
                 elif name == "hidden" or name == "style" and "display:none" in value.replace(" ", "") or name == "aria-hidden" and value == "true":
                     unread = True
-        self.count += 1
-        self.open.append((tag, self.count, unread, plate))
+        self.open.append((tag, self.count, unread, plate, names))
         self.kinds[self.count] = tag
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
@@ -139,6 +172,17 @@ def main_text(html: str) -> str:
     if not usable:
         return ""
     smooth = smoothed(np.array([len(x[0]) / x[1] for x in lines]))
+    if any(lines[i][4] for i in usable):
+        content = [i for i in usable if smooth[i] >= smooth.std()] or usable
+        held: dict[int, int] = {}
+        for i in content:
+            for element in lines[i][4]:
+                held[element] = held.get(element, 0) + len(lines[i][0])
+        total = sum(len(lines[i][0]) for i in content)
+        talk = parser.talk if any(not lines[i][4] for i in content) else ()
+        usable = [i for i in usable if all(2 * held.get(e, 0) > total and e not in talk for e in lines[i][4])]
+        if not usable:
+            return ""
     content = [i for i in usable if smooth[i] >= smooth.std()] or usable
     votes: dict[int, int] = {}
     for i in content:
