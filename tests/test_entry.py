@@ -1,4 +1,5 @@
 import os
+import subprocess
 import sys
 
 import duckdb
@@ -27,3 +28,13 @@ def test_some_queries_match_their_sql(spark):
         got = rows_of(df.columns, df.collect())
         want = rows_of([d[0] for d in cur.description], cur.fetchall())
         assert got == want, name
+
+
+def test_entry_imports_without_the_optional_subpackage():
+    """Whether its modules or only a library of theirs is missing, all other queries stay."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    for hidden in ("tsforge.llm", "tsforge.llm.queries", "public_tokenizers", "ahocorasick"):
+        code = f"import sys; sys.modules[{hidden!r}] = None; import __spark_entry__ as e; print(len(e.queries()), sorted(q for q in e.queries() if q == 'pipeline' or q.startswith('op1_')))"
+        done = subprocess.run([sys.executable, "-B", "-c", code], cwd=root, capture_output=True, text=True, check=True)
+        count, left = done.stdout.split(" ", 1)
+        assert int(count) > 100 and left.strip() == "[]", hidden
