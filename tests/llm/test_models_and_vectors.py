@@ -47,6 +47,16 @@ def test_html_names_by_whole_words():
     assert main_text(f'<div class="post"><p>{text}</p></div><div class="comments-area"><p>{text * 3}</p></div>') == text.strip()
 
 
+def test_html_broken_markup_never_ends_the_job():
+    body = "<article><p>One long paragraph of plain words stands here.</p>{}<p>And a second one follows it.</p></article>"
+    want = "One long paragraph of plain words stands here.\nAnd a second one follows it."
+    for junk in ("<![foo[x]]>", "<![if !IE]>", "<![endif]>", "<![ ]>", "<!>", "<![CDATA[x]]>", "<?php x ?>", "</>", "<!-- -- -->"):
+        assert main_text(body.format(junk)) == want, junk
+    assert main_text(body.format("") + "<!-- <p>left open") == want
+    for junk in ("<![", "<!", "<![foo", "<a href='", "&#x110000;", "&#xD800;", "<!--"):
+        assert isinstance(main_text(body.format("") + junk), str)
+
+
 def test_html_rows(spark):
     rows = [(1, None, "x"), (2, "", "y"), (3, "<article><p>t</p></article>", "z"), (3, "<article><p>t</p></article>", "z")]
     pages = spark.createDataFrame(rows, "page_id long, html string, text string")

@@ -142,11 +142,12 @@ def test_mix_equals_brute_force(spark):
     texts = {i: t for i, t, _ in data}
     out = mixed_documents(docs)
     assert out.columns == docs.columns
-    total = 0
-    for r in out.collect():
-        total += len(words(r.text))
-        assert texts[r.doc_id].startswith(r.text) and r.n_chars in (0, len(r.text))
-    assert total == sum(r.taken for r in spots.collect())
+    got = sorted((r.doc_id, r.text) for r in out.collect())  # whole documents, the border ones by the nearer side
+    assert got == sorted((r.doc_id, texts[r.doc_id]) for r in passes if 2 * r.pass_words >= r.size)
+    clash = docs.withColumns({c: F.lit(7) for c in ("size", "position", "epoch", "pass_words", "_key", "key", "row", "a.b")})
+    out = mixed_documents(clash)
+    assert out.columns == clash.columns and sorted((r.doc_id, r.text) for r in out.collect()) == got
+    assert set(out.select("_key", "position", "`a.b`").collect()) == {(7, 7, 7)}
 
 
 def test_curriculum_position_inverts_the_integral():
@@ -211,7 +212,7 @@ def test_mix_places_null_ids_last(spark):
         assert all(r.source_size == total[r.source] and r.words == taken[r.source] for r in spots)
         assert all(r.start >= max((q.start + q.size for q in spots if q.source == r.source and q.doc_id is not None), default=0) for r in spots if r.doc_id is None)
         out = mixed_documents(docs, op).collect()
-        assert sum(len(words(r.text)) for r in out) == sum(taken.values())
+        assert 2 * abs(sum(len(words(r.text)) for r in out) - sum(taken.values())) <= 3 * max(r.size for r in spots)
         assert {(r.text, r.source) for r in out if r.doc_id is None and r.source == "u"} == {("only one", "u")}
 
 
@@ -239,4 +240,7 @@ def test_mix_gives_repeated_rows_places_of_their_own(spark):
             assert [x for x, _ in mine] == [sum(n for _, n in mine[:k]) for k in range(len(mine))]
             assert sum(r.taken for r in spots if r.source == s) == max(r.words for r in spots if r.source == s)
         out = mixed_documents(docs, op).collect()
-        assert sum(len(words(r.text)) for r in out) == sum(r.taken for r in spots)
+        for s in ("s0", "s1"):
+            mine = [r for r in spots if r.source == s]
+            off = sum(len(words(r.text)) for r in out if r.source == s) - sum(r.taken for r in mine)
+            assert 2 * abs(off) <= max(r.size for r in mine)

@@ -149,7 +149,16 @@ class _Lines(HTMLParser):
         if not (self.open and self.open[-1][2]):
             self.text.append(data)
 
+    def parse_marked_section(self, i: int, report: int = 1) -> int:
+        """``<![...]>`` of an unknown kind is a comment up to the next ``>``."""
+        try:
+            return super().parse_marked_section(i, report)
+        except AssertionError:
+            return self.parse_bogus_comment(i)
+
     def close(self) -> None:
+        if self.rawdata.startswith("<!--"):
+            self.rawdata = ""  # a comment that never ends holds the rest of the page
         super().close()
         self.flush()
 

@@ -164,20 +164,14 @@ def scheduled(placement: DataFrame, op: Curriculum = Curriculum()) -> DataFrame:
 def mixed_documents(docs: DataFrame, op: Curriculum = Curriculum()) -> DataFrame:
     """The mixed corpus in training order, with the columns of ``docs``.
 
-    A document comes once for each pass. Where a source's target ends inside a document, that
-    pass holds the words up to there; a column n_chars follows the text. Rows with a null id
-    are documents like others, and so is each of several equal rows.
+    A document comes once for each pass, always whole: where a source's target ends inside a
+    document, that pass takes the document when at least half of it lies before the target, so
+    the source ends within half a document of it. Rows with a null id are documents like others,
+    and so is each of several equal rows. Other columns may have any name.
     """
     spots, repeats = _places(docs, op, row_key(docs), "doc_id", "text", "source")
-    taken = scheduled(spots, op).select(F.col("key").alias("_key"), "size", "pass_words", "position", "epoch")
-    rows = docs.withColumn("_key", row_key(docs))
-    both = (rows.dropDuplicates(["_key"]) if repeats else rows).join(taken, "_key")  # equal rows: one for all their passes
-    # The first pass_words words with the spaces before them.
-    words = F.slice(F.regexp_extract_all("text", F.lit(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+"), 0), 1, F.col("pass_words").cast("int"))
-    text = F.when(F.col("pass_words") < F.col("size"), F.array_join(words, "")).otherwise(F.col("text"))
-    columns = []
-    for c in docs.columns:
-        cut = F.col("pass_words") < F.col("size")
-        columns.append(text.alias(c) if c == "text" else F.when(cut, F.length(text)).otherwise(F.col(c)).cast(docs.schema[c].dataType).alias(c) if c == "n_chars" else F.col(c))
+    taken = scheduled(spots, op).where("2 * pass_words >= size").select("key", "doc_id", "position", "epoch")
+    rows = docs.select(row_key(docs).alias("key"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    both = (rows.dropDuplicates(["key"]) if repeats else rows).join(taken, "key")  # equal rows: one for all their passes
     sorted_rows = both.repartitionByRange(exchanges(docs.sparkSession), "position", "doc_id", "epoch").sortWithinPartitions("position", "doc_id", "epoch")
-    return sorted_rows.select(*columns)
+    return sorted_rows.select(*[F.col("row")[c].alias(c) for c in docs.columns])
