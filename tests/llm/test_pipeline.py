@@ -55,7 +55,7 @@ def test_stages_against_plain_python(spark):
 
 def test_queries_with_sql_match_it(spark):
     con = duckdb.connect()
-    for t in ("documents", "embeddings"):
+    for t in ("documents", "embeddings", "benchmark", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     for name, sql in ORACLES.items():
         df = QUERIES[name](spark, SF)

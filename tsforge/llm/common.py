@@ -97,6 +97,38 @@ def word_hashes(text: bytes) -> np.ndarray:
         return mixed((sums[end] - sums[start]) * inverses[start] + (end - start).astype(np.uint64))
 
 
+def span_hashes(codes: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each byte span [start, end) of one piece of text, never 0; equal spans have equal hashes."""
+    powers, inverses = _powers(len(codes) + 1)
+    with np.errstate(over="ignore"):
+        sums = np.zeros(len(codes) + 1, np.uint64)
+        np.cumsum(_BYTES[codes] * powers[: len(codes)], out=sums[1:])
+        found = mixed((sums[end] - sums[start]) * inverses[start] + (end - start).astype(np.uint64))
+    return np.where(found == 0, np.uint64(1), found)
+
+
+def word_spans(text: bytes, is_word: np.ndarray, piece: int = 1 << 20) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """(offset, codes, start, end) of pieces of a long text; ``is_word`` says of each byte value whether words hold it.
+
+    A piece ends between words, so working memory follows ``piece`` (and the longest word), not the text.
+    """
+    at = 0
+    while at < len(text):
+        codes = np.frombuffer(text, np.uint8, min(piece, len(text) - at), at)
+        inside = is_word[codes]
+        stop = len(codes)
+        if at + stop < len(text) and inside[-1]:
+            breaks = np.flatnonzero(~inside)
+            if not len(breaks):
+                piece *= 2  # one word longer than a piece
+                continue
+            stop = int(breaks[-1]) + 1
+        inside = inside[:stop]
+        edge = np.flatnonzero(np.diff(np.r_[False, inside, False].astype(np.int8)))
+        yield at, codes[:stop], edge[0::2], edge[1::2]
+        at += stop
+
+
 def gram_hashes(words: np.ndarray, n: int) -> np.ndarray:
     """A hash of every run of ``n`` words; of the whole sequence when it is shorter."""
     n = min(n, len(words))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tsforge.llm.byte_bpe import round_trip
 from tsforge.llm.common import exchanges
+from tsforge.llm.decontamination import contamination
 from tsforge.llm.html_text import extracted
 from tsforge.llm.language_id import fold, identified, prototypes
 from tsforge.llm.line_dedup import dedup_lines
@@ -203,3 +204,41 @@ FROM documents d LEFT JOIN texts t USING (doc_id)
 def op5_repeated_passages(spark: SparkSession, sf: str) -> DataFrame:
     """Spans of fifty and more words that several documents share."""
     return repeated_passages(table(spark, sf, "documents"))
+
+
+@query
+def op12_benchmark_decontamination(spark: SparkSession, sf: str) -> DataFrame:
+    """Which words of every document lie in a ten-word window of a benchmark item, and of which items."""
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    found = contamination(docs, table(spark, sf, "benchmark").select("item_id", "text"))
+    n_items = F.size("items").cast("long")
+    digest = F.sha2(F.concat_ws(",", "items"), 256)
+    return found.select("doc_id", "n_words", "n_hit", n_items.alias("n_items"), digest.alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
+ORACLES["op12_benchmark_decontamination"] = r"""
+WITH item AS (
+  SELECT CAST(item_id AS VARCHAR) AS item,
+         regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark
+), win AS (
+  SELECT DISTINCT item, least(10, len(w)) AS n, list_slice(w, p, p + least(10, len(w)) - 1) AS ws
+  FROM (SELECT item, w, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS p FROM item WHERE len(w) > 0)
+), doc AS (
+  SELECT row_number() OVER () AS d, doc_id, coalesce(
+         regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w
+  FROM documents
+), place AS (
+  SELECT d, n, p, list_slice(w, p, p + n - 1) AS ws
+  FROM (SELECT d, w, n, unnest(range(1, len(w) - n + 2)) AS p FROM doc, (SELECT DISTINCT n FROM win) WHERE len(w) >= n)
+), hit AS (
+  SELECT d, p, n, item FROM place JOIN win USING (n, ws)
+), words AS (
+  SELECT d, count(DISTINCT q) AS n_hit FROM (SELECT d, unnest(range(p, p + n)) AS q FROM (SELECT DISTINCT d, p, n FROM hit)) GROUP BY d
+), items AS (
+  SELECT d, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids FROM (SELECT DISTINCT d, item FROM hit WHERE item IS NOT NULL) GROUP BY d
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM doc LEFT JOIN words USING (d) LEFT JOIN items USING (d)
+"""
