@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tsforge.llm.byte_bpe import round_trip
+from tsforge.llm.collocations import collocations
 from tsforge.llm.common import exchanges
 from tsforge.llm.decontamination import contamination
 from tsforge.llm.html_text import extracted
@@ -242,3 +243,46 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIG
        CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM doc LEFT JOIN words USING (d) LEFT JOIN items USING (d)
 """
+
+
+@query
+def op13_phrase_collocations(spark: SparkSession, sf: str) -> DataFrame:
+    """Phrases of two to four words that stand together, the first 2000 of each language."""
+    return collocations(table(spark, sf, "documents").select("text", "lang"))
+
+
+ORACLES["op13_phrase_collocations"] = r"""
+WITH piece AS (
+  SELECT lang, row_number() OVER () AS id, regexp_extract_all(p, '[^ 	]+') AS w
+  FROM (SELECT coalesce(lang, 'und') AS lang,
+               unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?
+-]')) AS p
+        FROM documents)
+), gram AS (
+  SELECT lang, k, w[i:i + k - 1] AS ws
+  FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM piece, (SELECT unnest([1, 2, 3, 4]) AS k) WHERE len(w) >= k)
+), total AS (
+  SELECT lang, sum(len(w)) AS n FROM piece GROUP BY lang
+), freq AS (
+  SELECT lang, k, ws, count(*) AS f FROM gram GROUP BY lang, k, ws HAVING count(*) >= 30
+), cand AS (
+  SELECT * FROM freq WHERE k > 1
+), halves AS (
+  SELECT lang, k, ws, f, j, ws[1:j] AS x, ws[j + 1:k] AS y FROM (SELECT *, unnest(range(1, k)) AS j FROM cand)
+), scored AS (
+  SELECT c.lang, c.k, c.ws, c.f, x.f AS l, y.f AS r, CAST(2000000::HUGEINT * c.f // (x.f::HUGEINT + y.f) AS BIGINT) AS score,
+         row_number() OVER (PARTITION BY c.lang, c.ws ORDER BY 2000000::HUGEINT * c.f // (x.f::HUGEINT + y.f), c.j) AS pick
+  FROM halves c JOIN freq x ON x.lang = c.lang AND x.ws = c.x JOIN freq y ON y.lang = c.lang AND y.ws = c.y
+), cover AS (
+  SELECT lang, s AS ws, max(f) AS over
+  FROM (SELECT lang, f, ws[i:i + m - 1] AS s
+        FROM (SELECT lang, f, ws, k, m, unnest(range(1, k - m + 2)) AS i FROM cand, (SELECT unnest([2, 3]) AS m) WHERE m < k)) GROUP BY lang, s
+), kept AS (
+  SELECT s.*, array_to_string(s.ws, ' ') AS phrase FROM scored s LEFT JOIN cover v ON v.lang = s.lang AND v.ws = s.ws
+  WHERE pick = 1 AND NOT coalesce(100::HUGEINT * v.over >= 80::HUGEINT * s.f, false)
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, f DESC, phrase) AS rank FROM kept
+)
+SELECT lang, CAST(rank AS BIGINT) AS rank, phrase, CAST(f AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r, CAST(n AS BIGINT) AS n, score
+FROM ranked JOIN total USING (lang) WHERE rank <= 2000
+"""
