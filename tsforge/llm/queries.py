@@ -17,6 +17,7 @@ from tsforge.llm.language_id import fold, identified, prototypes
 from tsforge.llm.line_dedup import dedup_lines
 from tsforge.llm.mixing import Curriculum, placed, position
 from tsforge.llm.near_dedup import NearDedup, near_components
+from tsforge.llm.prefix_trie import prefix_trie
 from tsforge.llm.quality_crf import scored, trained
 from tsforge.llm.repeated_passages import repeated_passages
 from tsforge.llm.rotated_bits import index, nearest
@@ -256,7 +257,8 @@ WITH piece AS (
   SELECT lang, row_number() OVER () AS id, regexp_extract_all(p, '[^ 	]+') AS w
   FROM (SELECT coalesce(lang, 'und') AS lang,
                unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?
--]')) AS p
+-
+]')) AS p
         FROM documents)
 ), gram AS (
   SELECT lang, k, w[i:i + k - 1] AS ws
@@ -286,3 +288,48 @@ WITH piece AS (
 SELECT lang, CAST(rank AS BIGINT) AS rank, phrase, CAST(f AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r, CAST(n AS BIGINT) AS n, score
 FROM ranked JOIN total USING (lang) WHERE rank <= 2000
 """
+
+
+@query
+def op11_conversation_prefix_trie(spark: SparkSession, sf: str) -> DataFrame:
+    """Every distinct prefix of the rebuilt conversations with its members, children, leaves and savings."""
+    return prefix_trie(table(spark, sf, "conversations").select("conv_id", "turn", "role", "text"))
+
+
+ORACLES["op11_conversation_prefix_trie"] = """
+WITH turns AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, md5(md5(coalesce(role, '')) || ':' || md5(coalesce(text, '')))) AS pos,
+         md5(md5(coalesce(role, '')) || ':' || md5(coalesce(text, ''))) AS t, strlen(coalesce(text, '')) AS bytes
+  FROM conversations WHERE conv_id IS NOT NULL
+), conv AS (
+  SELECT conv_id, conv_id - conv_id % 5 AS head,
+         xor(4294967295, list_reduce(
+           list_prepend(4294967295::BIGINT, list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda x: ascii(x)::BIGINT)),
+           lambda a, b: list_reduce(list_prepend(xor(a, b), range(8)::BIGINT[]), lambda c, i: xor(c >> 1, (c & 1) * 3988292384)))) % 9 AS h
+  FROM (SELECT DISTINCT conv_id FROM turns)
+), part AS (
+  SELECT c.conv_id, 0 AS own, pos, t, bytes FROM conv c JOIN turns x ON x.conv_id = c.head AND x.pos <= c.h
+  UNION ALL SELECT c.conv_id, 1, pos, t, bytes FROM conv c JOIN turns x ON x.conv_id = c.conv_id AND x.pos > c.h
+), seq AS (
+  SELECT conv_id, row_number() OVER w AS depth, list(t) OVER w AS prefix, bytes
+  FROM part WINDOW w AS (PARTITION BY conv_id ORDER BY own, pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+), every AS (
+  SELECT conv_id, depth, prefix, bytes FROM seq UNION ALL SELECT conv_id, 0, CAST([] AS VARCHAR[]), 0 FROM conv
+), node AS (
+  SELECT prefix, depth, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(bytes) AS bytes FROM every GROUP BY prefix, depth
+), last AS (
+  SELECT conv_id, max(depth) AS depth FROM every GROUP BY conv_id
+), ended AS (
+  SELECT prefix, string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) AS ids FROM every JOIN last USING (conv_id, depth) GROUP BY prefix
+), kids AS (
+  SELECT prefix[1:depth - 1] AS prefix, count(*) AS n FROM node WHERE depth > 0 GROUP BY 1
+), shape AS (
+  SELECT n.*, coalesce(k.n, 0) AS n_children FROM node n LEFT JOIN kids k USING (prefix)
+), above AS (
+  SELECT prefix[1:d] AS prefix, sum(CASE WHEN n_children = 0 THEN 1 ELSE 0 END) AS n_leaves, sum((n_convs - 1) * bytes) AS saved
+  FROM (SELECT *, unnest(range(0, depth + 1)) AS d FROM shape) GROUP BY 1
+)
+SELECT s.conv_id, CAST(s.depth AS BIGINT) AS depth, p.conv_id AS parent_conv_id, s.n_convs, s.n_children, CAST(a.n_leaves AS BIGINT) AS n_leaves,
+       CAST(a.saved AS BIGINT) AS saved_tokens, sha256(coalesce(e.ids, '')) AS ends_sha256
+FROM shape s JOIN above a USING (prefix) LEFT JOIN ended e USING (prefix) LEFT JOIN node p ON s.depth > 0 AND p.prefix = s.prefix[1:s.depth - 1]
+"""
