@@ -150,40 +150,51 @@ def _distinct(columns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return columns[:, order[new]], np.diff(np.r_[new, len(left)])
 
 
-def _windows(texts: DataFrame, op: Collocations, bits: int) -> DataFrame:
-    """(lang, w1, ..., w4, n, word): counted windows of word hashes padded with 0; or with n null the text of hash w1."""
-    shared = texts.sparkSession.sparkContext.broadcast(_sketch(texts, op, bits))
-    names = ["lang", *COLUMNS, "n", "word"]
+def _leads(lang: str, text: bytes, bits: int, often_bits: np.ndarray) -> tuple[np.ndarray, ...]:
+    """The distinct words of a shard (hash, first and end byte), and for each place the numbers from 1 of its window's words."""
+    words, pieces, start, end = _words(text)
+    often = np.zeros((3, len(words)), bool)
+    for row, (begins, bucket) in zip(often, _buckets(lang, words, pieces, bits)):
+        row[begins] = (often_bits[(bucket >> np.uint64(3)).astype(np.int64)] >> (bucket & np.uint64(7)).astype(np.uint8)) & 1 == 1
+    vocab, first, code = np.unique(words, return_index=True, return_inverse=True)
+    lead = np.zeros((WIDTH, len(words)), np.int64)
+    open_at = often[0]
+    lead[0] = np.where(open_at, code + 1, 0)
+    for k in range(1, min(WIDTH, len(words))):  # word k joins if its pair, and from the third word on its triple, may be frequent
+        reaches = np.zeros(len(words), bool)
+        reaches[:-k] = often[1][k - 1 : -1] & (often[2][k - 2 : -2] if k > 1 else True)
+        open_at = open_at & reaches
+        lead[k, :-k] = np.where(open_at[:-k], code[k:] + 1, 0)
+    return vocab, start[first], end[first], lead
+
+
+def _windows(texts: DataFrame, op: Collocations, bits: int, shared) -> DataFrame:
+    """(lang, w1, ..., w4, n): counted windows of word hashes, padded with 0."""
+    names = ["lang", *COLUMNS, "n"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lang, text in _shards(batches, op.shard_bytes):
-            words, pieces, start, end = _words(text)
-            if not len(words):
-                continue
-            often = np.zeros((3, len(words)), bool)
-            for row, (begins, bucket) in zip(often, _buckets(lang, words, pieces, bits)):
-                row[begins] = (shared.value[(bucket >> np.uint64(3)).astype(np.int64)] >> (bucket & np.uint64(7)).astype(np.uint8)) & 1 == 1
-            vocab, first, code = np.unique(words, return_index=True, return_inverse=True)
-            lead = np.zeros((WIDTH, len(words)), np.int64)
-            lead[0] = np.where(often[0], code + 1, 0)
-            open_at = often[0]
-            for k in range(1, WIDTH):  # word k joins if its pair, and from the third word on its triple, may be frequent
-                reaches = np.zeros(len(words), bool)
-                reaches[:-k] = often[1][k - 1 : -1] & (often[2][k - 2 : -2] if k > 1 else True)
-                open_at = open_at & reaches
-                lead[k, :-k] = np.where(open_at[:-k], code[k:] + 1, 0)
+            vocab, _, _, lead = _leads(lang, text, bits, shared.value)
             rows, times = _distinct(lead)
             hashes = np.r_[np.uint64(0), vocab].view(np.int64)
-            none = pa.nulls(len(times), pa.string())
-            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(times), pa.string()), *[pa.array(hashes[c]) for c in rows], pa.array(times, pa.int64()), none], names)
-            used = np.unique(rows[1:])
-            used = np.unique(np.r_[used[used > 0], rows[0][rows[1] > 0]]) - 1
-            spans = zip(start[first[used]].tolist(), end[first[used]].tolist())
-            text_of = pa.array([text[a:b].decode() for a, b in spans], pa.string())
-            zero = pa.array(np.zeros(len(used), np.int64))
-            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(used), pa.string()), pa.array(hashes[used + 1]), *[zero] * (WIDTH - 1), pa.nulls(len(used), pa.int64()), text_of], names)
+            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(times), pa.string()), *[pa.array(hashes[c]) for c in rows], pa.array(times, pa.int64())], names)
+
+    return texts.mapInArrow(run, "lang string, " + ", ".join(f"{c} long" for c in COLUMNS) + ", n long").groupBy("lang", *COLUMNS).agg(F.sum("n").alias("n"))
 
-    return texts.mapInArrow(run, "lang string, " + ", ".join(f"{c} long" for c in COLUMNS) + ", n long, word string")
+
+def _spelled(texts: DataFrame, op: Collocations, bits: int, shared) -> DataFrame:
+    """(h, word): the text of every word that stands in a window of two words or more."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for lang, text in _shards(batches, op.shard_bytes):
+            vocab, start, end, lead = _leads(lang, text, bits, shared.value)
+            used = np.zeros(len(vocab) + 1, bool)
+            used[lead[1:].ravel()] = used[lead[0][lead[1] > 0]] = True
+            used = np.flatnonzero(used[1:])
+            spans = zip(start[used].tolist(), end[used].tolist())
+            yield pa.RecordBatch.from_arrays([pa.array(vocab[used].view(np.int64)), pa.array([text[a:b].decode() for a, b in spans], pa.string())], ["h", "word"])
+
+    return texts.mapInArrow(run, "h long, word string")
 
 
 def _part(size: int, start: int, stop: int) -> list:
@@ -205,9 +216,10 @@ def collocations(docs: DataFrame, op: Collocations = Collocations(), text_col: s
     texts = docs.select(F.coalesce(F.col(f"`{lang_col}`").cast("string"), F.lit("und")).alias("lang"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
     size = texts.agg(F.coalesce(F.sum(F.octet_length("text").cast("long")), F.lit(0))).first()[0]
     bits = min(30, max(16, (size // 8).bit_length()))
-    found = written(_windows(texts, op, bits), "windows")
+    shared = texts.sparkSession.sparkContext.broadcast(_sketch(texts, op, bits))
+    found = written(_windows(texts, op, bits, shared), "windows")
 
-    counted = found.where("n is not null").rollup("lang", *COLUMNS).agg(F.sum("n").alias("f"), F.grouping_id().alias("level"))
+    counted = found.rollup("lang", *COLUMNS).agg(F.sum("n").alias("f"), F.grouping_id().alias("level"))
     words = F.when(F.col("level") == 0, 4).when(F.col("level") == 1, 3).when(F.col("level") == 3, 2).when(F.col("level") == 7, 1).when(F.col("level") == 15, 0)
     counted = counted.select("lang", *[F.coalesce(c, F.lit(0)).alias(c) for c in COLUMNS], "f", words.alias("size"))
     full = F.col("size") == 0  # the row of the whole language
@@ -240,8 +252,10 @@ def collocations(docs: DataFrame, op: Collocations = Collocations(), text_col: s
     best = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("f"))
     first = kept.withColumn("rank", F.rank().over(best)).where(F.col("rank") <= op.top)  # with all ties of the last
     first = written(first.select(*candidate, "score", "l", "r"), "first")
-    spelled = found.where("n is null").groupBy(F.col("w1").alias("h")).agg(F.min("word").alias("word"))
-    places = first.select("lang", *COLUMNS, F.posexplode(F.array(*COLUMNS)).alias("at", "h")).where("h != 0").join(spelled, "h")
+    places = first.select("lang", *COLUMNS, F.posexplode(F.array(*COLUMNS)).alias("at", "h")).where("h != 0")
+    wanted = written(places.select("h").distinct(), "words")
+    spelled = _spelled(texts, op, bits, shared).join(wanted, "h", "left_semi").groupBy("h").agg(F.min("word").alias("word"))
+    places = places.join(spelled, "h")
     phrases = places.groupBy("lang", *COLUMNS).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at", "word"))), lambda x: x["word"]), " ").alias("phrase"))
     rows = first.join(phrases, ["lang", *COLUMNS]).join(totals, "lang")
     order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("f"), "phrase")
