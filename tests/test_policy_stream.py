@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tsforge.functions.timeunits import MINUTE
-from tsforge.operators import calibrate, monitor, policy
+from tsforge.operators import calibrate, monitor, policy, trades
 from tsforge.operators.scan import run_states
 from tsforge.plans.labelling import decision_job
 from tsforge.session import scratch_path
@@ -75,6 +75,87 @@ def test_chunks_that_never_agree_still_come_out_right(spark):
     assert (one.side != "WAIT").sum() == -(-200 // 7)
 
 
+def replayed(d, early, cool, follow=None, H=None):
+    """The two policies bar by bar, one state per key."""
+    out = []
+    for _, rows in d.groupby("symbol"):
+        held, last = None, None
+        for i, r in enumerate(rows.sort_values("ts").itertuples()):
+            us = r.ts.value // 1000
+            if follow is not None:
+                if not np.isfinite(r.close):
+                    out.append("no_close")
+                    continue
+                if last is not None and us - last["us"] < H * FIVE:
+                    age, why = (us - last["us"]) // FIVE, "cooldown"
+                    if 1 <= age <= 3 and not last["done"]:
+                        last["path"].append(r.close)
+                    if age == 3 and not last["done"]:
+                        last["done"] = True
+                        sign = 1 if last["side"] == "LONG" else -1
+                        best = max([0.0, *(sign * (c - last["close"]) for c in last["path"])])
+                        goal = sign * (last["tp"] - last["close"])
+                        why = "early_exit" if goal > 0 and best < follow * goal else why
+                    out.append(why)
+                    continue
+                if r.side != "WAIT":
+                    last = {"us": us, "side": r.side, "close": r.close, "tp": r.TP_px, "path": [], "done": False}
+                out.append("")
+                continue
+            if held:
+                up, bars = held["side"] == "LONG", i - held["at"]
+                if (r.low <= held["sl"]) if up else (r.high >= held["sl"]):
+                    why = "EXIT_SL"
+                elif (r.high >= held["tp"]) if up else (r.low <= held["tp"]):
+                    why = "EXIT_TP"
+                elif early and bars >= 3 and ((r.close <= held["close"]) if up else (r.close >= held["close"])):
+                    why = "EARLY_EXIT_NO_FT"
+                else:
+                    why = "OVERLAP"
+                held = held if why == "OVERLAP" else None
+            elif last is not None and us - last < cool:
+                why = "COOLDOWN"
+            else:
+                why = r._want if hasattr(r, "_want") else r.want
+                if why == "ENTER":
+                    held, last = {"at": i, "side": r.side_, "close": r.close, "tp": r.tp_, "sl": r.sl_}, us
+            out.append(why)
+    return out
+
+
+@pytest.mark.parametrize("chunk_rows, wide", [(100_000, 1), (40, 1), (20, 12)])
+def test_entries_equal_a_replay(spark, chunk_rows, wide):
+    """Narrow barriers end in a few bars, wide ones many chunks later or never."""
+    pdf = walk(600, seed=chunk_rows + wide)
+    rng = np.random.default_rng(wide)
+    pdf["atr_pct"], pdf["vol_pctile"], pdf["liq60_pctile"] = 0.002 * wide, 0.5, rng.random(len(pdf))
+    pdf["p_long"], pdf["p_short"], pdf["p_wait"] = rng.random(len(pdf)), rng.random(len(pdf)), 0.1
+    pdf = pdf[rng.random(len(pdf)) < 0.9]  # gaps in time
+    d = spark.createDataFrame(pdf)
+    axis = AXIS.with_(bucket_us=10 * MINUTE, chunk_rows=chunk_rows)
+    flat = policy.position_inputs(d, 0.55, 0.55, 0.5, 1.0, 1.5).withColumnsRenamed({"_want": "want", "_side": "side_", "_tp": "tp_", "_sl": "sl_"}).toPandas().sort_values(["symbol", "ts"])
+    for early in (True,) if wide == 1 else (False,):
+        got = pull(policy.position_policy(d, axis, H=7, early_exit=early))
+        assert got.sort_values(["symbol", "ts"]).reason.tolist() == replayed(flat, early, 7 * FIVE)
+    ev = policy.ev_decision(d.withColumn("close", F.when(F.col("p_wait") + F.col("p_long") % 0.1 < 0.105, float("nan")).otherwise(F.col("close"))))
+    base = ev.toPandas().sort_values(["symbol", "ts"])
+    for H in (7,) if chunk_rows > 20 else (2,):
+        got = pull(policy.cooldown_policy(ev, axis, H=H, follow=0.3)).sort_values(["symbol", "ts"])
+        want = replayed(base, False, 0, 0.3, H)
+        assert got.reason.tolist() == [w or r for w, r in zip(want, base.reason.tolist())]
+
+
+def test_an_open_position_over_many_chunks_takes_few_rounds(spark):
+    d = frame(spark, [100.0] * 1000, atr_pct=0.5)  # never touched
+    axis = AXIS.with_(bucket_us=10 * MINUTE, chunk_rows=8)
+    got = pull(policy.position_policy(d, axis, H=7))
+    assert got.reason.tolist() == ["ENTER"] + ["OVERLAP"] * 999
+    assert trades.entries.rounds <= 10
+    d = frame(spark, [100.0] * 1000)  # every bar is a candidate, so each chunk hangs on all before it
+    got = pull(policy.cooldown_policy(policy.ev_decision(d), axis, H=7))
+    assert (got.side != "WAIT").sum() == -(-1000 // 7) and trades.entries.rounds <= 10
+
+
 def test_decision_job_schema_and_sink(spark):
     d = random_rows(spark, 50)
     path = scratch_path(spark, "dec")

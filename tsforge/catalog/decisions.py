@@ -37,6 +37,7 @@ def measured_bars(spark, sf):
     return d
 
 
+CUT_ROWS = 96  # chunks far smaller than a series, so these queries run the plan of long series
 FW = 96
 P = f"OVER ({W} ROWS BETWEEN {FW} PRECEDING AND 1 PRECEDING)"
 
@@ -155,7 +156,16 @@ def cooldown_decisions(spark, sf):
     return out(d, "symbol", "ts", "side", "size", "TP_px", "SL_px", "EV", "reason", TP_px=4, SL_px=4)
 
 
-def _position_sql(early: bool) -> str:
+@entry(ENTRIES["cooldown_decisions"][1])
+def cooldown_in_chunks(spark, sf):
+    """The same decisions by the plan of long series: pointers between chunks."""
+    d = cut_lineage(policy.ev_decision(policy_rows(spark, sf)))
+    d = policy.cooldown_policy(d, BARS.with_(chunk_rows=CUT_ROWS), H=12, every=HOUR)
+    return out(d, "symbol", "ts", "side", "size", "TP_px", "SL_px", "EV", "reason", TP_px=4, SL_px=4)
+
+
+def _position_sql(early: bool, tau: float | None = None) -> str:
+    shown = "" if tau is None else f", CAST({tau} AS DOUBLE) AS tau_long"
     gone = "WHEN r.bars + 1 >= 3 AND greatest(0, CASE WHEN r.side = 'LONG' THEN c.close - r.ec ELSE r.ec - c.close END) <= 0 THEN 'EARLY_EXIT_NO_FT'" if early else ""
     return f"""WITH RECURSIVE {SQL_BARS}, {SQL_POLICY},
   p1 AS (SELECT *, pl * w - (1 - pl) * w - (0.5 + 0.3 + 0.4 * liq) / 1e4 AS l2, ps * w - (1 - ps) * w - (0.5 + 0.3 + 0.4 * liq) / 1e4 AS s2 FROM ev),
@@ -176,24 +186,24 @@ def _position_sql(early: bool) -> str:
       FROM run r JOIN c ON c.symbol = r.symbol AND c.rn = r.rn + 1) q)
   SELECT c.symbol, ts_us, CASE WHEN reason = 'ENTER' THEN want_side ELSE 'WAIT' END AS side, {r("CASE WHEN reason = 'ENTER' THEN least(greatest(greatest(pl, ps), 0.2), 1) ELSE 0 END", 'size')},
     {r("CASE WHEN reason = 'ENTER' THEN c.tp WHEN reason <> 'COOLDOWN' THEN 0 END", 'TP_px', 4)}, {r("CASE WHEN reason = 'ENTER' THEN c.sl WHEN reason <> 'COOLDOWN' THEN 0 END", 'SL_px', 4)},
-    {r("CASE WHEN reason IN ('ENTER', 'EV≤0') THEN ev2 * 1e4 ELSE 0 END", 'EV_bps', 3)}, {r('k', 'k_atr')}, {r('vol_pctile', 'vol_pctile')}, {r('liq', 'liq60_pctile')}, reason
+    {r("CASE WHEN reason IN ('ENTER', 'EV≤0') THEN ev2 * 1e4 ELSE 0 END", 'EV_bps', 3)}, {r('k', 'k_atr')}, {r('vol_pctile', 'vol_pctile')}, {r('liq', 'liq60_pctile')}, reason{shown}
   FROM c JOIN run USING (symbol, rn)"""
 
 
-def _positions(spark, sf, early):
+def _positions(spark, sf, early, axis):
     d = cut_lineage(policy_rows(spark, sf))
-    d = policy.position_policy(d, BARS, H=12, every=HOUR, early_exit=early)
+    d = policy.position_policy(d, axis, H=12, every=HOUR, early_exit=early)
     return out(d, "symbol", "ts", "side", "size", "TP_px", "SL_px", "EV_bps", "k_atr", "vol_pctile", "liq60_pctile", "reason", TP_px=4, SL_px=4, EV_bps=3)
 
 
 @entry(_position_sql(False))
 def position_decisions(spark, sf):
-    return _positions(spark, sf, False)
+    return _positions(spark, sf, False, BARS)
 
 
 @entry(_position_sql(True))
 def position_early_exit(spark, sf):
-    return _positions(spark, sf, True)
+    return _positions(spark, sf, True, BARS.with_(chunk_rows=CUT_ROWS))
 
 
 @entry(

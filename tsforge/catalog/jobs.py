@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tsforge.catalog import Registry
 from tsforge.catalog.data import BARS, H, SQL_BARS, SQL_TICKS, bars, out, r, table, ticks
-from tsforge.catalog.decisions import EXPRS, FEATURE_SQL, FW, SQL_POLICY, measured_bars, policy_rows
+from tsforge.catalog.decisions import EXPRS, FEATURE_SQL, FW, SQL_POLICY, _position_sql, measured_bars, policy_rows
 from tsforge.catalog.labelling import LABELS
 from tsforge.catalog.scoring import SQL_PROBS, minority, probs
 from tsforge.functions import scalars
@@ -131,14 +131,12 @@ def hash_sample(spark, sf):
     return labels.sample_rows(table(spark, sf, "orders").select("o_orderkey", "o_orderstatus"), ["o_orderkey"], 500)
 
 
-@entry(
-    f"""WITH {SQL_BARS}, {SQL_POLICY} SELECT symbol, count(*) AS n, CAST(0.55 AS DOUBLE) AS tau, {r('sum(k)', 'k_atr', 4)}, {r('sum(liq)', 'liq', 4)} FROM pol GROUP BY 1"""
-)
+@entry(_position_sql(False, 0.55))
 def decision_job_output(spark, sf):
+    """Every decision of the job with its side and reason, in the fixed schema."""
     rows = cut_lineage(policy_rows(spark, sf))
     d = decision_job(rows.drop("p_long", "p_short", "p_wait"), rows.select("symbol", "ts", "p_long", "p_short", "p_wait"), BARS, every=HOUR, H=12)
-    d = d.groupBy("symbol").agg(F.count(F.lit(1)).alias("n"), F.max("tau_long").alias("tau"), F.sum("k_atr").alias("k_atr"), F.sum("liq60_pctile").alias("liq"))
-    return out(d, "symbol", "n", "tau", "k_atr", "liq", k_atr=4, liq=4)
+    return out(d, "symbol", "ts", "side", "size", "TP_px", "SL_px", "EV_bps", "k_atr", "vol_pctile", "liq60_pctile", "reason", "tau_long", TP_px=4, SL_px=4, EV_bps=3)
 
 
 @entry()

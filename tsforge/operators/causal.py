@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import bisect
-import math
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -13,6 +10,7 @@ from pyspark.sql import functions as F
 from tsforge.functions.scalars import finite, safe_log_ratio
 from tsforge.functions.timeunits import DAY
 from tsforge.operators.layout import Axis, chunk_window, chunked, over_frames, over_pandas, owned
+from tsforge.operators.touch import OrderStatistics
 
 STD_FLOOR = 1e-12
 SQL_FRAME_LIMIT = 64
@@ -21,25 +19,20 @@ SQL_FRAME_LIMIT = 64
 def winsor_values(x: pd.Series, window: int, low: float = 0.01, high: float = 0.99) -> pd.Series:
     """Clip each value to the interpolated quantiles of the ``window`` rows before it.
 
-    One sorted list follows the rows: a row enters it after its own turn and leaves it when the
-    window has passed. Without a value in the window a row stays as it is.
+    All windows are asked at once in a structure of ranks over the chunk. Without a value in the
+    window a row stays as it is.
     """
     values = x.to_numpy(dtype=float)
+    known = ~np.isnan(values)
+    place = np.r_[0, np.cumsum(known)]  # known values before each row
+    row = np.flatnonzero(known)
+    start, end = place[np.maximum(0, row - window)], place[row]
+    asked = end > start
+    row, start, end = row[asked], start[asked], end[asked]
     out = values.copy()
-    ranked: list[float] = []
-    for row, value in enumerate(values):
-        if row > window and not math.isnan(values[row - window - 1]):
-            del ranked[bisect.bisect_left(ranked, values[row - window - 1])]
-        if math.isnan(value):
-            continue
-        if ranked:
-            bounds = []
-            for q in (low, high):
-                whole, part = divmod(q * (len(ranked) - 1), 1.0)
-                near = ranked[int(whole)]
-                bounds.append(near + (ranked[int(whole) + 1] - near) * part if part else near)
-            out[row] = min(max(value, bounds[0]), bounds[1])
-        bisect.insort(ranked, value)
+    if len(row):
+        past = OrderStatistics(values[known])
+        out[row] = np.minimum(np.maximum(values[row], past.quantile(start, end, low)), past.quantile(start, end, high))
     return pd.Series(out, index=x.index)
 
 
@@ -101,8 +94,8 @@ def winsorize_causal(
 ) -> DataFrame:
     """Clip to the quantiles of rows [t-window, t-1].
 
-    ``sql`` sorts every frame, for short ones; ``pandas`` keeps a sorted window and is used
-    for wider frames under ``auto``.
+    ``sql`` sorts every frame, for short ones; ``pandas`` asks all frames of a chunk in one
+    structure of ranks and is used for wider frames under ``auto``.
     """
     out = out or col
     if method == "sql" or (method == "auto" and window <= SQL_FRAME_LIMIT):

@@ -2,17 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tsforge.functions.scalars import encode_label, numeric_columns
 from tsforge.operators.causal import atr_pct_in, atr_reach
-from tsforge.operators.layout import Axis, chunk_window, chunked, owned, with_position
-
-
-def _outcome(up: Column, down: Column) -> Column:
-    """LONG/SHORT by the barrier touched first; both in one bar, or none, is WAIT."""
-    return F.when(up & ~down, "LONG").when(down & ~up, "SHORT").otherwise("WAIT")
+from tsforge.operators.layout import Axis, chunk_window, chunked, over_pandas, owned
+from tsforge.operators.touch import Maxima, first_at_most
 
 
 def triple_barrier(
@@ -24,51 +22,56 @@ def triple_barrier(
     whose range statistic is not complete yet.
     """
     pieces = chunked(df.select(*axis.keys, axis.ts, "open", "high", "low", "close"), axis, atr_reach(atr_window), H)
-    w = chunk_window(axis)
     d = atr_pct_in(pieces, axis, atr_window, "_atr")
     width = F.lit(k) * F.col("_atr")
-    d = d.withColumns(
-        {
-            "tp_px": F.col("close") * (1.0 + width),
-            "sl_px": F.col("close") * (1.0 - width),
-            "timeout_ts": F.lead(axis.ts, H).over(w),
-            "_path": F.collect_list(
-                F.struct(F.greatest("open", "high").alias("hi"), F.least("open", "low").alias("lo"))
-            ).over(w.rowsBetween(1, H)),
-            "_pos": F.col("_base") + F.row_number().over(w) - 1,
-        }
-    )
-    d = owned(d).where(F.col("timeout_ts").isNotNull() & F.col("tp_px").isNotNull() & F.col("sl_px").isNotNull())
+    d = d.withColumns({"tp_px": F.col("close") * (1.0 + width), "sl_px": F.col("close") * (1.0 - width)})
+
+    def touch(rows: pd.DataFrame) -> pd.DataFrame:
+        """What the barriers of every row meet first among the H rows after it, by halving steps over all rows at once."""
+        n = len(rows)
+        open_, high, low, tp, sl = (rows[c].to_numpy(dtype=float) for c in ("open", "high", "low", "tp_px", "sl_px"))
+        row = np.arange(n)
+        up = Maxima(np.fmax(open_, high)).first_at_least(row + 1, tp)
+        down = first_at_most(Maxima(-np.fmin(open_, low)), row + 1, sl)
+        in_time = np.minimum(up, down) <= row + H
+        label = np.where(in_time & (up < down), "LONG", np.where(in_time & (down < up), "SHORT", "WAIT"))
+        end = np.where(row + H < n, rows["_us"].to_numpy()[np.minimum(row + H, n - 1)], -1)
+        return pd.DataFrame({"label": label, "_until": end, "_pos": rows["_base"].to_numpy() + row})
+
+    d = owned(over_pandas(d, axis, touch, {"label": "string", "_until": "long", "_pos": "long"}))
+    d = d.where((F.col("_until") >= 0) & F.col("tp_px").isNotNull() & F.col("sl_px").isNotNull())
     if drop_warmup:
         d = d.where(F.col("_pos") > atr_window)
-    touched = F.filter("_path", lambda b: (b["hi"] >= F.col("tp_px")) | (b["lo"] <= F.col("sl_px")))
-    d = d.withColumn("_hit", F.get(touched, F.lit(0)))
-    up, down = F.col("_hit.hi") >= F.col("tp_px"), F.col("_hit.lo") <= F.col("sl_px")
-    d = d.withColumn("label", F.coalesce(_outcome(up, down), F.lit("WAIT")))
-    return d.select(*axis.keys, axis.ts, "label", "tp_px", "sl_px", "timeout_ts")
+    until = F.timestamp_micros("_until").cast(df.schema[axis.ts].dataType)
+    return d.select(*axis.keys, axis.ts, "label", "tp_px", "sl_px", until.alias("timeout_ts"))
 
 
 def label_mismatch(labels: DataFrame, bars: DataFrame, axis: Axis, H: int = 36, sample: int | None = None, seed: int = 42) -> DataFrame:
-    """Recompute labels from their barriers by a join on row positions; one row (checked, mismatches, ratio).
+    """Recompute labels from their barriers, bar by bar after each label; one row (checked, mismatches, ratio).
 
-    An independent second implementation: each label looks up its H following bars by
-    equality on (key, position), so no key is ever gathered in one task.
+    An independent second implementation: the H following bars are looked at one step after the
+    other, for all labels of a chunk together. Rows travel once, in chunks with H bars after them.
     """
-    at = with_position(bars.select(*axis.keys, axis.ts, "open", "high", "low"), axis, "_pos")
-    lab = labels.select(*axis.keys, axis.ts, "label", "tp_px", "sl_px")
+    lab = labels.select(*axis.keys, axis.ts, F.col("label").alias("_label"), "tp_px", "sl_px")
     if sample is not None:
         lab = sample_rows(lab, [*axis.keys, axis.ts], sample, seed)
-    lab = lab.join(at.select(*axis.keys, axis.ts, "_pos"), [*axis.keys, axis.ts])
-    probe = lab.withColumn("_step", F.explode(F.sequence(F.lit(1), F.lit(H)))).withColumn("_pos", F.col("_pos") + F.col("_step"))
-    hit = probe.join(at.drop(axis.ts), [*axis.keys, "_pos"])
-    up = F.greatest("open", "high") >= F.col("tp_px")
-    down = F.least("open", "low") <= F.col("sl_px")
-    first = hit.groupBy(*axis.keys, axis.ts, "label").agg(
-        F.min_by(_outcome(up, down), F.when(up | down, F.col("_step"))).alias("_again")
-    )
-    wrong = F.coalesce(F.col("_again"), F.lit("WAIT")) != F.col("label")
-    n, bad = F.count(F.lit(1)), F.count_if(wrong)
-    return first.agg(n.alias("checked"), bad.alias("mismatches"), F.coalesce(F.try_divide(bad, n), F.lit(0.0)).alias("ratio"))
+    rows = bars.select(*axis.keys, axis.ts, "open", "high", "low").join(lab, [*axis.keys, axis.ts], "left")
+
+    def again(rows: pd.DataFrame) -> pd.DataFrame:
+        top = np.fmax(rows["open"].to_numpy(dtype=float), rows["high"].to_numpy(dtype=float))
+        bottom = np.fmin(rows["open"].to_numpy(dtype=float), rows["low"].to_numpy(dtype=float))
+        tp, sl = rows["tp_px"].to_numpy(dtype=float), rows["sl_px"].to_numpy(dtype=float)
+        found, left = np.full(len(rows), "WAIT", dtype=object), rows["_label"].notna().to_numpy()
+        for step in range(1, min(H, len(rows) - 1) + 1):
+            at = np.flatnonzero(left[:-step])
+            up, down = top[at + step] >= tp[at], bottom[at + step] <= sl[at]
+            found[at[up & ~down]], found[at[down & ~up]] = "LONG", "SHORT"
+            left[at[up | down]] = False
+        return pd.DataFrame({"_again": found})
+
+    checked = owned(over_pandas(chunked(rows, axis, ahead=H), axis, again, {"_again": "string"})).where("_label IS NOT NULL")
+    n, bad = F.count(F.lit(1)), F.count_if(F.col("_again") != F.col("_label"))
+    return checked.agg(n.alias("checked"), bad.alias("mismatches"), F.coalesce(F.try_divide(bad, n), F.lit(0.0)).alias("ratio"))
 
 
 def sample_rows(df: DataFrame, keys: list[str], n: int, seed: int = 42) -> DataFrame:
