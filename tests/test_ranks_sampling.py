@@ -33,6 +33,25 @@ def test_quantiles_and_ranks(skewed, chunk):
     assert hot.before.tolist() == (hot.n.cumsum() - hot.n).tolist() and hot.n.sum() == 3000
 
 
+def test_outliers_and_heavy_ties_make_no_large_group(spark):
+    """One outlier far off, and one value that half of all rows share."""
+    rng = np.random.default_rng(9)
+    v = np.r_[rng.normal(0, 1, 2000), np.full(2000, 0.5), [1e12]]
+    d = spark.createDataFrame(pd.DataFrame({"g": "a", "v": v})).repartition(5)
+    from pyspark.sql import functions as F
+
+    sizes = ranks.value_chunks(d, ["g"], "v", {"n": F.lit(1)}, 100).groupBy("g", "_chunk").count().agg(F.max("count"), F.count("*")).first()
+    assert sizes[0] <= 300 and sizes[1] >= 10
+    sketch = ranks._sketch(d, ["g"], "v")
+    places = spark.createDataFrame([("a", p) for p in (0, 700, 1500, 3000, 4000)], "g string, _pos long")
+    small, large, inside = ranks.wanted_buckets(d, sketch, ["g"], "v", places, 20)
+    assert small.groupBy("_bucket").agg(F.countDistinct("v").alias("n")).agg(F.max("n")).first()[0] <= 20
+    v.sort()
+    for chunk in (3, 20):
+        got = ranks.values_at(d, ["g"], "v", [0, 1, 700, 1500, 3000, 3999, 4000], chunk).collect()
+        assert {(r.pos, r.v) for r in got} == {(p, v[p]) for p in (0, 1, 700, 1500, 3000, 3999, 4000)} and len(got) == 7
+
+
 @pytest.mark.parametrize("chunk", [10, 100_000])
 def test_ks_detects_a_shift(spark, chunk):
     rng = np.random.default_rng(0)

@@ -1,15 +1,15 @@
 """Order statistics by value -- ranks, running distributions, exact quantiles -- of large groups.
 
-Sorting a whole group in one task fails when one group holds much of the data. Values are
-first cut into ranges: a mergeable quantile sketch gives 64 cells per group, each cell is
-split evenly into counting buckets (more of them for larger groups), and one partially aggregated count per bucket
-tells exactly how many rows lie below each of them. The sketch only balances the work;
-the counts make the result exact.
-
-* Quantiles need no sort at all: the counts name the few buckets that hold the wanted
-  positions, and only their rows are looked at.
-* Ranks and running sums pack the buckets into chunks of bounded size
-  (:func:`chunk_layout`) and start each chunk from the exact totals below it.
+Sorting a whole group in one task fails when one group holds much of the data.
+
+* Ranks and running sums first add up equal values, so that a value half of all rows share is
+  one row; the distinct values are range-partitioned by (group, value), which cuts by rank and not by
+  width, and each range starts from the exact totals of the ranges below it.
+* Quantiles need no sort and no exchange of rows: a mergeable quantile sketch gives 64 cells per group,
+  each cell is split evenly into counting buckets (more of them for larger groups), and one partially
+  aggregated count per bucket names the few that hold the wanted positions. Only their rows are
+  looked at. A wanted bucket that still holds many values, as beside an outlier, is sketched and
+  counted again by itself. The sketch only balances the work; the counts make the result exact.
 """
 
 from __future__ import annotations
@@ -17,7 +17,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tsforge.operators.layout import chunk_layout
 from tsforge.session import measured
 
 CELLS = 64
@@ -72,34 +71,39 @@ def _before(name: str) -> str:
     return "before" if name == "n" else f"before_{name}"
 
 
+def value_chunks(rows: DataFrame, keys: list[str], value: str, sums: dict[str, Column], chunk_values: int) -> DataFrame:
+    """(keys, value, sums, _chunk, _before_*, _whole_*): distinct values in ranges of about ``chunk_values``.
+
+    ``_before_*`` are the sums of the group below the range, ``_whole_*`` those of the group.
+    """
+    distinct = measured(rows.groupBy(*keys, value).agg(*[F.sum(c).cast("double").alias(name) for name, c in sums.items()]))
+    parts = -(-distinct.count() // chunk_values)
+    if parts > 1:
+        distinct = measured(distinct.repartitionByRange(parts, *keys, value).withColumn("_chunk", F.spark_partition_id()))
+    else:
+        distinct = distinct.withColumn("_chunk", F.lit(0))
+    totals = distinct.groupBy(*keys, "_chunk").agg(*[F.sum(s).alias(f"_sum_{s}") for s in sums])
+    below = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    before = {f"_before_{s}": F.coalesce(F.sum(f"_sum_{s}").over(below), F.lit(0.0)) for s in sums}
+    whole = {f"_whole_{s}": F.sum(f"_sum_{s}").over(Window.partitionBy(*keys)) for s in sums}
+    layout = measured(totals.withColumns({**before, **whole}).drop(*[f"_sum_{s}" for s in sums]))
+    return distinct.join(layout, [*keys, "_chunk"])
+
+
 def running_by_value(
-    df: DataFrame, by: list[str], value: str, weights: dict[str, str] | None = None, chunk_values: int = CHUNK_VALUES
+    df: DataFrame, by: list[str], value: str, weights: dict[str, str] | None = None, chunk_values: int = CHUNK_VALUES, totals: bool = False
 ) -> DataFrame:
     """(by, value, n, before[, weight sums and their before_*]) per distinct non-null value.
 
-    ``before`` counts the rows of the group with a smaller value.
+    ``before`` counts the rows of the group with a smaller value; with ``totals`` there are also the
+    sums over the group, as whole_*.
     """
     rows, keys = _grouped(df, by, value)
     sums = {"n": F.lit(1), **{name: F.col(c) for name, c in (weights or {}).items()}}
-    sketch = _sketch(rows, keys, value)
-    per_value = [F.sum(c).cast("double").alias(name) for name, c in sums.items()]
-    longest = sketch.agg(F.max("_t")).first()[0] or 0
-    if longest <= chunk_values:
-        distinct = rows.groupBy(*keys, value).agg(*per_value)
-        w = Window.partitionBy(*keys).orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
-        out = distinct.withColumns({_before(s): F.coalesce(F.sum(s).over(w), F.lit(0.0)) for s in sums})
-        return out.drop("_all")
-    placed = _place(rows, sketch, keys, value, _fineness(longest, chunk_values))
-    counts = placed.groupBy(*keys, "_bucket").agg(
-        F.count(F.lit(1)).alias("_n"), *[F.sum(c).cast("double").alias(f"_sum_{name}") for name, c in sums.items()]
-    )
-    layout = measured(chunk_layout(counts, keys, chunk_values, sums=tuple(sums)))
-    low = [f"_before_{s}" for s in sums]
-    inside = placed.join(layout, [*keys, "_bucket"])
-    distinct = inside.groupBy(*keys, "_chunk", value).agg(*per_value, *[F.first(c).alias(c) for c in low])
+    d = value_chunks(rows, keys, value, sums, chunk_values)
     w = Window.partitionBy(*keys, "_chunk").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
-    d = distinct.withColumns({_before(s): F.col(f"_before_{s}") + F.coalesce(F.sum(s).over(w), F.lit(0.0)) for s in sums})
-    return d.select(*by, value, *sums, *[_before(s) for s in sums])
+    d = d.withColumns({_before(s): F.col(f"_before_{s}") + F.coalesce(F.sum(s).over(w), F.lit(0.0)) for s in sums})
+    return d.select(*by, value, *sums, *[_before(s) for s in sums], *[F.col(f"_whole_{s}").alias(f"whole_{s}") for s in sums if totals])
 
 
 def exact_quantiles(df: DataFrame, by: list[str], value: str, probs: list[float], chunk_values: int = CHUNK_VALUES) -> DataFrame:
@@ -127,25 +131,43 @@ def values_at(df: DataFrame, by: list[str], value: str, positions: list[int], ch
     return _values_at(rows, sketch, keys, value, places, chunk_values).select(*by, F.col("_pos").alias("pos"), value)
 
 
+def wanted_buckets(rows: DataFrame, sketch: DataFrame, keys: list[str], value: str, places: DataFrame, chunk_values: int) -> tuple[DataFrame, DataFrame | None, DataFrame | None]:
+    """Rows of the buckets that hold an asked position, with ``_bucket`` and ``_start``: in buckets of a bounded
+    size, and, if there are any, in larger ones of several values; and the places in the latter."""
+    longest = sketch.agg(F.max("_t")).first()[0] or 0
+    if longest <= chunk_values:
+        return rows.withColumns({"_bucket": F.lit(0).cast("long"), "_start": F.lit(0).cast("long")}), None, None
+    rows = _place(rows, sketch, keys, value, _fineness(longest, chunk_values))
+    counts = rows.groupBy(*keys, "_bucket").agg(F.count(F.lit(1)).alias("_n"), (F.min(value) < F.max(value)).alias("_mixed"))
+    upto = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, 0)
+    counts = counts.withColumn("_end", F.sum("_n").over(upto)).withColumn("_start", F.col("_end") - F.col("_n"))
+    hit = counts.join(places, keys).where((F.col("_pos") >= F.col("_start")) & (F.col("_pos") < F.col("_end")))
+    large = (F.col("_n") > chunk_values) & F.col("_mixed")
+    hit = measured(hit.select(*keys, "_bucket", "_start", "_end", large.alias("_large")).distinct())
+    found = rows.join(hit.drop("_end"), [*keys, "_bucket"])
+    small = found.where(~F.col("_large")).drop("_large")
+    if not hit.where("_large").limit(1).count():
+        return small, None, None
+    inside = places.join(hit.where("_large"), keys).where((F.col("_pos") >= F.col("_start")) & (F.col("_pos") < F.col("_end")))
+    return small, found.where("_large").drop("_large"), inside.drop("_end", "_large")
+
+
 def _values_at(rows: DataFrame, sketch: DataFrame, keys: list[str], value: str, places: DataFrame, chunk_values: int) -> DataFrame:
     """``places`` with the value at each position: only ranges that hold an asked position are looked at."""
-    longest = sketch.agg(F.max("_t")).first()[0] or 0
-    big = longest > chunk_values
-    rows = rows.withColumn("_bucket", F.lit(0))
-    if big:
-        rows = _place(rows.drop("_bucket"), sketch, keys, value, _fineness(longest, chunk_values))
-        counts = rows.groupBy(*keys, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
-        upto = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, 0)
-        counts = counts.withColumn("_end", F.sum("_n").over(upto)).withColumn("_start", F.col("_end") - F.col("_n"))
-        hit = counts.join(places, keys).where((F.col("_pos") >= F.col("_start")) & (F.col("_pos") < F.col("_end")))
-        hit = measured(hit.select(*keys, "_bucket", "_start").distinct())
-        rows = rows.join(hit, [*keys, "_bucket"])
-    else:
-        rows = rows.withColumn("_start", F.lit(0))
-    distinct = rows.groupBy(*keys, "_bucket", "_start", value).agg(F.count(F.lit(1)).alias("_n"))
+    small, large, inside = wanted_buckets(rows, sketch, keys, value, places, chunk_values)
+    distinct = small.groupBy(*keys, "_bucket", "_start", value).agg(F.count(F.lit(1)).alias("_n"))
     w = Window.partitionBy(*keys, "_bucket").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
     d = distinct.withColumn("_end", F.col("_start") + F.sum("_n").over(w))
-    return d.join(places, keys).where((F.col("_pos") < F.col("_end")) & (F.col("_pos") >= F.col("_end") - F.col("_n")))
+    out = d.join(places, keys).where((F.col("_pos") < F.col("_end")) & (F.col("_pos") >= F.col("_end") - F.col("_n")))
+    out = out.select(*places.columns, value)
+    if large is None:
+        return out
+    # A bucket that is still too large is a group of its own, with positions counted from its start.
+    deep = [*keys, "_in"]
+    again = measured(large.select(*keys, F.struct("_bucket", "_start").alias("_in"), value))
+    asked = measured(inside.select(*[c for c in places.columns if c != "_pos"], F.struct("_bucket", "_start").alias("_in"), (F.col("_pos") - F.col("_start")).alias("_pos")))
+    found = _values_at(again, _sketch(again, deep, value), deep, value, asked, chunk_values)
+    return out.unionByName(found.withColumn("_pos", F.col("_pos") + F.col("_in._start")).select(*out.columns))
 
 
 def pct_rank(df: DataFrame, by: list[str], value: str, out: str, chunk_values: int = CHUNK_VALUES) -> DataFrame:
@@ -167,11 +189,8 @@ def ks_two_sample(a: DataFrame, b: DataFrame, cols: list[str], chunk_values: int
             "x.feature", "x.v", F.lit(1 - tag).alias("is_a"), F.lit(tag).alias("is_b")
         )
 
-    both = long(a, 0).unionByName(long(b, 1))
-    ranked = running_by_value(both, ["feature"], "v", {"na": "is_a", "nb": "is_b"}, chunk_values)
-    sizes = both.where("v IS NOT NULL").groupBy("feature")
-    total = measured(sizes.agg(F.sum("is_a").cast("double").alias("n_a"), F.sum("is_b").cast("double").alias("n_b")))
-    d = ranked.join(total, ["feature"])
+    ranked = running_by_value(long(a, 0).unionByName(long(b, 1)), ["feature"], "v", {"na": "is_a", "nb": "is_b"}, chunk_values, totals=True)
+    d = ranked.withColumnsRenamed({"whole_na": "n_a", "whole_nb": "n_b"})
     gap = F.abs(
         F.try_divide(F.col("before_na") + F.col("na"), F.col("n_a")) - F.try_divide(F.col("before_nb") + F.col("nb"), F.col("n_b"))
     )
