@@ -276,6 +276,8 @@ def test_cusum_and_trigger(spark):
     d = spark.createDataFrame(pdf)
     h = monitor.cusum_threshold(d, AXIS, "rv", boot_n=100, q=0.95)
     assert h.first()["h"] > 0
+    parts = monitor.cusum_threshold(d, AXIS, "rv", boot_n=100, q=0.95, part_rows=7)
+    assert parts.first()["h"] == pytest.approx(h.first()["h"], abs=1e-9)
     a = pull(monitor.cusum_regimes(d, AXIS, "rv", h))
     b = pull(monitor.cusum_regimes(d, CUT, "rv", h))
     assert a.changed.sum() >= 1 and a.changed.tolist() == b.changed.tolist() and a.regime_id.tolist() == b.regime_id.tolist()

@@ -138,13 +138,26 @@ def test_models_learn_and_score(spark):
     d = spark.createDataFrame(pdf)
     us = 1_704_067_200_000_000
     f = spark.createDataFrame([(0, "train", us, us + 200 * FIVE), (0, "val", us + 210 * FIVE, us + 250 * FIVE), (0, "oos", us + 260 * FIVE, us + 299 * FIVE)], "fold_id int, split string, start_us bigint, end_us bigint")
+    f = f.unionByName(f.where("split = 'train'").selectExpr("7 AS fold_id", "split", "start_us", f"{us + 90 * FIVE} AS end_us"))
     rows, scale = model.training_rows(d, f, 2)
-    out = model.score_folds(model.fit_folds(rows), rows, ["symbol", "ts"])
+    models = model.fit_folds(rows, tol=1e-7)
+    fitted = {r["fold_id"]: r for r in models.collect()}
+    assert set(fitted) == {0, 7} and all(r["gradient"] <= 1e-7 for r in fitted.values())
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.functions import array_to_vector
+
+    peer = LogisticRegression(family="multinomial", maxIter=200, tol=1e-10, regParam=0.01, standardization=False, featuresCol="_x", labelCol="y", weightCol="weight")
+    for fold, r in fitted.items():
+        other = peer.fit(rows.where(f"fold_id = {fold} AND split = 'train'").withColumn("_x", array_to_vector("window")))
+        coef = np.array(r["coef"])
+        np.testing.assert_allclose(coef[:, :-1], other.coefficientMatrix.toArray(), atol=2e-3)
+        np.testing.assert_allclose(coef[:, -1], other.interceptVector.toArray(), atol=2e-3)
+    out = model.score_folds(models, rows, ["symbol", "ts"]).where("fold_id = 0")
     got = out.toPandas()
     assert set(got.split) == {"val", "oos"} and len(got) == 81
     assert (got[["p_wait", "p_long", "p_short"]].to_numpy().argmax(axis=1) == got.y).mean() > 0.85
     assert quality.check_probs(out, ["p_wait", "p_long", "p_short"]).where("not passed").count() == 0
-    assert len(scale.first()["mean"]) == 2
+    assert {len(r["mean"]) for r in scale.collect()} == {2}
 
 
 def test_latency_and_sla(spark):

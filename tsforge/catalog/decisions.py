@@ -270,7 +270,7 @@ def cusum_regimes(spark, sf):
   SELECT symbol, {r('quantile_cont(top, 0.99)', 'h')} FROM m GROUP BY 1"""
 )
 def cusum_threshold(spark, sf):
-    return out(monitor.cusum_threshold(daily(spark, sf), DAILY, "close"), "symbol", "h")
+    return out(monitor.cusum_threshold(daily(spark, sf), DAILY, "close", part_rows=7), "symbol", "h")
 
 
 SQL_TRIGGER = """, o AS (SELECT o_orderpriority AS symbol, o_orderdate AS day, avg(CAST(o_orderstatus = 'F' AS DOUBLE)) AS v FROM orders GROUP BY 1, 2),

@@ -9,6 +9,7 @@ from tsforge.catalog.data import BARS, H, SQL_BARS, bars, out, r, table
 from tsforge.catalog.statistics import W
 from tsforge.functions.timeunits import DAY, HOUR
 from tsforge.operators import calibrate, folds, labels, model, quality, sampling
+from tsforge.session import cut_lineage
 
 ENTRIES = Registry()
 entry = ENTRIES.entry
@@ -340,10 +341,33 @@ def fold_models(spark, sf):
     feats = causal.log_return(b, BARS).select("symbol", "ts", "ret", F.log1p("volume").alias("vol"))
     win = labels.sequence_windows(feats, lab, BARS, 8, HOUR, ["ret", "vol"], flat=True)
     f = folds.purged_folds(win, "ts", 3, DAY)
-    from tsforge.session import cut_lineage
-
     rows, _ = model.training_rows(cut_lineage(win), f, 2)
     rows = cut_lineage(rows)
     models = model.fit_folds(rows)
     scored = model.score_folds(models, rows, ["symbol", "ts"])
     return out(scored, "symbol", "ts", "fold_id", "split", "y", "p_wait", "p_long", "p_short", p_wait=3, p_long=3, p_short=3)
+
+
+@entry(
+    """WITH t AS (SELECT vec_id, CAST(vec_id % 3 AS INTEGER) AS fold_id, (vec_id // 3) % 4 <> 0 AS train FROM embeddings)
+  SELECT fold_id, count(*) FILTER (train) AS n_train, count(*) FILTER (NOT train) AS n_scored, 1 AS optimal, 1 AS probabilities FROM t GROUP BY 1"""
+)
+def fold_models_optimum(spark, sf):
+    """Three folds fitted in the same passes: at the optimum of a strictly convex loss the gradient, computed anew from
+    the stored coefficients by column functions, is zero; scored rows have probabilities."""
+    e = table(spark, sf, "embeddings")
+    split = F.when(F.floor(F.col("vec_id") / 3) % 4 != 0, "train").otherwise("oos")
+    y = F.when(F.col("label") <= 1, 1).when(F.col("label") == 2, 2).otherwise(0)
+    rows = cut_lineage(e.select("vec_id", (F.col("vec_id") % 3).cast("int").alias("fold_id"), split.alias("split"), y.alias("y"), (1.0 + F.col("vec_id") % 2).alias("weight"), F.col("embedding").cast("array<double>").alias("window")))
+    models = model.fit_folds(rows, reg=0.01)
+    scored = model.score_folds(models, rows, ["vec_id", "window", "weight"], splits=("train", "oos"))
+    probs = F.array("p_wait", "p_long", "p_short")
+    train = scored.where("split = 'train'")
+    cells = train.select("fold_id", "weight", F.posexplode(F.concat("window", F.array(F.lit(1.0)))).alias("i", "x"), probs.alias("p"), "y")
+    cells = cells.select("fold_id", "weight", "i", "x", F.posexplode("p").alias("k", "p"), "y")
+    sums = cells.groupBy("fold_id", "i", "k").agg((F.sum(F.col("weight") * (F.col("p") - (F.col("y") == F.col("k")).cast("double")) * F.col("x")) / F.sum("weight")).alias("g"))
+    coef = models.select("fold_id", F.posexplode("coef").alias("k", "c")).select("fold_id", "k", F.posexplode("c").alias("i", "b"))
+    slope = sums.join(coef, ["fold_id", "i", "k"]).groupBy("fold_id").agg(F.max(F.abs(F.col("g") + F.when(F.col("i") < 64, 0.01 * F.col("b")).otherwise(0.0))).alias("g"))
+    counts = scored.groupBy("fold_id").agg(F.count_if(F.col("split") == "oos").alias("n_scored"), F.max(F.abs(F.col("p_wait") + F.col("p_long") + F.col("p_short") - 1)).alias("off"))
+    d = slope.join(counts, "fold_id").join(models.select("fold_id", "n_train"), "fold_id")
+    return d.select("fold_id", "n_train", "n_scored", (F.col("g") < 2e-5).cast("int").alias("optimal"), (F.col("off") < 1e-9).cast("int").alias("probabilities"))

@@ -68,12 +68,13 @@ def cusum_threshold(
     start: str | None = None,
     end: str | None = None,
     seed: int = 42,
+    part_rows: int = 8192,
 ) -> DataFrame:
     """(key, h): q-quantile of the largest two-sided excursion over resamples of a reference period.
 
     All rows of [start, end), or of the series, are drawn from; a resample is as long as that
-    period. Draws come from a hash of key, resample and place. Each resample is one window group:
-    give a period where a series is too long for that.
+    period. Draws come from a hash of key, resample and place. No window group holds more than
+    ``part_rows`` rows: parts of a resample are summed up first and put together by their summaries.
     """
     z = standardise(df.select(*axis.keys, axis.ts, *axis.ties, col), axis, col, "_z")
     for bound, keep in ((start, F.col(axis.ts) >= F.lit(start)), (end, F.col(axis.ts) < F.lit(end))):
@@ -84,12 +85,24 @@ def cusum_threshold(
     name = F.concat_ws("|", F.lit(str(seed)), *[F.col(c).cast("string") for c in axis.keys], "_b", F.col("_pos").cast("string"))
     number = F.conv(F.substring(F.md5(name), 1, 15), 16, 10).cast("long")
     draws = places.select(*axis.keys, "_b", F.col("_pos").alias("_i"), F.pmod(number, F.col("_n")).alias("_pos")).join(ref, [*axis.keys, "_pos"])
-    path = Window.partitionBy(*axis.keys, "_b").orderBy("_i").rowsBetween(Window.unboundedPreceding, 0)
-    # A sum that restarts at zero is the running sum less its lowest value so far.
-    d = draws.withColumns({"_u": F.sum(F.col("_z") - k).over(path), "_v": F.sum(F.col("_z") + k).over(path)})
-    up = F.col("_u") - F.least(F.lit(0.0), F.min("_u").over(path))
-    down = F.greatest(F.lit(0.0), F.max("_v").over(path)) - F.col("_v")
-    top = d.withColumn("_top", F.greatest(up, down)).groupBy(*axis.keys, "_b").agg(F.max("_top").alias("_top"))
+    # Each resample is cut into parts; a part is its sum, its lowest and highest prefix and its best rise and fall.
+    one = [*axis.keys, "_b", "_part"]
+    path = Window.partitionBy(*one).orderBy("_i").rowsBetween(Window.unboundedPreceding, 0)
+    d = draws.withColumn("_part", F.floor(F.col("_i") / F.lit(part_rows)))
+    d = d.withColumns({"_u": F.sum(F.col("_z") - k).over(path), "_v": F.sum(F.col("_z") + k).over(path)})
+    d = d.withColumns({"_rise": F.col("_u") - F.min("_u").over(path), "_fall": F.max("_v").over(path) - F.col("_v")})
+    parts = d.groupBy(*one).agg(
+        F.sum(F.col("_z") - k).alias("_su"), F.sum(F.col("_z") + k).alias("_sv"), F.min("_u").alias("_u0"), F.max("_u").alias("_u1"),
+        F.min("_v").alias("_v0"), F.max("_v").alias("_v1"), F.max("_rise").alias("_rise"), F.max("_fall").alias("_fall"),
+    )
+    # A sum that restarts at zero is the running sum less its lowest value so far, here or in an earlier part.
+    ahead = Window.partitionBy(*axis.keys, "_b").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.withColumns({"_ou": F.coalesce(F.sum("_su").over(ahead), F.lit(0.0)), "_ov": F.coalesce(F.sum("_sv").over(ahead), F.lit(0.0))})
+    low = F.least(F.lit(0.0), F.min(F.col("_ou") + F.col("_u0")).over(ahead))
+    high = F.greatest(F.lit(0.0), F.max(F.col("_ov") + F.col("_v1")).over(ahead))
+    up = F.greatest(F.col("_rise"), F.col("_ou") + F.col("_u1") - low)
+    down = F.greatest(F.col("_fall"), high - F.col("_ov") - F.col("_v0"))
+    top = parts.withColumn("_top", F.greatest(up, down)).groupBy(*axis.keys, "_b").agg(F.max("_top").alias("_top"))
     return top.groupBy(*axis.keys).agg(F.percentile("_top", q).alias("h"))
 
 
