@@ -395,12 +395,14 @@ def perturbation_attribution(spark, sf):
 
 
 @entry(
-    f"""WITH z AS (SELECT vec_id, CAST(embedding[1] AS DOUBLE) AS a, CAST(embedding[2] AS DOUBLE) AS b, CAST(embedding[3] AS DOUBLE) AS c FROM embeddings)
+    f"""WITH x AS (SELECT vec_id, generate_subscripts(embedding, 1) - 1 AS i, CAST(unnest(embedding) AS DOUBLE) AS v FROM embeddings),
+  z AS (SELECT vec_id, sum(v) FILTER (i % 3 = 0) AS a, sum(v) FILTER (i % 3 = 1) AS b, sum(v) FILTER (i % 3 = 2) AS c FROM x GROUP BY 1)
   SELECT vec_id, {r('exp(a) / (exp(a) + exp(b) + exp(c))', 'p_wait')}, {r('exp(b) / (exp(a) + exp(b) + exp(c))', 'p_long')}, {r('exp(c) / (exp(a) + exp(b) + exp(c))', 'p_short')} FROM z"""
 )
 def custom_scorer(spark, sf):
     def predict(x: np.ndarray) -> np.ndarray:
-        e = np.exp(x[:, 0, :3])
+        flat = x.reshape(len(x), -1)
+        e = np.exp(np.stack([flat[:, k::3].sum(axis=1) for k in range(3)], axis=1))
         return e / e.sum(axis=1, keepdims=True)
 
     e = table(spark, sf, "embeddings").select("vec_id", "embedding")
@@ -464,11 +466,12 @@ def scalar_functions(spark, sf):
 
 
 @entry(
-    f"""SELECT vec_id, {r('exp((embedding[1]::DOUBLE - greatest(embedding[1], embedding[2], embedding[3])::DOUBLE) / 0.5) / (exp((embedding[1]::DOUBLE - greatest(embedding[1], embedding[2], embedding[3])::DOUBLE) / 0.5) + exp((embedding[2]::DOUBLE - greatest(embedding[1], embedding[2], embedding[3])::DOUBLE) / 0.5) + exp((embedding[3]::DOUBLE - greatest(embedding[1], embedding[2], embedding[3])::DOUBLE) / 0.5))', 'p0')},
-  CAST(list_position(embedding[1:3], list_max(embedding[1:3])) - 1 AS INTEGER) AS best FROM embeddings"""
+    f"""WITH x AS (SELECT vec_id, list_transform(embedding, lambda v: CAST(v AS DOUBLE)) AS z FROM embeddings)
+  SELECT vec_id, {r('exp((z[1] - list_max(z)) / 0.5) / list_sum(list_transform(z, lambda v: exp((v - list_max(z)) / 0.5)))', 'p0')},
+  CAST(list_position(z, list_max(z)) - 1 AS INTEGER) AS best FROM x"""
 )
 def array_softmax(spark, sf):
-    e = table(spark, sf, "embeddings").select("vec_id", F.transform(F.slice("embedding", 1, 3), lambda v: v.cast("double")).alias("z"))
+    e = table(spark, sf, "embeddings").select("vec_id", F.transform("embedding", lambda v: v.cast("double")).alias("z"))
     d = e.withColumns({"p0": F.get(scalars.softmax("z", 0.5), F.lit(0)), "best": scalars.argmax("z")})
     return out(d, "vec_id", "p0", "best")
 

@@ -207,12 +207,20 @@ def day_islands(spark, sf):
 
 
 @entry(
-    """WITH a AS (SELECT CAST(unnest(range(DATE '1995-01-01', DATE '2001-08-02', INTERVAL 1 DAY)) AS DATE) AS day), b AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS day FROM orders WHERE o_orderpriority = '1-URGENT')
-  SELECT CAST(day AS VARCHAR) AS day FROM a WHERE day NOT IN (SELECT day FROM b) OR day > DATE '2001-08-01' - 5"""
+    """WITH o AS (SELECT o_orderpriority AS p, CAST(o_orderdate AS DATE) AS day FROM orders), m AS (SELECT min(day) AS a, max(day) AS b FROM o),
+  c AS (SELECT p, b, CAST(unnest(range(a, b + 1, INTERVAL 1 DAY)) AS DATE) AS day FROM (SELECT DISTINCT p FROM o), m)
+  SELECT p, CAST(day AS VARCHAR) AS day FROM c WHERE (p, day) NOT IN (SELECT (p, day) FROM o) OR day > b - 5"""
 )
 def incremental_day_plan(spark, sf):
-    done = table(spark, sf, "orders").where("o_orderpriority = '1-URGENT'").select(F.to_date("o_orderdate").alias("day")).distinct()
-    return lake.plan_days(lake.day_range(spark, "1995-01-01", "2001-08-01"), done, 5).select(F.col("day").cast("string").alias("day"))
+    """The days each priority still lacks, over the whole time of the table, and the newest five again."""
+    o = table(spark, sf, "orders").select(F.col("o_orderpriority").alias("p"), F.to_date("o_orderdate").alias("day"))
+    first, last = o.agg(F.min("day").cast("string"), F.max("day").cast("string")).first()
+    plans = None
+    for p in [x["p"] for x in o.select("p").distinct().orderBy("p").collect()]:  # five
+        plan = lake.plan_days(lake.day_range(spark, first, last), o.where(F.col("p") == p).select("day").distinct(), 5)
+        plan = plan.select(F.lit(p).alias("p"), F.col("day").cast("string").alias("day"))
+        plans = plan if plans is None else plans.unionByName(plan)
+    return plans
 
 
 @entry(
@@ -294,13 +302,13 @@ def streamed_ffill(spark, sf):
 
 
 @entry(
-    f"""WITH {SQL_TICKS}, w AS (SELECT unnest([0, 1, 2]) AS i), x AS (SELECT (us // {2 * HOUR}) * {2 * HOUR} - i * {2 * HOUR} AS s FROM ticks, w), m AS (SELECT max(us) AS mx FROM ticks)
-  SELECT s AS start_us, count(*) AS n FROM x, m WHERE s + {6 * HOUR} <= mx - {6 * HOUR} GROUP BY 1"""
+    f"""WITH {SQL_TICKS}, w AS (SELECT unnest([0, 1, 2]) AS i), x AS (SELECT (us // {2 * HOUR}) * {2 * HOUR} - i * {2 * HOUR} AS s, value FROM ticks, w), m AS (SELECT max(us) AS mx FROM ticks)
+  SELECT s AS start_us, count(*) AS n, {r('quantile_disc(value, 0.5)', 'p50')}, {r('quantile_disc(value, 0.99)', 'p99')} FROM x, m WHERE s + {6 * HOUR} <= mx - {6 * HOUR} GROUP BY 1"""
 )
 def streamed_latency(spark, sf):
     e = _event_stream(spark, sf).select("ts", F.col("value").alias("t_nn_ms"))
     d = _landed(spark, jobs.stream_latency(e, "ts", ["t_nn_ms"], "6 hours", "2 hours", "6 hours"))
-    return d.select(micros("start").alias("start_us"), "n")
+    return out(d.select(micros("start").alias("start_us"), "n", F.col("t_nn_ms_p50").alias("p50"), F.col("t_nn_ms_p99").alias("p99")), "start_us", "n", "p50", "p99")
 
 
 def _predict(x: np.ndarray) -> np.ndarray:

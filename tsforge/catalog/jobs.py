@@ -208,3 +208,41 @@ def grid_table_function(spark, sf):
         f"""SELECT s.symbol, g.us FROM (SELECT symbol, min(unix_micros(ts)) AS lo, max(unix_micros(ts)) AS hi FROM tsforge_grid_bars GROUP BY symbol) s,
         LATERAL grid_rows(s.lo, s.hi, {HOUR}L) g"""
     )
+
+
+@entry(
+    f"""WITH x AS (SELECT vec_id, list_transform(embedding, lambda v: CAST(v AS DOUBLE)) AS z FROM embeddings),
+  e AS (SELECT vec_id, z, list_transform(z, lambda v: exp((v - list_max(z)) / 0.5)) AS e FROM x)
+  SELECT vec_id, {r('e[1] / list_sum(e)', 'first')}, {r('list_max(e) / list_sum(e)', 'most')}, CAST(len(e) AS INTEGER) AS size FROM e"""
+)
+def softmax_from_sql(spark, sf):
+    """The registered array function over all components."""
+    from tsforge.functions.registered import register
+
+    register(spark)
+    table(spark, sf, "embeddings").createOrReplaceTempView("tsforge_vectors")
+    d = spark.sql("SELECT vec_id, softmax_array(CAST(embedding AS array<double>), 0.5D) AS p FROM tsforge_vectors")
+    return out(d.select("vec_id", F.get("p", F.lit(0)).alias("first"), F.array_max("p").alias("most"), F.size("p").alias("size")), "vec_id", "first", "most", "size")
+
+
+@entry(
+    f"""WITH {SQL_PROBS}, x AS (SELECT fold_id, split, y, exp(z0) / (exp(z0) + exp(z1) + exp(z2)) AS a, exp(z1) / (exp(z0) + exp(z1) + exp(z2)) AS b, exp(z2) / (exp(z0) + exp(z1) + exp(z2)) AS c FROM probs),
+  q AS (SELECT fold_id, split, greatest(a, b, c) AS conf, CAST(CASE WHEN a >= b AND a >= c THEN 0 WHEN b >= c THEN 1 ELSE 2 END = y AS INTEGER) AS hit FROM x),
+  g AS (SELECT fold_id, split, ceil(conf * 15) AS bin, sum(hit) AS h, sum(conf) AS k, count(*) AS n FROM q GROUP BY 1, 2, 3)
+  SELECT fold_id, split, {r('sum(abs(h - k)) / sum(n)', 'ece')} FROM g GROUP BY 1, 2"""
+)
+def calibration_error_from_sql(spark, sf):
+    """The registered aggregate over the bins of each fold and split: a group has one row a bin."""
+    from tsforge.functions.registered import register
+
+    register(spark)
+    p = probs(spark, sf)
+    a, b, c = scalars.softmax3(F.col("logits_0"), F.col("logits_1"), F.col("logits_2"))
+    top = F.when((a >= b) & (a >= c), 0).when(b >= c, 1).otherwise(2)
+    p.select("fold_id", "split", F.greatest(a, b, c).alias("conf"), (top == F.col("y")).cast("int").alias("hit")).createOrReplaceTempView("tsforge_confidence")
+    d = spark.sql(
+        """SELECT fold_id, split, ece_of_bins(h, k, n) AS ece
+        FROM (SELECT fold_id, split, ceil(conf * 15) AS bin, CAST(sum(hit) AS DOUBLE) AS h, sum(conf) AS k, CAST(count(*) AS DOUBLE) AS n FROM tsforge_confidence GROUP BY 1, 2, 3)
+        GROUP BY fold_id, split"""
+    )
+    return out(d, "fold_id", "split", "ece")
