@@ -5,7 +5,7 @@ from helpers import AXIS, pull, walk
 from pyspark.sql import functions as F
 
 from tsforge.functions.timeunits import MINUTE
-from tsforge.operators import causal
+from tsforge.operators import causal, layout
 from tsforge.operators.layout import over_frames, with_position
 
 CUT = AXIS.with_(bucket_us=10 * MINUTE, chunk_rows=37)  # several chunks with halos
@@ -110,3 +110,20 @@ def test_layout_too_large_to_broadcast(spark, bars):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     pd.testing.assert_frame_equal(a, b)
+
+
+def test_hot_time_buckets_are_counted_finer(spark):
+    """A day of 3000 rows, most of them within one hour, in chunks of 100 rows."""
+    rng = np.random.default_rng(5)
+    us = np.sort(np.r_[rng.choice(3600, 2400, replace=False), 3600 + rng.choice(80000, 600, replace=False)])
+    pdf = pd.DataFrame({"symbol": "A", "ts": pd.Timestamp("2024-01-01") + pd.to_timedelta(us, unit="s"), "x": rng.normal(size=3000)})
+    d = spark.createDataFrame(pdf)
+    cut = AXIS.with_(bucket_us=24 * 60 * MINUTE, chunk_rows=100)
+    pieces, several = layout.split(d, cut)
+    sizes = pieces.groupBy("_chunk").count().toPandas()["count"]
+    assert several and sizes.max() <= 200 and sizes.sum() == 3000
+    whole = AXIS.with_(bucket_us=24 * 60 * MINUTE)
+    for fn in (lambda a: causal.rolling_rows(d, a, "x", 30, "sum", "y"), lambda a: causal.rolling_time(d, a, {"x": "y"}, 10 * MINUTE)):
+        pd.testing.assert_series_equal(pull(fn(whole)).y, pull(fn(cut)).y)
+    pieces, _ = layout.split(d, cut, back_us=10 * MINUTE)  # with halos: no more than the rows of ten minutes more
+    assert pieces.groupBy("_chunk").count().toPandas()["count"].max() <= 200 + 2400

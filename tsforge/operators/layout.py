@@ -27,8 +27,8 @@ from tsforge.session import measured
 class Axis:
     """The key and time columns of a series and the size of its pieces.
 
-    ``bucket_us`` is the width of the counting buckets: choose it so that one bucket of
-    one key stays far below ``chunk_rows`` rows. ``ties`` orders rows of equal time.
+    ``bucket_us`` is the width of the counting buckets; where one bucket of one key holds more than
+    ``chunk_rows`` rows, narrower ones are counted instead. ``ties`` orders rows of equal time.
     """
 
     key: str | tuple[str, ...] = "symbol"
@@ -127,6 +127,21 @@ def chunk_layout(
     return layout.drop("_start")
 
 
+HALO_BUCKETS = 20_000
+
+
+def finer_bucket(axis: Axis, hottest: int, reach_us: int) -> int:
+    """The bucket width at which the fullest bucket, evenly filled, holds a quarter of a chunk; at most today's.
+
+    Counted again at that width, and again while a bucket is still too full; only rows of one
+    microsecond cannot be parted. A time halo of ``reach_us`` keeps to HALO_BUCKETS buckets.
+    """
+    if hottest <= axis.chunk_rows:
+        return axis.bucket_us
+    width = axis.bucket_us // max(2, -(-4 * hottest // axis.chunk_rows))
+    return min(axis.bucket_us, max(1, width, -(-reach_us // HALO_BUCKETS)))
+
+
 def chunked(df: DataFrame, axis: Axis, *args, **kwargs) -> DataFrame:
     """``df`` with _chunk, _own, _base, _us (and running sums _before_*), halo rows included.
 
@@ -151,7 +166,10 @@ def split(
         F.count(F.lit(1)).alias("_n"), *[F.sum(c).alias(f"_sum_{n}") for n, c in sums.items()]
     )
     counts = measured(counts)
-    longest = counts.groupBy(*axis.keys).agg(F.sum("_n").alias("n")).agg(F.max("n")).first()[0]
+    longest, hottest = counts.groupBy(*axis.keys).agg(F.sum("_n").alias("n"), F.max("_n").alias("m")).agg(F.max("n"), F.max("m")).first()
+    finer = finer_bucket(axis, hottest or 0, max(back_us, ahead_us))
+    if (longest or 0) > axis.chunk_rows and finer < axis.bucket_us:
+        return split(df, axis.with_(bucket_us=finer), back, ahead, back_us, ahead_us, sums)
     if (longest or 0) <= axis.chunk_rows:
         # Every series fits one chunk: the key alone is a safe partitioning.
         zero = F.lit(0).cast("long")
