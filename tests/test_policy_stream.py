@@ -208,6 +208,18 @@ def test_stream_bars_and_late_rows(spark):
     assert jobs.late_rows(query) == 1 and spark.read.parquet(out).where("bar < '2024-01-01 00:10'").count() <= 1
 
 
+def test_queue_batches_replayed_change_nothing(spark):
+    path = scratch_path(spark, "queue")
+    sink = jobs.queue_sink(path)
+    rows = lambda *x: spark.createDataFrame(list(x), "decision_id string, state string, ts int")
+    sink(rows(("a", "queued", 1), ("b", "queued", 1), ("a", "queued", 2)), 0)
+    sink(rows(("a", "done", 5)), 1)
+    before = sorted(map(tuple, jobs.read_queue(spark, path).collect()))
+    assert before == [("a", "done", 5), ("b", "queued", 1)]
+    sink(rows(("a", "queued", 1), ("b", "queued", 1), ("a", "queued", 2)), 0)
+    assert sorted(map(tuple, jobs.read_queue(spark, path).collect())) == before
+
+
 def test_batches_into_daily_lake(spark):
     from tsforge.sources.lake import append_rows
 

@@ -292,13 +292,48 @@ def streamed_telemetry(spark, sf):
     return out(d, "symbol", "event_id", "temp", "util", "throttle", "transition")
 
 
+def _in_turns(spark, rows, run, turns=3):
+    """Land ``rows`` in ``turns`` parts, later parts holding rows up to two hours older than the newest before them, and run
+    the stream after each, from where it stopped."""
+    path = scratch_path(spark, "turns")
+    lo, hi = rows.agg(F.min(micros("ts")), F.max(micros("ts"))).first()
+    shaken = micros("ts") + F.pmod(F.xxhash64("event_id"), F.lit(2 * HOUR))
+    turn = F.least(F.floor((shaken - lo) * turns / F.lit(hi - lo + 1)), F.lit(turns - 1))
+    for k in range(turns):
+        rows.where(turn == k).write.mode("append").parquet(path)
+        run(jobs.read_landing(spark, path, rows.schema, max_bytes=64 << 30)).awaitTermination()
+
+
 @entry(
     f"""WITH {SQL_TICKS}, x AS (SELECT *, CASE WHEN value > 30 THEN value END AS v FROM ticks), f AS (SELECT *, last_value(v IGNORE NULLS) OVER (PARTITION BY symbol ORDER BY us, event_id ROWS BETWEEN 3 PRECEDING AND CURRENT ROW) AS fl FROM x)
-  SELECT symbol, event_id, {r('fl', 'v_filled')}, CAST(v IS NULL AND fl IS NOT NULL AS INTEGER) AS v_imputed FROM f"""
+  SELECT symbol, event_id, {r('fl', 'v_filled')}, CAST(v IS NULL AND fl IS NOT NULL AS INTEGER) AS v_imputed FROM f WHERE us // 1000 <= (SELECT max(us) // 1000 FROM ticks) - {3 * HOUR // 1000}"""
 )
 def streamed_ffill(spark, sf):
-    e = _event_stream(spark, sf).select("symbol", "ts", "event_id", F.when(F.col("value") > 30, F.col("value")).alias("v"))
-    return out(_landed(spark, states.stream_ffill(e, ["symbol"], "ts", ["v"])), "symbol", "event_id", "v_filled", "v_imputed")
+    """Rows come in three parts and out of order; they wait for the watermark and fill as in a batch."""
+    e = ticks(spark, sf).select("symbol", "ts", "event_id", F.when(F.col("value") > 30, F.col("value")).alias("v"))
+    path, progress = scratch_path(spark, "stream"), scratch_path(spark, "progress")
+    filled = lambda sdf: states.stream_ffill(sdf, ["symbol"], "ts", ["v"], delay="3 hours", ties=("event_id",))
+    _in_turns(spark, e, lambda sdf: jobs.run_to_path(filled(sdf), path, progress))
+    return out(spark.read.parquet(path), "symbol", "event_id", "v_filled", "v_imputed")
+
+
+@entry(
+    """WITH q AS (SELECT user_id AS id, arg_max(CASE WHEN event_type = 'purchase' THEN 'done' ELSE 'queued' END, ts) AS state FROM events GROUP BY 1)
+  SELECT c_custkey AS decision_id, coalesce(state, 'not_found') AS state FROM customer LEFT JOIN q ON id = c_custkey"""
+)
+def streamed_queue(spark, sf):
+    """The work queue kept by a stream, batch by batch; one batch is handed in twice."""
+    ev = ticks(spark, sf).select("event_id", F.col("user_id").alias("decision_id"), F.when(F.col("symbol") == "purchase", "done").otherwise("queued").alias("state"), "ts")
+    path, progress = scratch_path(spark, "queue"), scratch_path(spark, "progress")
+    sink = jobs.queue_sink(path)
+
+    def twice(batch, number):
+        sink(batch, number)
+        sink(batch, number)
+
+    _in_turns(spark, ev, lambda sdf: jobs.run_batches(sdf, twice, progress))
+    ids = table(spark, sf, "customer").select(F.col("c_custkey").alias("decision_id"))
+    return jobs.lookup_states(ids, jobs.read_queue(spark, path))
 
 
 @entry(

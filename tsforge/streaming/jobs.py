@@ -99,10 +99,14 @@ def run_batches(sdf: DataFrame, sink: Callable[[DataFrame, int], None], checkpoi
     return writer.trigger(availableNow=True).start() if once else writer.trigger(processingTime=trigger).start()
 
 
-def read_landing(spark: SparkSession, path: str, schema, fmt: str = "parquet", glob: str | None = None) -> DataFrame:
+def read_landing(
+    spark: SparkSession, path: str, schema, fmt: str = "parquet", glob: str | None = None, max_files: int | None = None, max_bytes: int | None = None
+) -> DataFrame:
+    """A stream of the files that land in a folder; a micro-batch takes at most ``max_files`` files or about ``max_bytes``."""
     reader = spark.readStream.format(fmt).schema(schema)
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
+    for name, value in (("pathGlobFilter", glob), ("maxFilesPerTrigger", max_files), ("maxBytesPerTrigger", max_bytes)):
+        if value is not None:
+            reader = reader.option(name, value)
     return reader.load(path)
 
 
@@ -120,3 +124,20 @@ def lookup_states(ids: DataFrame, events: DataFrame, key: str = "decision_id") -
     """State of the asked ids; ids never queued are ``not_found``."""
     found = ids.select(key).join(queue_states(events, key), key, "left")
     return found.select(key, F.coalesce("state", F.lit("not_found")).alias("state"))
+
+
+def queue_sink(path: str, key: str = "decision_id", state: str = "state", ts: str = "ts") -> Callable[[DataFrame, int], None]:
+    """A sink for :func:`run_batches`: each micro-batch leaves the latest state of its ids under its own number.
+
+    A batch that is run again replaces its folder with the same rows, so replays change nothing.
+    """
+
+    def write(batch: DataFrame, number: int) -> None:
+        queue_states(batch, key, state, ts).write.mode("overwrite").parquet(f"{path}/batch={number}")
+
+    return write
+
+
+def read_queue(spark: SparkSession, path: str, key: str = "decision_id", state: str = "state", ts: str = "ts") -> DataFrame:
+    """The latest state of every id over all batches of :func:`queue_sink`."""
+    return queue_states(spark.read.parquet(path), key, state, ts)

@@ -6,6 +6,7 @@ import json
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -44,21 +45,69 @@ class _KeyedRunner(StatefulProcessor):
         pass
 
 
-def stream_states(sdf: DataFrame, keys: list[str], ts: str, runner: Runner, initial: dict, outputs: dict[str, str], drop: tuple[str, ...] = ()) -> DataFrame:
+class _OrderedRunner(_KeyedRunner):
+    """As :class:`_KeyedRunner`, but rows wait in state until the watermark has passed them, and run in time order."""
+
+    def __init__(self, *args, order: list[str]) -> None:
+        super().__init__(*args)
+        self.order = order
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        super().init(handle)
+        self.handle = handle
+        self.held = handle.getValueState("held", "version int, data binary")
+
+    def _released(self, fresh: list[pd.DataFrame], watermark_ms: int) -> Iterator[pd.DataFrame]:
+        parts = [pa.ipc.open_stream(bytes(self.held.get()[1])).read_pandas()] if self.held.exists() else []
+        for part in fresh:
+            part.columns = self.inputs
+            parts.append(part)
+        rows = pd.concat([p for p in parts if len(p)], ignore_index=True).sort_values(["_us", *self.order], kind="stable")
+        ready = (rows["_us"] <= watermark_ms * 1000).to_numpy()
+        now, later = rows[ready].reset_index(drop=True), rows[~ready].reset_index(drop=True)
+        if len(later):
+            sink = pa.BufferOutputStream()
+            table = pa.Table.from_pandas(later, preserve_index=False)
+            with pa.ipc.new_stream(sink, table.schema) as writer:
+                writer.write_table(table)
+            self.held.update((STATE_VERSION, sink.getvalue().to_pybytes()))
+            self.handle.registerTimer(int(later["_us"].iloc[0]) // 1000 + 1)
+        elif self.held.exists():
+            self.held.clear()
+        if len(now):
+            state = json.loads(self.saved.get()[1]) if self.saved.exists() else self.initial
+            cols, after = self.runner(now, state)
+            self.saved.update((STATE_VERSION, json.dumps(after)))
+            yield pd.concat([now[self.names], cols[self.outputs]], axis=1)
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        fresh = [p for p in rows if len(p)]
+        if fresh:
+            yield from self._released(fresh, timerValues.getCurrentWatermarkInMs())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        if self.held.exists():
+            yield from self._released([], timerValues.getCurrentWatermarkInMs())
+
+
+def stream_states(
+    sdf: DataFrame, keys: list[str], ts: str, runner: Runner, initial: dict, outputs: dict[str, str], drop: tuple[str, ...] = (), delay: str | None = None, ties: tuple[str, ...] = ()
+) -> DataFrame:
     """The streaming form of :func:`tsforge.operators.scan.run_states`: same runner, state kept per key.
 
     Rows of a micro-batch are handled in time order; the stored state carries its version.
-    Such operators can follow one another in one stream.
+    Such operators can follow one another in one stream. With ``delay`` rows may come out of order by that
+    much: they wait in state, at most those of the delay for each key, until the watermark passes them, then
+    run in order of time and ``ties``; rows later than the delay are dropped.
     """
     sdf.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
     kept = [f for f in sdf.schema.fields if f.name not in drop]
     new = T._parse_datatype_string(",".join(f"`{n}` {t}" for n, t in outputs.items())).fields
-    machine = _KeyedRunner(runner, initial, [*sdf.columns, "_us"], [f.name for f in kept], list(outputs))
-    return (
-        sdf.withColumn("_us", micros(ts))
-        .groupBy(*keys)
-        .transformWithStateInPandas(machine, T.StructType([*kept, *new]), "Append", "None")
-    )
+    args = (runner, initial, [*sdf.columns, "_us"], [f.name for f in kept], list(outputs))
+    machine = _KeyedRunner(*args) if delay is None else _OrderedRunner(*args, order=list(ties))
+    rows = sdf if delay is None else sdf.withWatermark(ts, delay)
+    grouped = rows.withColumn("_us", micros(ts)).groupBy(*keys)
+    return grouped.transformWithStateInPandas(machine, T.StructType([*kept, *new]), "Append", "None" if delay is None else "EventTime")
 
 
 def ffill_runner(cols: list[str], limit: int = 3) -> tuple[Runner, dict, dict[str, str]]:
@@ -88,8 +137,8 @@ def ffill_runner(cols: list[str], limit: int = 3) -> tuple[Runner, dict, dict[st
     return runner, start, outputs
 
 
-def stream_ffill(sdf: DataFrame, keys: list[str], ts: str, cols: list[str], limit: int = 3) -> DataFrame:
-    return stream_states(sdf, keys, ts, *ffill_runner(cols, limit))
+def stream_ffill(sdf: DataFrame, keys: list[str], ts: str, cols: list[str], limit: int = 3, delay: str | None = None, ties: tuple[str, ...] = ()) -> DataFrame:
+    return stream_states(sdf, keys, ts, *ffill_runner(cols, limit), delay=delay, ties=ties)
 
 
 def policy_runner(cool_us: int, early_exit: bool = False) -> tuple[Runner, dict, dict[str, str]]:
