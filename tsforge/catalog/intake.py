@@ -10,7 +10,8 @@ from tsforge.catalog.data import BARS, H, SQL_BARS, SQL_TICKS, TICKS, bars, out,
 from tsforge.catalog.decisions import SQL_POLICY, policy_rows
 from tsforge.functions.scalars import decision_id
 from tsforge.functions.timeunits import DAY, HOUR, micros
-from tsforge.operators import policy
+from tsforge.operators import explain, policy
+from tsforge.operators.align import resample_ohlcv
 from tsforge.operators.layout import with_position
 from tsforge.operators.ranks import exact_quantiles
 from tsforge.operators.scan import run_states
@@ -58,6 +59,104 @@ def landed_rejects(spark, sf):
     return bad.groupBy("symbol", "doc").agg(F.count(F.lit(1)).alias("n"))
 
 
+def _typed_payloads(spark, sf):
+    """Vendor-like documents of 50 records each that carry the fields of all record types, some of them zero or absent."""
+    t = ticks(spark, sf)
+    k, v = F.col("event_id"), F.col("value")
+    rec = F.struct(
+        F.floor(micros("ts") / 1000).alias("time"),
+        F.when(k % 3 != 0, v).alias("oi"),
+        F.when(k % 4 == 0, 0.0).otherwise(v / 1000).alias("fundingRate"), F.when(k % 8 == 0, 0.5).alias("value"),
+        F.when(k % 5 != 0, v * 2).alias("buyUsd"), F.when(k % 6 == 0, F.lit("x")).otherwise((v * 3).cast("string")).alias("sell_usd"),
+        F.when(k % 7 != 0, v * 4).alias("amountUsd"),
+    )
+    docs = t.select("symbol", F.floor(k / 50).alias("doc"), rec.alias("rec")).groupBy("symbol", "doc").agg(F.collect_list("rec").alias("items"))
+    return docs.select("symbol", F.concat(F.lit('{"data":{"rows":'), F.to_json("items"), F.lit("}}")).alias("payload"))
+
+
+@entry(
+    f"""WITH {SQL_TICKS}, x AS (SELECT symbol, value AS v, event_id AS k FROM ticks),
+  g AS (SELECT 'open_interest' AS type, symbol, CASE WHEN k % 3 <> 0 THEN v END AS a, 0.0 AS b FROM x
+    UNION ALL SELECT 'funding', symbol, CASE WHEN k % 4 = 0 THEN 0.0 ELSE v / 1000 END, 0 FROM x
+    UNION ALL SELECT 'funding without zeros', symbol, CASE WHEN k % 8 = 0 THEN 0.5 WHEN k % 4 = 0 THEN NULL ELSE nullif(v / 1000, 0) END, 0 FROM x
+    UNION ALL SELECT 'taker_volume', symbol, CASE WHEN k % 5 <> 0 THEN v * 2 ELSE 0 END, CASE WHEN k % 6 <> 0 THEN v * 3 ELSE 0 END FROM x
+    UNION ALL SELECT 'liquidation', symbol, CASE WHEN k % 8 = 0 THEN 0.5 WHEN k % 7 <> 0 THEN v * 4 END, 0 FROM x)
+  SELECT type, symbol, count(a) AS good, count(*) - count(a) AS bad, {r('sum(a)', 'first', 3)}, {r('sum(b) FILTER (a IS NOT NULL)', 'second', 3)} FROM g GROUP BY 1, 2"""
+)
+def landed_record_types(spark, sf):
+    """The four other record types, and zeros that count as missing, with what each rejects."""
+    raw = _typed_payloads(spark, sf)
+    parts = None
+    for name, spec, zero in (("open_interest", "open_interest", False), ("funding", "funding", False), ("funding without zeros", "funding", True), ("taker_volume", "taker_volume", False), ("liquidation", "liquidation", False)):
+        good, bad = landing.normalise_records(raw, "payload", landing.SPECS[spec], ["symbol"], zero)
+        cols = list(landing.SPECS[spec].fields)
+        d = good.select("symbol", F.lit(1).alias("ok"), F.col(cols[0]).alias("a"), (F.col(cols[1]) if len(cols) > 1 else F.lit(0.0)).alias("b"))
+        d = d.unionByName(bad.select("symbol", F.lit(0).alias("ok"), F.lit(None).cast("double").alias("a"), F.lit(None).cast("double").alias("b")))
+        d = d.groupBy("symbol").agg(F.sum("ok").alias("good"), F.sum(1 - F.col("ok")).alias("bad"), F.sum("a").alias("first"), F.sum("b").alias("second")).withColumn("type", F.lit(name))
+        parts = d if parts is None else parts.unionByName(d)
+    return out(parts, "type", "symbol", "good", "bad", "first", "second", first=3, second=3)
+
+
+@entry(
+    f"""WITH {SQL_TICKS}, g AS (SELECT symbol, (us // 1000) * 1000 AS us, event_id, value, user_id FROM ticks WHERE value >= 2),
+  b AS (SELECT symbol, ((us + {H - 1}) // {H}) * {H} AS ts_us, arg_min(value, (us, event_id)) AS open, max(value) AS high, min(value) AS low, arg_max(value, (us, event_id)) AS close, CAST(sum(user_id) AS DOUBLE) AS volume FROM g GROUP BY 1, 2),
+  f AS (SELECT symbol, min(us) AS us FROM g GROUP BY 1)
+  SELECT b.symbol, ts_us, {r('open', 'open')}, {r('high', 'high')}, {r('low', 'low')}, {r('close', 'close')}, volume FROM b JOIN f USING (symbol) WHERE ts_us > (us // {DAY}) * {DAY}"""
+)
+def landing_to_lake(spark, sf):
+    """One job from landed documents over typed records to bars in a day-partitioned lake, read back."""
+    good, _ = landing.normalise_records(payloads(spark, sf), "payload", landing.PRICE)
+    path = scratch_path(spark, "lake")
+    lake.write_daily(resample_ohlcv(good, TICKS.with_(ties=()), HOUR, price="close", volume="volume_usd"), path)
+    return out(lake.scan(spark, path), "symbol", "ts", "open", "high", "low", "close", "volume")
+
+
+@entry(
+    f"""WITH {SQL_TICKS} SELECT symbol, count(*) AS n, {r('sum(value)', 'total', 3)}, CAST(sum(us // 1000000) AS BIGINT) AS clock FROM ticks GROUP BY 1"""
+)
+def event_log_roundtrip(spark, sf):
+    """Events appended as JSON lines and read back."""
+    path = scratch_path(spark, "log")
+    t = ticks(spark, sf).select("ts", F.lit("score").alias("type"), "symbol", F.col("value").alias("t_nn_ms"))
+    lake.write_events(t, path)
+    good, _ = lake.read_events(spark, path)
+    d = good.groupBy("symbol").agg(F.count(F.lit(1)).alias("n"), F.sum("t_nn_ms").alias("total"), F.sum(F.floor(micros("ts") / 1_000_000)).alias("clock"))
+    return out(d, "symbol", "n", "total", "clock", total=3)
+
+
+@entry(
+    """SELECT 'json' AS kind, o_orderpriority AS name, count(*) AS n FROM orders GROUP BY 2
+  UNION ALL SELECT 'csv', o_orderpriority, count(*) FROM orders GROUP BY 2
+  UNION ALL SELECT 'lineage', column_name, 1 FROM (DESCRIBE SELECT * FROM orders)"""
+)
+def reports_roundtrip(spark, sf):
+    """A report as JSON, the same table as CSV, and the lineage of a table's columns, each written and read back."""
+    o = table(spark, sf, "orders")
+    mix = o.groupBy(F.col("o_orderpriority").alias("name")).agg(F.count(F.lit(1)).alias("n"))
+    json, csv, origin = (scratch_path(spark, n) for n in ("report", "table", "lineage"))
+    lake.write_report(mix, json)
+    lake.write_table_csv(mix, csv)
+    lake.write_table_csv(lake.lineage(spark, [(c, "orders", "as landed") for c in o.columns]), origin)
+    parts = [spark.read.schema("name string, n bigint").json(json).select(F.lit("json").alias("kind"), "name", "n")]
+    parts.append(spark.read.option("header", "true").schema("name string, n bigint").csv(csv).select(F.lit("csv").alias("kind"), "name", "n"))
+    parts.append(spark.read.option("header", "true").csv(origin).select(F.lit("lineage").alias("kind"), F.col("feature").alias("name"), F.lit(1).cast("long").alias("n")))
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@entry(
+    f"""WITH {SQL_TICKS}, e AS (SELECT us // 1000000 AS t FROM ticks), m AS (SELECT max(t) AS now FROM e)
+  SELECT count(*) FILTER (now - t > 5 * 86400) AS removed, count(*) FILTER (now - t <= 5 * 86400) AS kept, CAST(0 AS BIGINT) AS again FROM e, m"""
+)
+def document_expiry(spark, sf):
+    """Documents older than their time to live are removed once; a second run finds none."""
+    path = scratch_path(spark, "documents")
+    docs = ticks(spark, sf).select(F.col("event_id").cast("string").alias("id"), F.floor(micros("ts") / 1_000_000).alias("ts_unix"), "symbol")
+    docs.write.parquet(path)
+    now = docs.agg(F.max("ts_unix")).first()[0]
+    removed, again = explain.collect_garbage(spark, path, now, 5), explain.collect_garbage(spark, path, now, 5)
+    return spark.read.parquet(path).agg(F.lit(removed).cast("long").alias("removed"), F.count(F.lit(1)).alias("kept"), F.lit(again).cast("long").alias("again"))
+
+
 @entry(
     f"""WITH {SQL_TICKS}, s AS (SELECT symbol, us, value, CASE WHEN event_id % 7 < 3 AND symbol <> 'view' THEN 30 WHEN event_id % 7 < 5 THEN 7 ELSE 1 END AS d FROM ticks),
   m AS (SELECT symbol, max(d) AS d FROM s GROUP BY 1) SELECT symbol, count(*) AS n, {r('sum(value)', 'total', 3)} FROM s JOIN m USING (symbol, d) GROUP BY 1"""
