@@ -34,6 +34,17 @@ def released(spark: SparkSession, *done: DataFrame) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """Names for helper columns that no column of ``df`` has, whatever its case."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        out.append(name)
+    return out
+
+
 def row_key(docs: DataFrame) -> Column:
     """A digest of all columns of a row; null and empty differ."""
     parts = [F.md5(F.col(f"`{f.name}`")) if f.dataType.typeName() == "string" else F.md5(F.to_json(F.struct(F.col(f"`{f.name}`")))) for f in docs.schema]
