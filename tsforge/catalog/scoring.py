@@ -315,7 +315,24 @@ def oversampled_mix(spark, sf):
     return d.groupBy("fold_id", "label").agg(F.count(F.lit(1)).alias("n_after"), F.count_if(F.col("copy") == 0).alias("n_before"))
 
 
-@entry()
+def sql_draw(*parts: str) -> str:
+    return f"CAST('0x' || substr(md5(concat_ws('|', {', '.join(parts)})), 1, 12) AS BIGINT)"
+
+
+@entry(
+    f"""WITH {SQL_MINOR}, c AS (SELECT fold_id, label, count(*) AS n FROM m GROUP BY 1, 2),
+  t AS (SELECT fold_id, max(n) AS top, count(*) AS k FROM c WHERE label <> 'WAIT' GROUP BY 1),
+  b AS (SELECT m.*, n, top - n AS need, row_number() OVER (PARTITION BY fold_id, label ORDER BY {sql_draw('vec_id', '42')}, vec_id) - 1 AS place
+        FROM m JOIN c USING (fold_id, label) JOIN t USING (fold_id) WHERE label <> 'WAIT' AND k >= 2 AND n < top AND n >= 2),
+  p AS (SELECT a.fold_id, a.label, a.vec_id, x.vec_id AS nbr, list_distance(a.v, x.v) AS d FROM b a JOIN m x ON a.fold_id = x.fold_id AND a.label = x.label AND a.vec_id <> x.vec_id),
+  k AS (SELECT *, row_number() OVER (PARTITION BY fold_id, label, vec_id ORDER BY d, nbr) AS rank FROM p),
+  l AS (SELECT fold_id, label, vec_id, list(nbr ORDER BY rank) AS nbrs FROM k WHERE rank <= 5 GROUP BY ALL),
+  w AS (SELECT fold_id, label, vec_id, v, nbrs, unnest(range(1, need // n + CASE WHEN place < need % n THEN 1 ELSE 0 END + 1)) AS copy FROM b JOIN l USING (fold_id, label, vec_id)),
+  z AS (SELECT w.*, x.v AS mate, {sql_draw('w.vec_id', 'copy', '44')} % 1000003 / 1000003.0::DOUBLE AS u
+        FROM w JOIN m x ON x.fold_id = w.fold_id AND x.label = w.label AND x.vec_id = nbrs[1 + {sql_draw('w.vec_id', 'copy', '43')} % len(nbrs)])
+  SELECT fold_id, label, vec_id, CAST(copy AS INTEGER) AS copy,
+         {r('sqrt(list_sum(list_transform(list_zip(v, mate), lambda q: (q[1] + u * (q[2] - q[1])) * (q[1] + u * (q[2] - q[1])))))', 'norm')} FROM z"""
+)
 def oversampled_windows(spark, sf):
     d = sampling.smote(minority(spark, sf), "embedding", "label", ["fold_id"], "vec_id").where("copy > 0")
     d = d.withColumn("norm", F.sqrt(F.aggregate("embedding", F.lit(0.0), lambda a, v: a + v * v)))

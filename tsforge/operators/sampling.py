@@ -7,7 +7,7 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -333,6 +333,12 @@ def nearest_neighbours(
     return found.select(*by, F.col("_id").alias(row_id), "rank", F.col("_nbr").alias("nbr"), F.col("_dist").alias("dist"))
 
 
+def draw(*parts: str | int) -> Column:
+    """A number below 2**48 from columns (by name) and integers: the first twelve hex digits of their MD5, joined by bars."""
+    text = F.concat_ws("|", *[F.col(x).cast("string") if isinstance(x, str) else F.lit(str(x)) for x in parts])
+    return F.conv(F.substring(F.md5(text), 1, 12), 16, 10).cast("long")
+
+
 def smote(
     df: DataFrame,
     vec: str,
@@ -347,7 +353,7 @@ def smote(
     """Raise every class not excluded to the size of the largest of them, per ``by`` group.
 
     New rows lie between a base row and one of its k nearest neighbours of the class. Base,
-    neighbour and position come from hashes, so the result does not depend on partitioning.
+    neighbour and position come from :func:`draw`, so the result does not depend on partitioning.
     Groups with fewer than two such classes stay as they are.
     """
     rows = df.select(*by, label, F.col(row_id).cast("long").alias(row_id), F.transform(vec, lambda v: v.cast("double")).alias(vec))
@@ -357,7 +363,7 @@ def smote(
     need = counts.join(top, by).where("_classes >= 2 AND _n < _top AND _n >= 2")
     need = measured(need.select(*by, label, "_n", (F.col("_top") - F.col("_n")).alias("_need")))
     base = minor.join(need, [*by, label])
-    hashed = base.select(*by, label, row_id, F.xxhash64(row_id, F.lit(seed)).cast("double").alias("_h"), "_n", "_need")
+    hashed = base.select(*by, label, row_id, draw(row_id, seed).cast("double").alias("_h"), "_n", "_need")
     order = running_by_value(hashed, [*by, label], "_h").select(*by, label, "_h", "before")
     same_hash = Window.partitionBy(*by, label, "_h").orderBy(row_id)
     place = F.col("before") + F.row_number().over(same_hash) - 1
@@ -370,12 +376,12 @@ def smote(
         F.transform(F.array_sort(F.collect_list(F.struct("rank", "nbr"))), lambda s: s["nbr"]).alias("_nbrs")
     )
     new = copies.join(lists, [*by, label, row_id]).withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("_c").cast("int"))))
-    chosen = F.pmod(F.xxhash64(row_id, "copy", F.lit(seed + 1)), F.size("_nbrs")).cast("int")
+    chosen = (draw(row_id, "copy", seed + 1) % F.size("_nbrs")).cast("int")
     new = new.withColumn("_nbr", F.get("_nbrs", chosen)).select(*by, label, row_id, "copy", "_nbr")
     new = new.join(minor, [*by, label, row_id])
     mate = minor.select(*by, label, F.col(row_id).alias("_nbr"), F.col(vec).alias("_w"))
     new = new.join(mate, [*by, label, "_nbr"])
-    u = F.pmod(F.xxhash64(row_id, "copy", F.lit(seed + 2)), F.lit(1_000_003)) / F.lit(1_000_003.0)
+    u = draw(row_id, "copy", seed + 2) % 1_000_003 / F.lit(1_000_003.0)
     new = new.withColumn("_u", u).withColumn(vec, F.zip_with(vec, "_w", lambda a, b: a + F.col("_u") * (b - a)))
     cols = [*by, label, row_id, "copy", vec]
     return rows.withColumn("copy", F.lit(0)).select(cols).unionByName(new.select(cols))
