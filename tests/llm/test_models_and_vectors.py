@@ -1,14 +1,18 @@
 """HTML text, language, quality, top-k and neighbours; the registered queries."""
 
 import os
+import time
+import tracemalloc
 import zlib
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tsforge.llm import byte_bpe
 from tsforge.llm.html_text import extracted, main_text
-from tsforge.llm.language_id import identified, prototypes
+from tsforge.llm.language_id import Hyper, _Counts, _Letters, identified, prototypes
+from tsforge.llm.line_dedup import dedup_lines
 from tsforge.llm.quality_crf import LineCRF, forward_backward, line_features, scored, trained
 from tsforge.llm.queries import ORACLES, QUERIES
 from tsforge.llm.rotated_bits import encoded, index, nearest, rotation
@@ -57,6 +61,57 @@ def test_html_broken_markup_never_ends_the_job():
         assert isinstance(main_text(body.format("") + junk), str)
 
 
+def test_html_lines_of_links_go():
+    text = "plain words stand here in a row " * 6
+    p, t = f"<p>{text}</p>", text.strip()
+    assert main_text(f"<body><div><a href=/>News</a></div>{p}{p}<div><a href=/>More</a></div></body>") == f"{t}\n{t}"
+    assert main_text(f"<article><h1><a href=/>Head</a></h1>{p}<ul><li><a>one</a></li><li><a>two</a></li></ul>{p}</article>") == f"Head\n{t}\n{t}"
+    assert main_text(f"<article><p>See <a>this</a> page.</p>{p}<p><a>linked</a></p>{p}</article>") == f"See this page.\n{t}\nlinked\n{t}"
+
+
+def test_html_forms_and_several_articles():
+    text = "plain words stand here in a row " * 6
+    p, t = f"<p>{text}</p>", text.strip()
+    assert main_text(f"<body><form id=page><nav>x</nav><h1>T</h1>{p}{p}</form></body>") == f"T\n{t}\n{t}"
+    assert main_text(f"<article>{p}<form><p>Sign up</p></form></article>") == t
+    assert main_text(f"<article><h1>A</h1>{p}</article><article><h1>B</h1>{p}</article><article>teaser</article>") == f"A\n{t}\nB\n{t}"
+    assert main_text(f'<article>{p}<article class="comment">{p}</article></article><article class="comment">{p}</article>') == t
+
+
+def test_html_nesting_is_linear():
+    def seconds(n):
+        page = "<article>" + "<div class=ad>" * n + "x" + "<p>y</p></div>" * n
+        start = time.process_time()
+        main_text(page)
+        return time.process_time() - start
+
+    assert seconds(24_000) < 24 * seconds(3_000)  # eight times the page; sixty-four times the work if quadratic
+
+
+def test_helper_columns_never_clash(spark):
+    names = ("_html", "html", "_text", "text_", "_source", "source", "source_", "id", "kept", "a.b")
+    docs = spark.createDataFrame([(1, "some words here\nsome words here", 5)], "doc_id long, t string, n_chars int").withColumns({n: F.lit(n) for n in names if n not in ("html",)})
+    pages = docs.withColumn("html", F.lit("<p>x</p>"))
+    langs, profile = prototypes(docs.withColumn("lang", F.lit("en")), text_col="t")
+    model = trained(docs, spark.createDataFrame([(1, 1)], "doc_id long, quality int"), text_col="t")
+    for done in (extracted(pages), scored(docs, model, text_col="t"), identified(docs, langs, profile, text_col="t"), byte_bpe.encoded(docs, "t"), dedup_lines(docs, text_col="t")):
+        row = done.first().asDict()
+        assert all(row[n] == n for n in names if n != "html" and n in row) and {"a.b", "_text", "_source", "id", "kept"} <= set(row)
+
+
+def test_language_counts_are_sparse():
+    rng = np.random.default_rng(0)
+    texts = ["".join(map(chr, rng.integers(0x4E00, 0x5200, 300))) for _ in range(100)] + [None, ""]
+    tracemalloc.start()
+    counts = _Counts(texts, 3)
+    assert tracemalloc.get_traced_memory()[1] < 4 << 20  # 30,000 distinct trigrams: 12 MB as a table
+    tracemalloc.stop()
+    assert len(counts.at) <= 100 * 300 and len(counts.codes) <= len(counts.at)
+    got = counts.bundled(_Letters(Hyper()))
+    assert np.allclose(got[7], _Counts(texts[7:8], 3).bundled(_Letters(Hyper()))[0]) and not got[100:].any()
+    assert np.allclose(counts.bundled(_Letters(Hyper()), np.arange(102) % 2)[1], got[1::2].sum(axis=0), atol=1e-2)
+
+
 def test_html_rows(spark):
     rows = [(1, None, "x"), (2, "", "y"), (3, "<article><p>t</p></article>", "z"), (3, "<article><p>t</p></article>", "z")]
     pages = spark.createDataFrame(rows, "page_id long, html string, text string")
@@ -200,4 +255,4 @@ def test_codes_estimate_within_their_bound():
 
 
 def test_queries_are_registered_once_per_operator():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11)) and set(ORACLES) <= set(QUERIES)
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14)) and set(ORACLES) <= set(QUERIES)

@@ -22,6 +22,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tsforge.llm.common import beside
+
 CACHED_PIECES = 150_000
 LONGEST_CACHED = 48
 CACHED_PAIRS = 250_000
@@ -204,6 +206,8 @@ def default_path() -> str:
 def _mapped(df: DataFrame, source: str, outs: list[str], make: Callable[[bytes], tuple[bytes, ...]]) -> DataFrame:
     """All columns of ``df`` and binary columns ``outs`` = make(value of ``source``), in batches of bounded bytes."""
     kept = [c for c in df.columns if c not in outs]
+    picked, names, fields = beside(df, kept, source)
+    made_names = [f"made{i}" for i in range(len(outs))]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -217,12 +221,10 @@ def _mapped(df: DataFrame, source: str, outs: list[str], make: Callable[[bytes],
                 size += len(value) + sum(map(len, results))
                 if size >= BATCH_BYTES or row + 1 == batch.num_rows:
                     part = batch.slice(start, row + 1 - start)
-                    yield pa.RecordBatch.from_arrays([*part.columns[:-1], *[pa.array(m, pa.binary()) for m in made]], [*kept, *outs])
+                    yield pa.RecordBatch.from_arrays([*part.columns[:-1], *[pa.array(m, pa.binary()) for m in made]], [*names, *made_names])
                     start, size, made = row + 1, 0, [[] for _ in outs]
 
-    picked = df.select(*[F.col(f"`{c}`") for c in kept], F.col(f"`{source}`").alias("_source"))
-    fields = [f"`{c}` {df.schema[c].dataType.simpleString()}" for c in kept]
-    return picked.mapInArrow(run, ", ".join([*fields, *[f"`{o}` binary" for o in outs]]))
+    return picked.mapInArrow(run, ", ".join([*fields, *[f"{m} binary" for m in made_names]])).toDF(*kept, *outs)
 
 
 def encoded(df: DataFrame, text_col: str = "text", out: str = "ids", path: str | None = None, pattern: str = public_tokenizers.PATTERN) -> DataFrame:

@@ -45,6 +45,16 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
     return out
 
 
+def beside(df: DataFrame, kept: list[str], source: str) -> tuple[DataFrame, list[str], list[str]]:
+    """``kept`` columns under plain names and ``source`` last, for mapInArrow, which takes no dotted names.
+
+    Also gives the plain names and the schema fields of the kept columns.
+    """
+    names = [f"c{i}" for i in range(len(kept))]
+    picked = df.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(kept, names)], F.col(f"`{source}`").alias("source"))
+    return picked, names, [f"{n} {picked.schema[n].dataType.simpleString()}" for n in names]
+
+
 def row_key(docs: DataFrame) -> Column:
     """A digest of all columns of a row; null and empty differ."""
     parts = [F.md5(F.col(f"`{f.name}`")) if f.dataType.typeName() == "string" else F.md5(F.to_json(F.struct(F.col(f"`{f.name}`")))) for f in docs.schema]

@@ -16,6 +16,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tsforge.llm.common import beside
+
 UNKNOWN = "und"
 _PLACE = 1 << 21  # more than the number of code points
 
@@ -26,6 +28,7 @@ class Hyper:
     gram: int = 3
     seed: int = 17
     batch_docs: int = 128
+    batch_chars: int = 1 << 21
 
 
 class _Letters:
@@ -78,22 +81,40 @@ def gram_vectors(codes: np.ndarray, letters: _Letters) -> np.ndarray:
     return out
 
 
-def _bundled(weights: np.ndarray, codes: np.ndarray, letters: _Letters) -> np.ndarray:
-    """weights (rows x n-grams) times the n-gram vectors, a slice of n-grams at a time."""
-    out = np.zeros((len(weights), letters.op.dimensions), np.float64)
-    for i in range(0, len(codes), 8192):
-        out += weights[:, i : i + 8192] @ gram_vectors(codes[i : i + 8192], letters).astype(np.float32)
-    return out
-
-
-def _counts(texts: list[str | None], n: int) -> tuple[np.ndarray, np.ndarray]:
-    """(texts x distinct n-grams) counts and the n-gram codes."""
-    found = [grams(t or "", n) for t in texts]
-    lengths = [len(f) for f in found]
-    codes, back = np.unique(np.concatenate(found), return_inverse=True)
-    out = np.zeros((len(texts), max(1, len(codes))), np.float32)
-    np.add.at(out, (np.repeat(np.arange(len(texts)), lengths), back), 1)
-    return out, codes
+class _Counts:
+    """How often each text has each n-gram: entries (text, place among the distinct codes, weight), sorted by code."""
+
+    def __init__(self, texts: list[str | None], n: int):
+        found = [np.unique(grams(t or "", n), return_counts=True) for t in texts]
+        text = np.repeat(np.arange(len(texts)), [len(c) for c, _ in found])
+        code = np.concatenate([c for c, _ in found])
+        order = np.argsort(code, kind="stable")
+        self.texts, self.text = len(texts), text[order]
+        self.codes, self.at = np.unique(code[order], return_inverse=True)
+        self.weight = np.concatenate([k for _, k in found])[order].astype(np.float32)
+
+    def bundled(self, letters: _Letters, rows: np.ndarray | None = None, step: int = 8192) -> np.ndarray:
+        """Sums of weighted n-gram vectors per text, or per ``rows[text]``; a step of n-grams at a time."""
+        row = self.text if rows is None else rows[self.text]
+        count = self.texts if rows is None else int(rows.max(initial=-1)) + 1
+        out = np.zeros((count, letters.op.dimensions))
+        for i in range(0, len(self.codes), step):
+            low, high = np.searchsorted(self.at, (i, i + step))
+            part = np.zeros((count, min(step, len(self.codes) - i)), np.float32)
+            np.add.at(part, (row[low:high], self.at[low:high] - i), self.weight[low:high])
+            out += part @ gram_vectors(self.codes[i : i + step], letters).astype(np.float32)
+        return out
+
+
+def _parts(batch: pa.RecordBatch, column: int, op: Hyper) -> Iterator[tuple[pa.RecordBatch, list[str | None]]]:
+    """Stretches of a batch with their texts: at most ``batch_docs`` rows, and ``batch_chars`` or one longer text."""
+    start, size, texts = 0, 0, []
+    for row in range(batch.num_rows):
+        texts.append(batch.column(column)[row].as_py())
+        size += len(texts[-1] or "")
+        if size >= op.batch_chars or len(texts) == op.batch_docs or row + 1 == batch.num_rows:
+            yield batch.slice(start, len(texts)), texts
+            start, size, texts = row + 1, 0, []
 
 
 def prototypes(docs: DataFrame, op: Hyper = Hyper(), text_col: str = "text", lang_col: str = "lang") -> tuple[list[str], np.ndarray]:
@@ -106,17 +127,12 @@ def prototypes(docs: DataFrame, op: Hyper = Hyper(), text_col: str = "text", lan
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         letters, sums = _Letters(op), {}
         for whole in batches:
-            for start in range(0, whole.num_rows, op.batch_docs):
-                batch = whole.slice(start, op.batch_docs)
-                counts, codes = _counts(batch.column(0).to_pylist(), op.gram)
-                if not len(codes):
-                    continue
+            for batch, texts in _parts(whole, 0, op):
+                counts = _Counts(texts, op.gram)
                 names, back = np.unique(np.array(batch.column(1).to_pylist()), return_inverse=True)
                 # Each text weighs the same, however long it is.
-                counts /= np.maximum(1.0, np.sqrt((counts**2).sum(axis=1, keepdims=True)))
-                of_lang = np.zeros((len(names), counts.shape[1]), np.float32)
-                np.add.at(of_lang, back, counts)
-                for name, vector in zip(names.tolist(), _bundled(of_lang, codes, letters)):
+                counts.weight /= np.sqrt(np.bincount(counts.text, counts.weight**2, counts.texts))[counts.text]
+                for name, vector in zip(names.tolist(), counts.bundled(letters, back)):
                     sums[name] = sums.get(name, 0) + vector
         for name, vector in sums.items():
             # Fixed-point sums do not depend on the order of the tasks.
@@ -141,25 +157,23 @@ def identified(docs: DataFrame, langs: list[str], profile: np.ndarray, op: Hyper
     lang_pred or score are replaced.
     """
     kept = [c for c in docs.columns if c not in (text_col, "lang_pred", "score")]
+    picked, plain, fields = beside(docs, kept, text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         letters = _Letters(op)
         for whole in batches:
-            for start in range(0, whole.num_rows, op.batch_docs):
-                batch = whole.slice(start, op.batch_docs)
+            for batch, texts in _parts(whole, len(kept), op):
                 names, scores = [UNKNOWN] * batch.num_rows, np.zeros(batch.num_rows)
-                counts, codes = _counts(batch.column(len(kept)).to_pylist(), op.gram)
-                if langs and len(codes):
-                    vectors = _bundled(counts, codes, letters)
+                counts = _Counts(texts, op.gram)
+                if langs and len(counts.codes):
+                    vectors = counts.bundled(letters)
                     cosine = vectors @ profile.T / np.maximum(1e-12, np.linalg.norm(vectors, axis=1, keepdims=True))
                     best = cosine.argmax(axis=1)
-                    for i in np.flatnonzero(counts.any(axis=1)).tolist():
+                    for i in np.unique(counts.text).tolist():
                         names[i], scores[i] = langs[best[i]], min(1.0, max(0.0, cosine[i, best[i]]))
-                yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(names, pa.string()), pa.array(scores)], [*kept, "lang_pred", "score"])
+                yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(names, pa.string()), pa.array(scores)], [*plain, "lang_pred", "score"])
 
-    picked = docs.select(*[F.col(f"`{c}`") for c in kept], F.col(text_col).alias("_text"))
-    fields = [f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in kept]
-    return picked.mapInArrow(run, ", ".join([*fields, "lang_pred string, score double"]))
+    return picked.mapInArrow(run, ", ".join([*fields, "lang_pred string, score double"])).toDF(*kept, "lang_pred", "score")
 
 
 def fold(id_col: str, folds: int) -> Column:

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tsforge.llm.common import mixed, texts_of, word_hashes
+from tsforge.llm.common import beside, mixed, texts_of, word_hashes
 
 FEATURES = 11
 _CODES = np.arange(256)
@@ -73,8 +73,8 @@ def line_features(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarra
     with np.errstate(over="ignore"):
         pairs = mixed(hashes[:-1] * np.uint64(3) + hashes[1:]) if len(hashes) > 1 else hashes[:0]
     same = line[1:] == line[:-1]
-    fresh, _ = variety(pairs[same], line[1:][same], words - 1)
-    fresh[words < 2] = 1
+    new_pairs, _ = variety(pairs[same], line[1:][same], words - 1)
+    new_pairs[words < 2] = 1
     with np.errstate(over="ignore"):
         sums = np.zeros(len(ends), np.uint64)
         np.add.at(sums, line, hashes)
@@ -89,7 +89,7 @@ def line_features(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarra
             np.minimum(1, per_line(_BAR[codes]) / np.maximum(1, words)),
             distinct,
             top,
-            fresh,
+            new_pairs,
             np.log1p(words) / 5,
             np.minimum(3, chars / np.maximum(1, words) / 10),
             per_line(finals & _MARK[codes]) / np.maximum(1, words),
@@ -225,6 +225,7 @@ def scored(docs: DataFrame, model: Model, op: LineCRF = LineCRF(), text_col: str
     Whole texts are read; memory is bounded by batches of ``batch_bytes`` or one longer text.
     """
     kept = [c for c in docs.columns if c not in ("score", "predicted")]
+    picked, names, fields = beside(docs, kept, text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -235,8 +236,6 @@ def scored(docs: DataFrame, model: Model, op: LineCRF = LineCRF(), text_col: str
                     scores.append(model.quality(texts[start : i + 1]))
                     start, size = i + 1, 0
             score = np.concatenate(scores) if scores else np.zeros(0)
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(score), pa.array((score >= op.threshold).astype(np.int32))], [*kept, "score", "predicted"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(score), pa.array((score >= op.threshold).astype(np.int32))], [*names, "score", "predicted"])
 
-    picked = docs.select(*[F.col(f"`{c}`") for c in kept], F.col(text_col).alias("_text"))
-    fields = [f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in kept]
-    return picked.mapInArrow(run, ", ".join([*fields, "score double, predicted int"]))
+    return picked.mapInArrow(run, ", ".join([*fields, "score double, predicted int"])).toDF(*kept, "score", "predicted")
