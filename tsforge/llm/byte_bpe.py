@@ -28,6 +28,7 @@ CACHED_PIECES = 150_000
 LONGEST_CACHED = 48
 CACHED_PAIRS = 250_000
 BATCH_BYTES = 4_000_000
+BATCH_ROWS = 1024
 
 
 class BytePairs:
@@ -209,20 +210,25 @@ def _mapped(df: DataFrame, source: str, outs: list[str], make: Callable[[bytes],
     picked, names, fields = beside(df, kept, source)
     made_names = [f"made{i}" for i in range(len(outs))]
 
+    def answered(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        start, size, made = 0, 0, [[] for _ in outs]
+        column = batch.column(len(kept)).cast(pa.large_binary())
+        for row in range(batch.num_rows):
+            value = column[row].as_py() or b""
+            results = make(value)
+            for held, result in zip(made, results):
+                held.append(result)
+            size += len(value) + sum(map(len, results))
+            if size >= BATCH_BYTES or row + 1 == batch.num_rows:
+                part = batch.slice(start, row + 1 - start)
+                yield pa.RecordBatch.from_arrays([*part.columns[:-1], *[pa.array(m, pa.binary()) for m in made]], [*names, *made_names])
+                start, size, made = row + 1, 0, [[] for _ in outs]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            start, size, made = 0, 0, [[] for _ in outs]
-            column = batch.column(len(kept)).cast(pa.large_binary())
-            for row in range(batch.num_rows):
-                value = column[row].as_py() or b""
-                results = make(value)
-                for held, result in zip(made, results):
-                    held.append(result)
-                size += len(value) + sum(map(len, results))
-                if size >= BATCH_BYTES or row + 1 == batch.num_rows:
-                    part = batch.slice(start, row + 1 - start)
-                    yield pa.RecordBatch.from_arrays([*part.columns[:-1], *[pa.array(m, pa.binary()) for m in made]], [*names, *made_names])
-                    start, size, made = row + 1, 0, [[] for _ in outs]
+        for whole in batches:
+            for at in range(0, whole.num_rows, BATCH_ROWS):
+                yield from answered(whole.slice(at, BATCH_ROWS))
+            pa.default_memory_pool().release_unused()
 
     return picked.mapInArrow(run, ", ".join([*fields, *[f"{m} binary" for m in made_names]])).toDF(*kept, *outs)
 
