@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 import numpy as np
 from pyspark.sql import functions as F
 
@@ -105,9 +107,10 @@ def landed_record_types(spark, sf):
 )
 def landing_to_lake(spark, sf):
     """One job from landed documents over typed records to bars in a day-partitioned lake, read back."""
-    good, _ = landing.normalise_records(payloads(spark, sf), "payload", landing.PRICE)
+    # Landed times are whole milliseconds; records that share one are ordered by their id.
+    good, _ = landing.normalise_records(payloads(spark, sf), "payload", replace(landing.PRICE, numbers={"event_id": "id"}))
     path = scratch_path(spark, "lake")
-    lake.write_daily(resample_ohlcv(good, TICKS.with_(ties=()), HOUR, price="close", volume="volume_usd"), path)
+    lake.write_daily(resample_ohlcv(good, TICKS.with_(ties=("event_id",)), HOUR, price="close", volume="volume_usd"), path)
     return out(lake.scan(spark, path), "symbol", "ts", "open", "high", "low", "close", "volume")
 
 

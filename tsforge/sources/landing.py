@@ -26,11 +26,16 @@ TIME_ALIASES = ["time", "t", "ts", "timestamp"]
 
 @dataclass(frozen=True)
 class RecordSpec:
-    """Output field -> accepted source fields; ``defaults`` marks optional fields."""
+    """Output field -> accepted source fields; ``defaults`` marks optional fields.
+
+    ``numbers``: output column -> source field of a whole number that only comes along, null if absent, such as a
+    record's own id, by which records of one time can be ordered.
+    """
 
     fields: dict[str, list[str]]
     defaults: dict[str, float] = field(default_factory=dict)
     time: tuple[str, ...] = tuple(TIME_ALIASES)
+    numbers: dict[str, str] = field(default_factory=dict)
 
 
 PRICE = RecordSpec(
@@ -110,6 +115,8 @@ def normalise_records(
     for name, aliases in spec.fields.items():
         value = F.coalesce(*[number(a) for a in aliases])
         cols[name] = F.coalesce(value, F.lit(spec.defaults[name])) if name in spec.defaults else value
+    for name, source in spec.numbers.items():
+        cols[name] = text(source).try_cast("bigint")
     typed = records.withColumns(cols)
     required = ["ts", *[n for n in spec.fields if n not in spec.defaults]]
     ok = F.lit(True)
