@@ -3,9 +3,12 @@
 import duckdb
 import numpy as np
 import pandas as pd
+from pyspark.sql import functions as F
 
 import check
 from tsforge.catalog import load
+from tsforge.session import scratch_path
+from tsforge.streaming import jobs, states
 
 
 def events(rows, seed=0, days=3, step_us=1):
@@ -37,3 +40,45 @@ def test_landed_records_of_one_millisecond_open_and_close_bars_by_id(spark, tmp_
     dense["ts"] = dense["ts"].dt.floor("2h") + pd.to_timedelta(dense["event_id"] * 617 % 1000, "us")
     wrong, n = differences(spark, tmp_path, "landing_to_lake", events=dense)
     assert n > 50 and not wrong
+
+
+def test_rows_of_a_key_are_ordered_with_few_in_memory(monkeypatch):
+    monkeypatch.setattr(states, "RUN_ROWS", 40)
+    monkeypatch.setattr(states, "STEP_ROWS", 5)
+    monkeypatch.setattr(states, "MOST_RUNS", 4)
+    rng = np.random.default_rng(1)
+    pdf = pd.DataFrame({"_us": rng.integers(0, 300, 1500), "tie": rng.integers(0, 2, 1500), "came": np.arange(1500), "text": "x"})
+    pieces = list(states.in_order((pdf.iloc[a : a + 13].reset_index(drop=True) for a in range(0, 1500, 13)), ["_us", "tie"]))
+    want = pdf.sort_values(["_us", "tie", "came"], ignore_index=True)
+    pd.testing.assert_frame_equal(pd.concat(pieces, ignore_index=True), want)
+    assert max(map(len, pieces)) <= 80
+    assert list(states.in_order([], ["_us"])) == []
+
+
+def largest_piece(runner):
+    """A state machine that also tells how many rows it was given at once."""
+    run, start, outputs = runner
+
+    def told(rows, state):
+        cols, after = run(rows, state)
+        return cols.assign(piece=len(rows)), after
+
+    return told, start, {**outputs, "piece": "int"}
+
+
+def test_streams_run_a_key_in_pieces(spark, tmp_path):
+    """With many rows a key the machines get bounded pieces, whether rows wait for the watermark or not."""
+    pdf = events(states.RUN_ROWS * 4, days=1, step_us=1000).assign(event_type="one")
+    pdf.to_parquet(f"{tmp_path}/events.parquet", index=False, coerce_timestamps="us")
+    for delay in (None, "1 hour"):
+        e = jobs.read_landing(spark, str(tmp_path), "event_id long, ts timestamp_ntz, event_type string, value double", glob="events.parquet")
+        e = e.select("event_id", F.col("ts").cast("timestamp").alias("ts"), "event_type", F.when(F.col("value") > 60, F.col("value")).alias("v"))
+        d = states.stream_states(e, ["event_type"], "ts", *largest_piece(states.ffill_runner(["v"])), delay=delay, ties=("event_id",))
+        path = scratch_path(spark, "pieces")
+        jobs.run_to_path(d, path, scratch_path(spark, "progress")).awaitTermination()
+        got = spark.read.parquet(path).toPandas().sort_values(["ts", "event_id"], ignore_index=True)
+        want = pdf[pdf.ts <= (pdf.ts.max() - pd.Timedelta(delay or 0)).floor("ms")].sort_values(["ts", "event_id"], ignore_index=True)
+        assert got.event_id.tolist() == want.event_id.tolist()
+        filled = want.value.where(want.value > 60).ffill(limit=3)
+        assert np.array_equal(got.v_filled, filled, equal_nan=True)
+        assert got.piece.max() <= 2 * states.RUN_ROWS

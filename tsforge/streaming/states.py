@@ -3,8 +3,13 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator
+import pickle
+import tempfile
+from collections.abc import Iterable, Iterator
+from itertools import chain
+from typing import IO
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -15,78 +20,184 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from tsforge.functions.timeunits import micros
 from tsforge.operators.scan import Runner
 
-STATE_VERSION = 1
+STATE_VERSION = 2  # rows that wait for the watermark are held in numbered pieces
+RUN_ROWS = 50_000
+STEP_ROWS = 1000
+MOST_RUNS = 50
+ARRIVAL = "_arrival"
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
+def _run_file(pieces: Iterable[pd.DataFrame]) -> IO[bytes]:
+    """Rows in order in a file of the worker's own temp folder, ``STEP_ROWS`` at a time; it goes with its last reader."""
+    file = tempfile.TemporaryFile()
+    for piece in pieces:
+        for at in range(0, len(piece), STEP_ROWS):
+            pickle.dump(piece.iloc[at : at + STEP_ROWS], file, protocol=5)
+    return file
+
+
+def _read_back(file: IO[bytes], steps: int) -> Iterator[pd.DataFrame]:
+    """The rows of a run file, ``steps`` steps at a time."""
+    file.seek(0)
+    parts = []
+    while True:
+        try:
+            parts.append(pickle.load(file))
+        except EOFError:
+            break
+        if len(parts) == steps:
+            yield pd.concat(parts, ignore_index=True)
+            parts = []
+    if parts:
+        yield pd.concat(parts, ignore_index=True)
+
+
+def _merged(runs: list[IO[bytes]], order: list[str]) -> Iterator[pd.DataFrame]:
+    """The rows of sorted run files in one order; of each run a part is in memory, all parts together ``RUN_ROWS`` rows."""
+    steps = max(1, RUN_ROWS // (len(runs) * STEP_ROWS))
+    parts = [_read_back(run, steps) for run in runs]
+    held = [next(p) for p in parts]
+    unread = set(range(len(runs)))
+    clock = lambda rows: rows[order[0]].to_numpy(dtype=float, na_value=np.inf)
+    while unread:
+        # Rows before the earliest end of what is read of a run have all come.
+        first = min(unread, key=lambda i: clock(held[i])[-1])
+        bound = clock(held[first])[-1]
+        cuts = [int(np.searchsorted(clock(h), bound, "left")) for h in held]
+        rows = pd.concat([h.iloc[:n] for h, n in zip(held, cuts)], ignore_index=True)
+        held = [h.iloc[n:] for h, n in zip(held, cuts)]
+        more = next(parts[first], None)
+        if more is None:
+            unread.discard(first)
+        else:
+            held[first] = pd.concat([held[first], more], ignore_index=True)
+        if len(rows):
+            yield rows.sort_values(order, ignore_index=True)
+    rows = pd.concat(held, ignore_index=True)
+    if len(rows):
+        yield rows.sort_values(order, ignore_index=True)
+
+
+def in_order(parts: Iterable[pd.DataFrame], order: list[str]) -> Iterator[pd.DataFrame]:
+    """The rows of ``parts`` by ``order``, a number first, and then as they came, piece by piece.
+
+    About ``RUN_ROWS`` rows are in memory at once however many come; beyond that, sorted runs wait in files
+    of the worker and are merged, ``MOST_RUNS`` at a time.
+    """
+    order, levels, held, size, came = [*order, ARRIVAL], [[]], [], 0, 0
+
+    def sorted_rows() -> pd.DataFrame:
+        return pd.concat(held, ignore_index=True).sort_values(order, ignore_index=True)
+
+    for part in parts:
+        if not len(part):
+            continue
+        held.append(part.assign(**{ARRIVAL: np.arange(came, came + len(part))}))
+        came, size = came + len(part), size + len(part)
+        if size >= RUN_ROWS:
+            levels[0].append(_run_file([sorted_rows()]))
+            held, size = [], 0
+        for k, level in enumerate(levels):
+            if len(level) == MOST_RUNS:
+                if k + 1 == len(levels):
+                    levels.append([])
+                levels[k + 1].append(_run_file(_merged(level, order)))
+                level.clear()
+    runs = [run for level in levels for run in level]
+    if runs and held:
+        runs.append(_run_file([sorted_rows()]))
+        held = []
+    if runs:
+        yield from (rows.drop(columns=ARRIVAL) for rows in _merged(runs, order))
+    elif held:
+        yield sorted_rows().drop(columns=ARRIVAL)
+
+
 class _KeyedRunner(StatefulProcessor):
-    """Runs a state machine over the rows of one key and keeps its state as JSON."""
+    """Runs a state machine over the rows of one key, piece by piece in time order, and keeps its state as JSON."""
 
-    def __init__(self, runner: Runner, initial: dict, inputs: list[str], names: list[str], outputs: list[str]) -> None:
+    def __init__(self, runner: Runner, initial: dict, inputs: list[str], names: list[str], outputs: list[str], order: list[str]) -> None:
         self.runner, self.initial = runner, initial
-        self.inputs, self.names, self.outputs = inputs, names, outputs
+        self.inputs, self.names, self.outputs, self.order = inputs, names, outputs, ["_us", *order]
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.saved = handle.getValueState("state", "version int, state string")
 
+    def _named(self, rows: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for part in rows:
+            if len(part):
+                part.columns = self.inputs  # the worker renames columns that start with "_"
+                yield part
+
+    def _run(self, pieces: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        state, ran = json.loads(self.saved.get()[1]) if self.saved.exists() else self.initial, False
+        for piece in pieces:
+            cols, state = self.runner(piece, state)
+            ran = True
+            yield pd.concat([piece[self.names], cols[self.outputs]], axis=1)
+        if ran:
+            self.saved.update((STATE_VERSION, json.dumps(state)))
+
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        state = json.loads(self.saved.get()[1]) if self.saved.exists() else self.initial
-        parts = [p for p in rows if len(p)]
-        if not parts:
-            return
-        batch = pd.concat(parts, ignore_index=True)
-        batch.columns = self.inputs  # the worker renames columns that start with "_"
-        batch = batch.sort_values("_us", kind="stable").reset_index(drop=True)
-        cols, after = self.runner(batch, state)
-        self.saved.update((STATE_VERSION, json.dumps(after)))
-        yield pd.concat([batch[self.names], cols[self.outputs]], axis=1)
+        yield from self._run(in_order(self._named(rows), self.order))
 
     def close(self) -> None:
         pass
 
 
 class _OrderedRunner(_KeyedRunner):
-    """As :class:`_KeyedRunner`, but rows wait in state until the watermark has passed them, and run in time order."""
+    """As :class:`_KeyedRunner`, but rows wait in state until the watermark has passed them, and run in time order.
 
-    def __init__(self, *args, order: list[str]) -> None:
-        super().__init__(*args)
-        self.order = order
+    They wait in numbered pieces of a few ``STEP_ROWS``, of which one is read at a time.
+    """
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         super().init(handle)
         self.handle = handle
-        self.held = handle.getValueState("held", "version int, data binary")
-
-    def _released(self, fresh: list[pd.DataFrame], watermark_ms: int) -> Iterator[pd.DataFrame]:
-        parts = [pa.ipc.open_stream(bytes(self.held.get()[1])).read_pandas()] if self.held.exists() else []
-        for part in fresh:
-            part.columns = self.inputs
-            parts.append(part)
-        rows = pd.concat([p for p in parts if len(p)], ignore_index=True).sort_values(["_us", *self.order], kind="stable")
-        ready = (rows["_us"] <= watermark_ms * 1000).to_numpy()
-        now, later = rows[ready].reset_index(drop=True), rows[~ready].reset_index(drop=True)
-        if len(later):
+        self.waiting = handle.getMapState("waiting", "piece int", "data binary")
+        self.count = handle.getValueState("count", "version int, pieces int")
+
+    def _held(self, pieces: int) -> Iterator[pd.DataFrame]:
+        for k in range(pieces):
+            yield pa.ipc.open_stream(bytes(self.waiting.getValue((k,))[0])).read_pandas()
+
+    def _released(self, fresh: Iterable[pd.DataFrame], watermark_ms: int) -> Iterator[pd.DataFrame]:
+        before = self.count.get()[1] if self.count.exists() else 0
+        later = tempfile.TemporaryFile()
+
+        def ready() -> Iterator[pd.DataFrame]:
+            for piece in in_order(chain(self._held(before), self._named(fresh)), self.order):
+                n = int((piece["_us"] <= watermark_ms * 1000).sum())
+                for at in range(n, len(piece), STEP_ROWS):
+                    pickle.dump(piece.iloc[at : at + STEP_ROWS], later, protocol=5)
+                if n:
+                    yield piece.iloc[:n]
+
+        yield from self._run(ready())
+        # Small pieces of the merge are put together before they go into the state.
+        after = 0
+        for piece in _read_back(later, 8):
+            if not after:
+                self.handle.registerTimer(int(piece["_us"].iloc[0]) // 1000 + 1)
             sink = pa.BufferOutputStream()
-            table = pa.Table.from_pandas(later, preserve_index=False)
+            table = pa.Table.from_pandas(piece, preserve_index=False)
             with pa.ipc.new_stream(sink, table.schema) as writer:
                 writer.write_table(table)
-            self.held.update((STATE_VERSION, sink.getvalue().to_pybytes()))
-            self.handle.registerTimer(int(later["_us"].iloc[0]) // 1000 + 1)
-        elif self.held.exists():
-            self.held.clear()
-        if len(now):
-            state = json.loads(self.saved.get()[1]) if self.saved.exists() else self.initial
-            cols, after = self.runner(now, state)
-            self.saved.update((STATE_VERSION, json.dumps(after)))
-            yield pd.concat([now[self.names], cols[self.outputs]], axis=1)
+            self.waiting.updateValue((after,), (sink.getvalue().to_pybytes(),))
+            after += 1
+        for k in range(after, before):
+            self.waiting.removeKey((k,))
+        if after:
+            self.count.update((STATE_VERSION, after))
+        elif before:
+            self.count.clear()
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        fresh = [p for p in rows if len(p)]
-        if fresh:
-            yield from self._released(fresh, timerValues.getCurrentWatermarkInMs())
+        yield from self._released(rows, timerValues.getCurrentWatermarkInMs())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        if self.held.exists():
+        if self.count.exists():
             yield from self._released([], timerValues.getCurrentWatermarkInMs())
 
 
@@ -95,7 +206,8 @@ def stream_states(
 ) -> DataFrame:
     """The streaming form of :func:`tsforge.operators.scan.run_states`: same runner, state kept per key.
 
-    Rows of a micro-batch are handled in time order; the stored state carries its version.
+    Rows of a micro-batch are handled in order of time and ``ties``, in pieces of about ``RUN_ROWS`` rows, so a worker's
+    memory does not grow with a key's rows; the stored state carries its version.
     Such operators can follow one another in one stream. With ``delay`` rows may come out of order by that
     much: they wait in state, at most those of the delay for each key, until the watermark passes them, then
     run in order of time and ``ties``; rows later than the delay are dropped.
@@ -104,7 +216,7 @@ def stream_states(
     kept = [f for f in sdf.schema.fields if f.name not in drop]
     new = T._parse_datatype_string(",".join(f"`{n}` {t}" for n, t in outputs.items())).fields
     args = (runner, initial, [*sdf.columns, "_us"], [f.name for f in kept], list(outputs))
-    machine = _KeyedRunner(*args) if delay is None else _OrderedRunner(*args, order=list(ties))
+    machine = (_KeyedRunner if delay is None else _OrderedRunner)(*args, list(ties))
     rows = sdf if delay is None else sdf.withWatermark(ts, delay)
     grouped = rows.withColumn("_us", micros(ts)).groupBy(*keys)
     return grouped.transformWithStateInPandas(machine, T.StructType([*kept, *new]), "Append", "None" if delay is None else "EventTime")
