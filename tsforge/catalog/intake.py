@@ -390,7 +390,7 @@ def telemetry_batch(spark, sf):
 @entry(TELE_OUT)
 def streamed_telemetry(spark, sf):
     d = states.parse_telemetry(_lines(_event_stream(spark, sf)))
-    d = _landed(spark, states.stream_states(d, ["symbol"], "ts", *states.telemetry_runner()))
+    d = _landed(spark, states.stream_states(d, ["symbol"], "ts", *states.telemetry_runner(), ties=("event_id",)))
     return out(d, "symbol", "event_id", "temp", "util", "throttle", "transition")
 
 
