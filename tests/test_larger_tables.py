@@ -82,3 +82,14 @@ def test_streams_run_a_key_in_pieces(spark, tmp_path):
         filled = want.value.where(want.value > 60).ffill(limit=3)
         assert np.array_equal(got.v_filled, filled, equal_nan=True)
         assert got.piece.max() <= 2 * states.RUN_ROWS
+
+
+def test_streamed_latency_is_exact_in_dense_windows(spark, tmp_path):
+    wrong, n = differences(spark, tmp_path, "streamed_latency", events=events(60_000, days=1))
+    assert n > 5 and not wrong
+
+
+def test_latency_quantiles_leave_missing_values_out(spark):
+    d = spark.createDataFrame([(0, 1, "a", None, 3), (0, 1, "a", 2.0, 1), (0, 1, "a", 7.0, 1), (1, 2, "a", None, 2)], "start int, end int, name string, value double, n long")
+    got = {r["start"]: (r["n"], r["p50"], r["p99"]) for r in jobs.latency_quantiles(d).collect()}
+    assert got == {0: (5, 2.0, 7.0), 1: (2, None, None)}

@@ -444,8 +444,8 @@ def streamed_queue(spark, sf):
 )
 def streamed_latency(spark, sf):
     e = _event_stream(spark, sf).select("ts", F.col("value").alias("t_nn_ms"))
-    d = _landed(spark, jobs.stream_latency(e, "ts", ["t_nn_ms"], "6 hours", "2 hours", "6 hours"))
-    return out(d.select(micros("start").alias("start_us"), "n", F.col("t_nn_ms_p50").alias("p50"), F.col("t_nn_ms_p99").alias("p99")), "start_us", "n", "p50", "p99")
+    d = jobs.latency_quantiles(_landed(spark, jobs.stream_latency(e, "ts", ["t_nn_ms"], "6 hours", "2 hours", "6 hours")))
+    return out(d.select(micros("start").alias("start_us"), "n", "p50", "p99"), "start_us", "n", "p50", "p99")
 
 
 def _predict(x: np.ndarray) -> np.ndarray:
