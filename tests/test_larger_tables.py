@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 import check
 from tsforge.catalog import load
+from tsforge.operators import sampling
 from tsforge.session import scratch_path
 from tsforge.streaming import jobs, states
 
@@ -93,3 +94,35 @@ def test_latency_quantiles_leave_missing_values_out(spark):
     d = spark.createDataFrame([(0, 1, "a", None, 3), (0, 1, "a", 2.0, 1), (0, 1, "a", 7.0, 1), (1, 2, "a", None, 2)], "start int, end int, name string, value double, n long")
     got = {r["start"]: (r["n"], r["p50"], r["p99"]) for r in jobs.latency_quantiles(d).collect()}
     assert got == {0: (5, 2.0, 7.0), 1: (2, None, None)}
+
+
+def test_a_few_queries_read_each_block_of_points_once(spark, monkeypatch):
+    """Queries of many blocks share a block of their own, so that points are not sent once for each of them."""
+    rng = np.random.default_rng(3)
+    x = rng.normal(0, 1, (600, 16))
+    pdf = pd.DataFrame({"id": np.arange(600), "g": "a", "v": list(x)})
+    points = spark.createDataFrame(pdf)
+    sent = spark.sparkContext.accumulator(0)
+    plain = sampling._top_k
+
+    def counted(queries, rows, k, vec):
+        sent.add(len(rows))
+        return plain(queries, rows, k, vec)
+
+    monkeypatch.setattr(sampling, "_top_k", counted)
+    asks = points.where("id % 50 = 0")
+    got = sampling.nearest_neighbours(points, ["g"], "v", "id", 5, asks, block_rows=20).toPandas()
+    d = np.sqrt(((x[::50, None, :] - x[None, :, :]) ** 2).sum(axis=2))
+    d[np.arange(12), np.arange(0, 600, 50)] = np.inf
+    order = np.argsort(d, axis=1)[:, :5]
+    assert {tuple(r) for r in got[["id", "rank", "nbr"]].itertuples(index=False)} == {(50 * i, j + 1, order[i, j]) for i in range(12) for j in range(5)}
+    assert 0 < sent.value <= 600 + 12 * 20  # every point once, and the queries' own blocks
+
+
+def test_odd_vectors_are_no_neighbours():
+    rows = lambda ids, v: pd.DataFrame({"_id": ids, "_v": [np.asarray(x, float) for x in v]})
+    points = rows([1, 2, 3, 4], [[0, 0], [np.nan, 0], [3, 4], [1e200, 0]])
+    got = sampling._top_k(rows([1, 4], [[0, 0], [1e200, 0]]), points, 5, "_v")
+    assert list(got.itertuples(index=False, name=None)) == [(1, 3, 5.0)]
+    same = rows(range(9), [[1e200, 0]] * 9)
+    assert sampling._top_k(same, same, 2, "_v")["_dist"].tolist() == [0.0] * 18
