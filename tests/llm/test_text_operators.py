@@ -14,7 +14,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from tsforge.llm import byte_bpe
+from tsforge.llm import byte_bpe, line_dedup
 from tsforge.llm.common import components, gram_hashes, word_hashes
 from tsforge.llm.line_dedup import LineDedup, dedup_lines
 from tsforge.llm.mixing import Curriculum, mixed_documents, placed, scheduled
@@ -98,6 +98,26 @@ def test_line_dedup_equals_brute_force(spark, salt_rows):
     assert all(r.n_chars == (len(r.text) if r.text is not None else None) for r in got)
 
 
+def test_line_dedup_pairs_of_near_copies_stay_linear(spark, monkeypatch):
+    rng = random.Random(5)
+    base = [f"w{i}" for i in range(60)]
+    copies = [" ".join(base)]
+    for k in range(200):
+        places = rng.sample(range(60), 3)
+        copies.append(" ".join(f"replaced{k}x{i}" if i in places else w for i, w in enumerate(base)))
+    data = list(enumerate(copies))
+    sizes, plain = [], line_dedup.written
+
+    def counted(df, name):
+        table = plain(df, name)
+        sizes.extend([table.count()] if name == "pairs" else [])
+        return table
+
+    monkeypatch.setattr(line_dedup, "written", counted)
+    assert {r.doc_id: r.text for r in dedup_lines(frame(spark, data)).collect()} == brute_lines(data)
+    assert sum(sizes) <= 8 * len(data)
+
+
 def test_line_dedup_special_rows(spark):
     docs = frame(spark, [(2, "x y\n\nx y"), (1, "x y")]).unionByName(spark.createDataFrame([(None, "x y", None, None, 3)], DOCS))
     got = {r.doc_id: r.text for r in dedup_lines(docs).collect()}
