@@ -126,3 +126,18 @@ def test_odd_vectors_are_no_neighbours():
     assert list(got.itertuples(index=False, name=None)) == [(1, 3, 5.0)]
     same = rows(range(9), [[1e200, 0]] * 9)
     assert sampling._top_k(same, same, 2, "_v")["_dist"].tolist() == [0.0] * 18
+
+
+def test_every_row_asks_for_its_neighbours(spark, tmp_path):
+    rng = np.random.default_rng(8)
+    vectors = pd.DataFrame({"vec_id": np.arange(1, 41), "embedding": list(rng.normal(0, 1, (40, 64)).astype("float32")), "label": np.arange(40) % 10})
+    wrong, n = differences(spark, tmp_path, "exact_neighbours", embeddings=vectors)
+    assert n == 5 * 36 + 3 * 4 and not wrong  # one class has four rows
+
+
+def test_copies_of_several_blocks_have_the_smallest_ids_as_neighbours(spark):
+    pdf = pd.DataFrame({"id": np.arange(200)[::-1], "g": "a", "v": [[1.0, 2.0]] * 150 + [[float(i), 0.0] for i in range(50)]})
+    got = sampling.nearest_neighbours(spark.createDataFrame(pdf), ["g"], "v", "id", 5, block_rows=20).toPandas()
+    assert len(got) == 1000
+    for i, part in got[got.id >= 50].groupby("id"):
+        assert list(part.sort_values("rank").nbr) == [j for j in range(50, 56) if j != i][:5]
