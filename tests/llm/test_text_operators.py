@@ -118,6 +118,18 @@ def test_line_dedup_pairs_of_near_copies_stay_linear(spark, monkeypatch):
     assert sum(sizes) <= 8 * len(data)
 
 
+def test_lines_that_share_rare_words_only_meet_in_no_group(spark):
+    """Two words in all lines, the longest ones, make no group of them; lines over the threshold show a common link."""
+    rng = random.Random(6)
+    long = ["w" * 40, "v" * 40]
+    lines = [long + [f"a{rng.randrange(10**6)}" for _ in range(38)] for _ in range(60)]
+    near = [[f"b{i}" if i in places else w for i, w in enumerate(line)] for line in lines for places in [rng.sample(range(2, 40), 4)]]
+    data = spark.createDataFrame([(k, 0, w) for k, w in enumerate(lines + near)], "doc_id long, line_no int, words array<string>")
+    shown = {r.doc_id: set(r.links) for r in line_dedup.first_lines(line_dedup.token_sets(data, "doc_id", "line_no"), LineDedup()).collect()}
+    assert all(shown[k] & shown[60 + k] for k in range(60))
+    assert sum(bool(shown[a] & shown[b]) for a in range(60) for b in range(a)) < 60 * 59 / 20
+
+
 def test_line_dedup_special_rows(spark):
     docs = frame(spark, [(2, "x y\n\nx y"), (1, "x y")]).unionByName(spark.createDataFrame([(None, "x y", None, None, 3)], DOCS))
     got = {r.doc_id: r.text for r in dedup_lines(docs).collect()}
